@@ -374,7 +374,7 @@ def weighted_score(w: Workspace) -> DataFrame:
 
 # --- streams -------------------------------------------------------------------------
 
-def _run(w: Workspace, stream: DataFrame, label: str, schema: str) -> DataFrame:
+def _run(w: Workspace, stream: DataFrame, label: str, schema) -> DataFrame:
     """Process everything that has landed, then read the appended files."""
     target, checkpoint = w.scratch.path(label), w.scratch.path(f"{label}-checkpoint")
     ingest.wait(ingest.append_stream(stream, target, checkpoint, every=None))
@@ -410,8 +410,16 @@ def stream_dedupe(w: Workspace) -> DataFrame:
     )
 
 
+@query
+def stream_alert_feed(w: Workspace) -> DataFrame:
+    """Every alert as its own row, for immediate notification."""
+    bronze = ingest.to_bronze(_landed(w, w.landing), instant(w.as_of))
+    feed_of_alerts = alerts.alert_stream(alerts.scored_stream(bronze, STREAM_DELAY, w.as_of))
+    return _run(w, feed_of_alerts, "alerts", feed_of_alerts.schema)
+
+
 @query
 def stream_alerts(w: Workspace) -> DataFrame:
     bronze = ingest.to_bronze(_landed(w, w.landing), instant(w.as_of))
-    counts = alerts.alert_counts(alerts.alert_stream(bronze, STREAM_DELAY, w.as_of))
-    return _run(w, counts, "alert-counts", counts.schema.simpleString()[7:-1].replace(":", " "))
+    counts = alerts.alert_counts(alerts.scored_stream(bronze, STREAM_DELAY, w.as_of))
+    return _run(w, counts, "alert-counts", counts.schema)
