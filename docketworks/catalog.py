@@ -139,7 +139,9 @@ def schema_evolution(w: Workspace) -> DataFrame:
         instant(w.as_of).alias("bronze_ingestion_timestamp"),
     )
     parsed = silver.parse_evolving(records)
-    found = parsed.select("case_id", F.col("extra_fields")["court_room"].alias("court_room"))
+    found = w.scratch.stage(
+        parsed.select("case_id", F.col("extra_fields")["court_room"].alias("court_room")), "parsed"
+    )
     place = w.scratch.path("evolving")
     found.filter("court_room IS NULL").drop("court_room").write.parquet(f"{place}/version=1")
     found.filter("court_room IS NOT NULL").write.parquet(f"{place}/version=2")

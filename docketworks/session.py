@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; all of them can be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -55,6 +55,15 @@ def prepare(spark: SparkSession, rows: int = 0, sizing: Sizing | None = None) ->
     return spark
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than the cluster has cores.
+
+    Large tables have many splits and pass unchanged.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

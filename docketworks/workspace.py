@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from docketworks.functions.rules import instant
 from docketworks.plans import serving, silver
 from docketworks.plans.star import StarBuilder
-from docketworks.session import Sizing, prepare
+from docketworks.session import Sizing, prepare, spread
 from docketworks.sources import feed
 from docketworks.sources.hub import to_bronze
 from docketworks.sources.scratch import Scratch
 from docketworks.sources.snapshots import SnapshotStore
 
 FEED_AS_OF = datetime(2024, 6, 1)
+GROWING = {"orders", "customer", "lineitem", "documents"}
 
 
 class Workspace:
@@ -34,12 +35,18 @@ class Workspace:
         self.sf_dir = sf_dir.rstrip("/")
         self.as_of = as_of
         self.sizing = sizing or Sizing()
-        self.rows = self.table("orders").count()  # from the Parquet footers
+        self._tables: dict[str, DataFrame] = {}
+        orders = feed.read_table(spark, self.sf_dir, "orders")
+        self.rows = orders.count()  # from the Parquet footers
         prepare(spark, self.rows, self.sizing)
         self.scratch = Scratch(spark)
 
     def table(self, name: str) -> DataFrame:
-        return feed.read_table(self.spark, self.sf_dir, name)
+        """A source table; its schema is looked up once. Large ones use all cores."""
+        if name not in self._tables:
+            scan = feed.read_table(self.spark, self.sf_dir, name)
+            self._tables[name] = spread(scan) if name in GROWING else scan
+        return self._tables[name]
 
     # -- derived on the fly ----------------------------------------------------
 

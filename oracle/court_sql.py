@@ -40,9 +40,9 @@ keyed AS (
 events_of_court AS (
   SELECT
     o_orderkey AS feed_key,
-    '2024-' || {CODES}[n_regionkey + 1] || '-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')
+    '2024-' || {CODES}[n_regionkey + 1] || '-' || printf('%09d', o_orderkey)
       AS case_id,
-    'DEF-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS defendant_id,
+    'DEF-' || printf('%09d', c_custkey) AS defendant_id,
     {CHARGES}[{_o('chg')} % 8 + 1] AS charge_type,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'Felony'
          WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 'Misdemeanor'
