@@ -241,6 +241,11 @@ def serve_tables(w: Workspace) -> DataFrame:
     return serving.row_counts(_served(w))
 
 
+@query
+def text_lengths(w: Workspace) -> DataFrame:
+    return serving.text_lengths(w.star)
+
+
 @query
 def analytics_view(w: Workspace) -> DataFrame:
     name = "vw_court_proceedings_analytics"

@@ -25,11 +25,11 @@ def add_dense_key(
 
     A frame that fits one task is numbered by a plain window. A larger one is
     cut into ordered slices; its number is the place in the slice plus the rows
-    of all earlier slices. ``rows`` is an upper bound; without one, or above the
-    limit, the frame is stored and counted.
+    of all earlier slices. ``rows`` is an upper bound that should be near the
+    true count; without one the frame is stored and counted.
     """
     sizing = sizing or Sizing()
-    if rows is None or rows > sizing.single_task_rows:
+    if rows is None:
         frame = scratch.stage(frame, f"unnumbered-{name}")
         rows = frame.count()
     if rows <= sizing.single_task_rows:

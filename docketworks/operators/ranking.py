@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Spark prunes each group before the shuffle only up to this many rows
-GROUP_LIMIT = 1000
+LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_per_group(
@@ -17,9 +17,11 @@ def top_per_group(
     """The first ``size`` rows of each group.
 
     Spark's group limit lets every map task send at most ``size`` rows per
-    group, so a group may be of any size.
+    group, so a group may be of any size. A larger ``size`` raises the setting
+    up to which Spark does so.
     """
-    if not 0 < size < GROUP_LIMIT:
-        raise ValueError(f"size must be between 1 and {GROUP_LIMIT - 1}")
+    conf = frame.sparkSession.conf
+    if size > int(conf.get(LIMIT_SETTING, "1000")):
+        conf.set(LIMIT_SETTING, str(size))
     number = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
     return frame.withColumn(rank, number).filter(F.col(rank) <= size)

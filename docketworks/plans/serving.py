@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from docketworks.functions import rules
 from docketworks.functions.exact import mean, percent
 from docketworks.plans.silver import count_true
-from docketworks.schemas import DIM_CASE, DIM_DEFENDANT, FACT, names
+from docketworks.schemas import DIM_CASE, DIM_DEFENDANT, FACT, TEXT_LIMITS, names
 
 Tables = Mapping[str, DataFrame]
 FACT_TABLE = "fact_court_proceedings"
@@ -25,6 +26,7 @@ VIEW_COLUMNS = [
 GAP_KEYS = ["court_district", "court_district_code", "charge_severity", "income_level"]
 
 SCORE = "representation_priority_score"
+BROADCAST_ROWS = 10_000
 
 
 def _current(dim: DataFrame, attributes: list[str]) -> DataFrame:
@@ -71,10 +73,13 @@ def gap_summary(tables: Tables) -> DataFrame:
 def top_cases(tables: Tables, rows: int = 10) -> DataFrame:
     """The most urgent cases that need a lawyer, with all view columns.
 
-    The winners are found on keys and sort columns alone. Only they, a handful
-    of rows, are then joined with the wide columns, so no dimension is shuffled
-    for its attributes.
+    The winners are found on keys and sort columns alone. Only they are then
+    joined with the wide columns; a handful of rows is broadcast, so no
+    dimension is shuffled for its attributes.
     """
+    def few(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
+
     order = [F.desc(SCORE), F.asc_nulls_last("days_to_hearing"), F.asc("proceeding_sk")]
     slim = (
         tables[FACT_TABLE].filter("needs_representation")
@@ -85,8 +90,7 @@ def top_cases(tables: Tables, rows: int = 10) -> DataFrame:
         .join(_current(tables["dim_defendant"], []), "defendant_sk", "left_semi")
         .orderBy(*order).limit(rows)
     )
-    winners = F.broadcast(slim.select("proceeding_sk"))
-    chosen = F.broadcast(tables[FACT_TABLE].join(winners, "proceeding_sk"))
+    chosen = few(tables[FACT_TABLE].join(few(slim.select("proceeding_sk")), "proceeding_sk"))
     return _with_categories(_star(chosen, tables)).orderBy(*order)
 
 
@@ -129,6 +133,28 @@ def urgency_counts(fact: DataFrame) -> DataFrame:
     return fact.groupBy("hearing_urgency_flag").agg(F.count(F.lit(1)).alias("proceedings"))
 
 
+def text_lengths(tables: Tables) -> DataFrame:
+    """Per text column of the serving tables: declared length, longest value, values beyond.
+
+    The declared lengths are not enforced by Parquet, so this is the check. One
+    pass per table.
+    """
+    parts = []
+    for table, limits in TEXT_LIMITS.items():
+        figures = []
+        for column, limit in limits.items():
+            length = F.length(column)
+            figures.append(F.struct(
+                F.lit(column).alias("column_name"),
+                F.lit(limit).alias("declared"),
+                F.max(length).alias("longest"),
+                count_true(length > limit).alias("too_long"),
+            ))
+        summary = tables[table].agg(F.array(*figures).alias("figures"))
+        parts.append(summary.select(F.lit(table).alias("table_name"), F.inline("figures")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def row_counts(tables: Tables) -> DataFrame:
     """One (table, rows) line per table; Parquet answers these from its footers."""
     counted = [
@@ -136,7 +162,4 @@ def row_counts(tables: Tables) -> DataFrame:
         .select(F.lit(name).alias("table_name"), "row_count")
         for name, frame in tables.items()
     ]
-    total = counted[0]
-    for more in counted[1:]:
-        total = total.unionByName(more)
-    return total
+    return reduce(DataFrame.unionByName, counted)

@@ -45,10 +45,16 @@ class StarBuilder:
     # -- dimensions ----------------------------------------------------------
 
     def _dimension(self, attributes: Sequence[str], fields: Fields) -> DataFrame:
-        """Distinct attribute sets with a key; versioned tables start at version 1."""
+        """Distinct attribute sets with a key; versioned tables start at version 1.
+
+        A large silver table says little about the number of distinct sets, so
+        there they are counted.
+        """
+        small = self.rows is not None and self.rows <= self.sizing.single_task_rows
         keyed = add_dense_key(
             self.silver.select(*attributes).distinct(),
-            fields[0][0], attributes, self.scratch, rows=self.rows, sizing=self.sizing,
+            fields[0][0], attributes, self.scratch,
+            rows=self.rows if small else None, sizing=self.sizing,
         )
         first_version = {
             "record_effective_date": self.now,
@@ -117,8 +123,9 @@ class StarBuilder:
         columns = names(FACT)
         carried = [*columns[1:], *(c for c in FACT_ORDER if c not in columns)]
         rows = self.measured(self.keyed_rows(dims)).select(*carried)
+        bound = self.silver.count() if self.rows is None else self.rows
         numbered = add_dense_key(
-            rows, columns[0], FACT_ORDER, self.scratch, rows=self.rows, sizing=self.sizing
+            rows, columns[0], FACT_ORDER, self.scratch, rows=bound, sizing=self.sizing
         )
         return numbered.select(*columns)
 
@@ -152,14 +159,19 @@ def _match(
 ) -> DataFrame:
     """Add the key of the one dimension row that equals ``rows`` in all named columns.
 
-    A null natural key finds nothing; a null attribute equals a null attribute.
+    A null natural key finds nothing; a null attribute equals a null attribute,
+    as it does inside a struct. One struct is also a cheaper sort key than a
+    null-safe comparison per column.
     """
-    key = dim.columns[0]
-    named = [*natural, *attributes]
-    side = dim.select(key, *[F.col(c).alias(f"_dim_{c}") for c in named])
+    side = dim.select(
+        dim.columns[0],
+        *[F.col(c).alias(f"_dim_{c}") for c in natural],
+        F.struct(*attributes).alias("_dim_attributes"),
+    )
     condition = F.lit(True)
     for column in natural:
         condition = condition & (rows[column] == side[f"_dim_{column}"])
-    for column in attributes:
-        condition = condition & rows[column].eqNullSafe(side[f"_dim_{column}"])
-    return rows.join(side, condition).drop(*[f"_dim_{c}" for c in named])
+    if attributes:
+        mine = F.struct(*[rows[c] for c in attributes])
+        condition = condition & (mine == side["_dim_attributes"])
+    return rows.join(side, condition).drop(*[c for c in side.columns if c.startswith("_dim_")])

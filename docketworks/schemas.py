@@ -102,4 +102,19 @@ GOLD: dict[str, Fields] = {
     "dim_court": DIM_COURT,
     "fact_court_proceedings": FACT,
 }
+# declared text lengths of the serving tables
+TEXT_LIMITS: dict[str, dict[str, int]] = {
+    "fact_court_proceedings": {
+        "case_id": 50, "defendant_id": 50, "alert_priority": 20, "hearing_urgency_flag": 20,
+    },
+    "dim_defendant": {
+        "defendant_id": 50, "defendant_age_group": 10, "defendant_gender": 10,
+        "income_level": 10, "attorney_status": 50,
+    },
+    "dim_case_details": {
+        "case_id": 50, "charge_type": 50, "charge_severity": 20, "case_status": 30,
+        "hearing_type": 30,
+    },
+    "dim_court": {"court_district": 50, "court_district_code": 5, "assigned_judge": 50},
+}
 SURROGATE_KEYS = {table: fields[0][0] for table, fields in GOLD.items()}

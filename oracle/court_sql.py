@@ -218,6 +218,32 @@ VERSION_COLUMNS = (f"{_text('effective', 'record_effective_date')}, "
                    "CAST(version AS INTEGER) AS record_version")
 GAP = f"count(*) AS cases, {NEED} AS gap_cases, {_pct(NEED, 'count(*)')} AS gap_rate"
 
+
+
+def _lengths() -> str:
+    declared = {
+        "fact_court_proceedings": "case_id 50, defendant_id 50, alert_priority 20, "
+                                  "hearing_urgency_flag 20",
+        "dim_defendant": "defendant_id 50, defendant_age_group 10, defendant_gender 10, "
+                         "income_level 10, attorney_status 50",
+        "dim_case_details": "case_id 50, charge_type 50, charge_severity 20, case_status 30, "
+                            "hearing_type 30",
+        "dim_court": "court_district 50, court_district_code 5, assigned_judge 50",
+    }
+    sets = {"dim_defendant": DEFENDANT_SET, "dim_case_details": CASE_SET, "dim_court": COURT_SET}
+    parts = []
+    for table, columns in declared.items():
+        source = f"(SELECT DISTINCT {sets[table]} FROM fact)" if table in sets else "fact"
+        for entry in columns.split(", "):
+            column, limit = entry.split()
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
+                f"CAST({limit} AS INTEGER) AS declared, "
+                f"CAST(max(length({column})) AS INTEGER) AS longest, "
+                f"count(*) FILTER (WHERE length({column}) > {limit}) AS too_long FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
 _EVENTS = _with(EVENTS)
 _CLEAN = _with(EVENTS, CLEAN)
 _FACT = _with(EVENTS, CLEAN, FACT)
@@ -303,6 +329,7 @@ SQL: dict[str, str] = {
     "serve_dim_case_details": f"{_CLEAN} {DIM_CASE} ORDER BY case_details_sk LIMIT 10",
     "serve_dim_court": f"{_CLEAN} {DIM_COURT} ORDER BY court_sk LIMIT 10",
     "serve_fact_court_proceedings": f"{_FACT} {FACT_COLUMNS} ORDER BY proceeding_sk LIMIT 10",
+    "text_lengths": f"{_FACT} {_lengths()}",
     "analytics_view": f"{_FACT} {VIEW}",
     "gap_summary": f"""{_FACT} SELECT court_district, court_district_code, charge_severity,
         income_level, count(*) AS total_cases, {NEED} AS cases_needing_representation,

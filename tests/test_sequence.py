@@ -124,8 +124,9 @@ def test_top_per_group_limits_before_the_shuffle(spark):
     top = top_per_group(frame, ["g"], [F.desc("s")], 2, "place")
     assert plan_of(top).count("WindowGroupLimit") == 2
     assert rows_of(top, "g", "s") == [(0, 996), (0, 999), (1, 994), (1, 997), (2, 995), (2, 998)]
-    with pytest.raises(ValueError):
-        top_per_group(frame, ["g"], [F.desc("s")], 5000, "place")
+    frame = spark.range(20_000).select((F.col("id") % 3).alias("g"), F.col("id").alias("s"))
+    large = top_per_group(frame, ["g"], [F.desc("s")], 5000, "place")
+    assert plan_of(large).count("WindowGroupLimit") == 2 and large.count() == 15_000
 
 
 @pytest.mark.parametrize("sizing", [None, TINY])

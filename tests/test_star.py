@@ -82,6 +82,17 @@ def test_literal_join_fans_out_and_exact_join_does_not(spark, scratch):
     assert rows_of(literal, "case_id") == [("c1",), ("c1",), ("c2",), ("c2",), ("c3",)]
 
 
+def test_exact_join_is_the_same_without_broadcasts(workspace):
+    conf = workspace.spark.conf
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = workspace.builder().fact(workspace.star)
+        assert plan_of(merged).count("SortMergeJoin") == 3
+        assert rows_of(merged) == rows_of(workspace.fact)
+    finally:
+        conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_view_shows_current_versions_only(workspace):
     star = dict(workspace.star)
     closed = F.col("defendant_sk") == 1

@@ -112,6 +112,14 @@ def test_alert_feed_is_a_filter(landing):
         ("CRITICAL", "QN")]
 
 
+def test_monitor_takes_every_record(landing):
+    landing.deliver((1, 1, URGENT))
+    records = hub.read_hub(landing.spark, "parquet", path=landing.landing)
+    monitor = ingest.start_monitor(records, every=None)
+    assert ingest.wait(monitor, 120)
+    assert sum(p["numInputRows"] for p in monitor.recentProgress) == 1
+
+
 def test_kafka_options():
     options = hub.kafka_options("broker:9093", "cases", login="entry", extra={"maxOffsetsPerTrigger": "9"})
     assert options["subscribe"] == "cases"
