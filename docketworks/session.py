@@ -15,6 +15,10 @@ RUNTIME_SETTINGS = {
     # a hot join key is split over several tasks, also where an aggregate follows
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # streaming state on local disk with changes in the checkpoint, not on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
