@@ -19,6 +19,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+             "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -31,6 +35,11 @@ def difference(frame, connection, sql: str) -> str:
     columns = [c[0] for c in result.description]
     if sorted(columns) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} != {sorted(columns)}"
+    kinds = {c[0]: str(c[1]) for c in result.description}
+    other = {name: (kind, kinds[name]) for name, kind in frame.dtypes
+             if SQL_TYPES[kind] != kinds[name]}
+    if other:
+        return f"types {other}"
     order = [columns.index(c) for c in frame.columns]
     expected = sorted(tuple(_plain(row[i]) for i in order) for row in result.fetchall())
     found = sorted(tuple(_plain(v) for v in row) for row in frame.collect())
