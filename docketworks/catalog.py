@@ -18,9 +18,11 @@ from docketworks.operators.asof import as_of_join
 from docketworks.operators.dense_keys import add_dense_key
 from docketworks.operators.latest import latest_per_key
 from docketworks.plans import dashboards, serving, silver
+from docketworks.plans.star import StarBuilder
 from docketworks.schemas import BRONZE, GOLD, PAYLOAD, SURROGATE_KEYS, ddl, names
 from docketworks.sources import feed
 from docketworks.sources.hub import read_hub
+from docketworks.sources.snapshots import SnapshotStore
 from docketworks.sources.tables import create_external_tables, create_views, preview
 from docketworks.streaming import alerts, dedupe, ingest
 from docketworks.workspace import Workspace, open_workspace
@@ -154,17 +156,17 @@ def schema_evolution(w: Workspace) -> DataFrame:
 
 @query
 def dim_defendant(w: Workspace) -> DataFrame:
-    return w.builder().dim_defendant()
+    return w.builder().dimension("dim_defendant")
 
 
 @query
 def dim_case_details(w: Workspace) -> DataFrame:
-    return w.builder().dim_case_details()
+    return w.builder().dimension("dim_case_details")
 
 
 @query
 def dim_court(w: Workspace) -> DataFrame:
-    return w.builder().dim_court()
+    return w.builder().dimension("dim_court")
 
 
 @query
@@ -179,6 +181,22 @@ def fact(w: Workspace) -> DataFrame:
     return w.builder().fact(w.star)
 
 
+@query
+def star_increment(w: Workspace) -> DataFrame:
+    """Two loads of the star schema; the second must not change a key of the first."""
+    cut = instant(w.as_of - timedelta(days=45))
+    store = SnapshotStore(w.spark, w.scratch.path("increments"))
+
+    def load(condition) -> StarBuilder:
+        return StarBuilder(w.silver.filter(condition), w.as_of, w.scratch, w.rows, w.sizing)
+
+    load(F.col("record_timestamp") < cut).publish(store)
+    tables = load(F.col("record_timestamp") >= cut).append(store)
+    return tables[serving.FACT_TABLE].select(
+        "proceeding_sk", "defendant_sk", "case_details_sk", "court_sk", "case_id"
+    )
+
+
 @query
 def priority_scores(w: Workspace) -> DataFrame:
     return w.fact.select(

@@ -17,8 +17,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from docketworks.plans import dashboards, serving, silver
-from docketworks.plans.star import StarBuilder
-from docketworks.schemas import BRONZE, GOLD, SILVER, SILVER_TRACE, ddl
+from docketworks.plans.star import StarBuilder, read_star
+from docketworks.schemas import BRONZE, SILVER, SILVER_TRACE, ddl
 from docketworks.session import build_session, prepare
 from docketworks.sources import feed, hub
 from docketworks.sources.scratch import Scratch
@@ -88,8 +88,7 @@ def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFra
 
 def run_serve(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     store = SnapshotStore(spark, args.gold, args.format)
-    snapshot = store.latest()
-    tables = {table: store.read(table, fields, snapshot) for table, fields in GOLD.items()}
+    tables = read_star(store, store.latest())
     view, fact = serving.analytics_view(tables), tables[serving.FACT_TABLE]
     reports = {
         "gap_summary": lambda: serving.gap_summary(tables),
@@ -133,7 +132,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--seconds", type=int, help="stop waiting after this time")
     stream.add_argument("--monitor", action="store_true", help="also print the records")
     job("silver", "bronze", "silver")
-    job("gold", "silver", "gold").add_argument("--cluster-fact", action="store_true")
+    gold = job("gold", "silver", "gold")
+    gold.add_argument("--cluster-fact", action="store_true", help="order its files by filing date")
     job("serve", "gold").add_argument("--report", action="append")
     return top
 

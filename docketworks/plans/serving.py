@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from docketworks.functions import rules
 from docketworks.functions.exact import mean, percent
 from docketworks.plans.silver import count_true
+from docketworks.plans.star import FACT_TABLE
 from docketworks.schemas import DIM_CASE, DIM_DEFENDANT, FACT, TEXT_LIMITS, names
 
 Tables = Mapping[str, DataFrame]
-FACT_TABLE = "fact_court_proceedings"
 
 VIEW_COLUMNS = [
     names(FACT)[0], *names(FACT)[4:17],

@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 from docketworks.functions import rules
 from docketworks.operators.dense_keys import add_dense_key
 from docketworks.schemas import (
-    CASE_ATTRIBUTES, DEFENDANT_ATTRIBUTES, DIM_CASE, DIM_COURT, DIM_DEFENDANT, FACT, GOLD, HUB_KEY,
-    Fields, names,
+    CASE_ATTRIBUTES, DEFENDANT_ATTRIBUTES, FACT, GOLD, HUB_KEY, names,
 )
 from docketworks.session import Sizing
 from docketworks.sources.scratch import Scratch
 from docketworks.sources.snapshots import SnapshotStore
 
+FACT_TABLE = "fact_court_proceedings"
+# dimension -> its attributes, in the order of its keys
+DIMENSIONS = {
+    "dim_defendant": tuple(DEFENDANT_ATTRIBUTES),
+    "dim_case_details": tuple(CASE_ATTRIBUTES),
+    "dim_court": ("court_district", "assigned_judge", "court_district_code"),
+}
 FACT_ORDER = ("case_id", "defendant_id", "record_timestamp", *HUB_KEY)
 
 
@@ -44,17 +50,25 @@ class StarBuilder:
 
     # -- dimensions ----------------------------------------------------------
 
-    def _dimension(self, attributes: Sequence[str], fields: Fields) -> DataFrame:
+    def dimension(self, table: str, stored: DataFrame | None = None) -> DataFrame:
         """Distinct attribute sets with a key; versioned tables start at version 1.
 
-        A large silver table says little about the number of distinct sets, so
-        there they are counted.
+        With the ``stored`` dimension only the sets that it lacks are returned,
+        numbered on from its largest key. A large silver table says little about
+        the number of distinct sets, so there they are counted.
         """
+        columns = names(GOLD[table])
+        key, attributes = columns[0], DIMENSIONS[table]
+        sets = self.silver.select(*attributes).distinct()
+        start = 0
+        if stored is not None:
+            known = stored.select(F.struct(*attributes).alias("_known"))
+            sets = sets.join(known, F.struct(*attributes) == known["_known"], "left_anti")
+            start = stored.agg(F.max(key)).first()[0] or 0
         small = self.rows is not None and self.rows <= self.sizing.single_task_rows
         keyed = add_dense_key(
-            self.silver.select(*attributes).distinct(),
-            fields[0][0], attributes, self.scratch,
-            rows=self.rows if small else None, sizing=self.sizing,
+            sets, key, attributes, self.scratch,
+            rows=self.rows if small else None, start=start, sizing=self.sizing,
         )
         first_version = {
             "record_effective_date": self.now,
@@ -63,20 +77,8 @@ class StarBuilder:
             "record_version": F.lit(1),
             "created_timestamp": self.now,
         }
-        wanted = names(fields)
-        stamps = {name: value for name, value in first_version.items() if name in wanted}
-        return keyed.withColumns(stamps).select(*wanted)
-
-    def dim_defendant(self) -> DataFrame:
-        return self._dimension(DEFENDANT_ATTRIBUTES, DIM_DEFENDANT)
-
-    def dim_case_details(self) -> DataFrame:
-        return self._dimension(CASE_ATTRIBUTES, DIM_CASE)
-
-    def dim_court(self) -> DataFrame:
-        return self._dimension(
-            ("court_district", "assigned_judge", "court_district_code"), DIM_COURT
-        )
+        stamps = {name: value for name, value in first_version.items() if name in columns}
+        return keyed.withColumns(stamps).select(*columns)
 
     # -- fact ----------------------------------------------------------------
 
@@ -118,14 +120,15 @@ class StarBuilder:
             "alert_priority": rules.alert_priority(score),
         })
 
-    def fact(self, dims: Mapping[str, DataFrame]) -> DataFrame:
+    def fact(self, dims: Mapping[str, DataFrame], start: int = 0) -> DataFrame:
         """The 20-column fact, numbered by case, defendant, time and hub position."""
         columns = names(FACT)
         carried = [*columns[1:], *(c for c in FACT_ORDER if c not in columns)]
         rows = self.measured(self.keyed_rows(dims)).select(*carried)
         bound = self.silver.count() if self.rows is None else self.rows
         numbered = add_dense_key(
-            rows, columns[0], FACT_ORDER, self.scratch, rows=bound, sizing=self.sizing
+            rows, columns[0], FACT_ORDER, self.scratch, rows=bound, start=start,
+            sizing=self.sizing,
         )
         return numbered.select(*columns)
 
@@ -138,20 +141,36 @@ class StarBuilder:
         ``cluster_fact`` orders its files by filing date for date-filtered reads.
         """
         snapshot = store.new_snapshot()
-        builders = {
-            "dim_defendant": self.dim_defendant,
-            "dim_case_details": self.dim_case_details,
-            "dim_court": self.dim_court,
-        }
-        for table, build in builders.items():
-            store.write(snapshot, table, build())
-        tables = {t: store.read(t, GOLD[t], snapshot) for t in builders}
-        fact_table = "fact_court_proceedings"
-        order = ("case_filed_date", "proceeding_sk") if cluster_fact else ()
-        store.write(snapshot, fact_table, self.fact(tables), cluster_by=order)
+        dims = {t: store.write(snapshot, t, self.dimension(t)) for t in DIMENSIONS}
+        self._write_fact(store, snapshot, dims, 0, cluster_fact)
         store.commit(snapshot)
-        tables[fact_table] = store.read(fact_table, GOLD[fact_table], snapshot)
-        return tables
+        return read_star(store, snapshot)
+
+    def append(self, store: SnapshotStore, cluster_fact: bool = False) -> dict[str, DataFrame]:
+        """Add this silver to the published star schema without renumbering anything.
+
+        Only new attribute sets and new fact rows are written; their keys go on
+        from the stored ones.
+        """
+        before = store.latest()
+        stored = read_star(store, before)
+        snapshot = store.new_snapshot()
+        dims = {}
+        for table in DIMENSIONS:
+            added = store.write(snapshot, table, self.dimension(table, stored[table]))
+            dims[table] = stored[table].unionByName(added)
+        start = stored[FACT_TABLE].agg(F.max("proceeding_sk")).first()[0] or 0
+        self._write_fact(store, snapshot, dims, start, cluster_fact)
+        store.commit(snapshot, added_to=before)
+        return read_star(store, snapshot)
+
+    def _write_fact(self, store, snapshot, dims, start: int, cluster: bool) -> None:
+        order = ("case_filed_date", "proceeding_sk") if cluster else ()
+        store.write(snapshot, FACT_TABLE, self.fact(dims, start), cluster_by=order)
+
+
+def read_star(store: SnapshotStore, snapshot: str) -> dict[str, DataFrame]:
+    return {table: store.read(table, fields, snapshot) for table, fields in GOLD.items()}
 
 
 def _match(

@@ -1,13 +1,15 @@
-"""Tables that are replaced as a whole, several at a time.
+"""Tables that are published together, as a whole or by additions.
 
-Each publication writes new folders and then appends one row to the commit log.
-Readers take the newest committed snapshot, so they never see half a rebuild and
-a failed rebuild changes nothing.
+Each publication writes new folders and then appends its list of folders to the
+commit log. Readers take the newest committed list, so they never see half a
+load, and a failed load changes nothing. An addition lists the folders of the
+snapshot before and its own; nothing stored is rewritten.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
@@ -17,7 +19,11 @@ from pyspark.sql import functions as F
 from docketworks.schemas import Fields, ddl
 
 LOG = "_commits"
-LOG_FIELDS = (("snapshot", "string"), ("committed_at", "timestamp"))
+LOG_FIELDS = (
+    ("snapshot", "string"), ("table_name", "string"), ("location", "string"),
+    ("committed_at", "timestamp"),
+)
+Parts = dict[str, list[str]]
 
 
 class SnapshotStore:
@@ -27,40 +33,37 @@ class SnapshotStore:
         self.spark = spark
         self.base = base.rstrip("/")
         self.fmt = fmt
+        self._written: dict[str, Parts] = defaultdict(lambda: defaultdict(list))
 
     def new_snapshot(self) -> str:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         return f"{stamp}-{uuid.uuid4().hex[:8]}"
 
-    def location(self, snapshot: str, table: str) -> str:
-        return f"{self.base}/{table}/snapshot={snapshot}"
-
     def write(
-        self,
-        snapshot: str,
-        table: str,
-        frame: DataFrame,
-        cluster_by: tuple[str, ...] = (),
-        partitions: int | None = None,
+        self, snapshot: str, table: str, frame: DataFrame, cluster_by: tuple[str, ...] = ()
     ) -> DataFrame:
-        """Write one table of an open snapshot and return it as stored.
+        """Write rows of an open snapshot and return them as stored.
 
-        ``cluster_by`` sorts the files by range, so that filters on these
-        columns skip files and row groups; a hot value still spreads, because
-        the range also uses the remaining sort columns.
+        ``cluster_by`` sorts the files by range, so that filters on its first
+        column skip files and row groups; a hot value still spreads, because the
+        range also uses the other columns.
         """
         if cluster_by:
-            width = [partitions] if partitions else []
-            frame = frame.repartitionByRange(*width, *cluster_by).sortWithinPartitions(*cluster_by)
-        target = self.location(snapshot, table)
-        frame.write.format(self.fmt).save(target)
-        return self.spark.read.format(self.fmt).schema(frame.schema).load(target)
-
-    def commit(self, snapshot: str) -> None:
-        entry = self.spark.range(1).select(
-            F.lit(snapshot).alias("snapshot"), F.current_timestamp().alias("committed_at")
-        )
-        entry.coalesce(1).write.mode("append").parquet(f"{self.base}/{LOG}")
+            frame = frame.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        location = f"{self.base}/{table}/{snapshot}"
+        frame.write.format(self.fmt).save(location)
+        self._written[snapshot][table].append(location)
+        return self.spark.read.format(self.fmt).schema(frame.schema).load(location)
+
+    def commit(self, snapshot: str, added_to: str | None = None) -> None:
+        """Make a snapshot visible, on top of the folders of ``added_to`` if given."""
+        parts = self.parts(added_to) if added_to else {}
+        for table, locations in self._written.pop(snapshot, {}).items():
+            parts[table] = [*parts.get(table, []), *locations]
+        rows = [(snapshot, t, place) for t, places in parts.items() for place in places]
+        log = self.spark.createDataFrame(rows, "snapshot string, table_name string, location string")
+        log = log.withColumn("committed_at", F.current_timestamp()).coalesce(1)
+        log.write.mode("append").parquet(f"{self.base}/{LOG}")
 
     def publish(self, tables: Mapping[str, DataFrame]) -> str:
         snapshot = self.new_snapshot()
@@ -69,14 +72,28 @@ class SnapshotStore:
         self.commit(snapshot)
         return snapshot
 
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(ddl(LOG_FIELDS)).parquet(f"{self.base}/{LOG}")
+
     def latest(self) -> str:
-        log = self.spark.read.schema(ddl(LOG_FIELDS)).parquet(f"{self.base}/{LOG}")
-        newest = log.agg(F.max("snapshot")).first()[0]
+        newest = self._log().agg(F.max("snapshot")).first()[0]
         if newest is None:
             raise LookupError(f"nothing was published below {self.base}")
         return newest
 
+    def parts(self, snapshot: str) -> Parts:
+        """The folders of a committed snapshot per table, one per load since the last rebuild."""
+        found: Parts = defaultdict(list)
+        for row in self._log().filter(F.col("snapshot") == snapshot).collect():
+            found[row.table_name].append(row.location)
+        return dict(found)
+
+    def location(self, snapshot: str, table: str) -> str:
+        """The one folder of a table, as an external table needs it."""
+        (only,) = self.parts(snapshot)[table]
+        return only
+
     def read(self, table: str, fields: Fields, snapshot: str | None = None) -> DataFrame:
         """A published table under its declared schema."""
-        place = self.location(snapshot or self.latest(), table)
-        return self.spark.read.format(self.fmt).schema(ddl(fields)).load(place)
+        places = self.parts(snapshot or self.latest())[table]
+        return self.spark.read.format(self.fmt).schema(ddl(fields)).load(places)

@@ -309,6 +309,16 @@ SQL: dict[str, str] = {
         FROM cleaned c JOIN defendants d USING (defendant_id) JOIN cases k USING (case_id)
         JOIN courts t USING (court_district, assigned_judge)""",
     "fact": f"{_FACT} {FACT_COLUMNS}",
+    "star_increment": f"""{_FACT}, loaded AS (
+          SELECT *, filed >= {AS_OF} - INTERVAL 45 DAY AS second FROM fact),
+        first_seen AS (
+          SELECT *, min(second) OVER (PARTITION BY defendant_sk) AS d,
+            min(second) OVER (PARTITION BY case_details_sk) AS c,
+            min(second) OVER (PARTITION BY court_sk) AS t FROM loaded)
+        SELECT row_number() OVER (ORDER BY second, proceeding_sk) AS proceeding_sk,
+          dense_rank() OVER (ORDER BY d, defendant_sk) AS defendant_sk,
+          dense_rank() OVER (ORDER BY c, case_details_sk) AS case_details_sk,
+          dense_rank() OVER (ORDER BY t, court_sk) AS court_sk, case_id FROM first_seen""",
     "priority_scores": f"""{_FACT} SELECT proceeding_sk, case_id, needs_representation,
         CAST(score AS INTEGER) AS representation_priority_score, alert_triggered, alert_priority,
         alert_triggered AS intervention_needed FROM fact""",

@@ -9,7 +9,7 @@ from conftest import AS_OF, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from docketworks.plans import serving, silver
-from docketworks.plans.star import StarBuilder
+from docketworks.plans.star import DIMENSIONS, StarBuilder
 from docketworks.schemas import BRONZE, FACT, GOLD, ddl, names
 from docketworks.session import Sizing
 from docketworks.sources.snapshots import SnapshotStore
@@ -74,8 +74,7 @@ def small_silver(spark):
 
 def test_literal_join_fans_out_and_exact_join_does_not(spark, scratch):
     builder = StarBuilder(small_silver(spark), AS_OF, scratch, rows=7)
-    dims = {"dim_defendant": builder.dim_defendant(), "dim_court": builder.dim_court(),
-            "dim_case_details": builder.dim_case_details()}
+    dims = {table: builder.dimension(table) for table in DIMENSIONS}
     exact = builder.fact(dims)
     assert rows_of(exact, "proceeding_sk", "case_id") == [(1, "c1"), (2, "c2"), (3, "c3")]
     literal = builder.natural_key_rows(dims)
@@ -93,6 +92,28 @@ def test_exact_join_is_the_same_without_broadcasts(workspace):
         conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("sizing", [Sizing(), TINY])
+def test_appended_loads_keep_all_keys(workspace, scratch, sizing):
+    store = SnapshotStore(workspace.spark, scratch.path("loads"))
+    loads = [workspace.silver.filter(F.pmod("eventhub_offset", F.lit(3)) == n) for n in range(3)]
+    tables = StarBuilder(loads[0], AS_OF, scratch, sizing=sizing).publish(store)
+    for load in loads[1:]:
+        before = {t: set(rows_of(f)) for t, f in tables.items()}
+        tables = StarBuilder(load, AS_OF, scratch, sizing=sizing).append(store)
+        for table, frame in tables.items():
+            assert before[table] <= set(rows_of(frame)), table
+    again = StarBuilder(loads[1], AS_OF, scratch, sizing=sizing)
+    for table, attributes in DIMENSIONS.items():
+        key = GOLD[table][0][0]
+        numbers = [r[0] for r in rows_of(tables[table], key)]
+        assert numbers == list(range(1, len(numbers) + 1))
+        assert rows_of(tables[table], *attributes) == rows_of(workspace.star[table], *attributes)
+        assert again.dimension(table, tables[table]).count() == 0
+    natural = ["case_id", "defendant_id", "representation_priority_score", "estimated_case_cost"]
+    assert rows_of(tables[FACT_TABLE], *natural) == rows_of(workspace.fact, *natural)
+    assert rows_of(serving.gap_summary(tables)) == rows_of(serving.gap_summary(workspace.star))
+
+
 def test_view_shows_current_versions_only(workspace):
     star = dict(workspace.star)
     closed = F.col("defendant_sk") == 1
