@@ -402,7 +402,8 @@ def weighted_score(w: Workspace) -> DataFrame:
 def _run(w: Workspace, stream: DataFrame, label: str, schema) -> DataFrame:
     """Process everything that has landed, then read the appended files."""
     target, checkpoint = w.scratch.path(label), w.scratch.path(f"{label}-checkpoint")
-    ingest.wait(ingest.append_stream(stream, target, checkpoint, every=None))
+    width = w.sizing.partitions(w.rows)
+    ingest.wait(ingest.append_stream(stream, target, checkpoint, every=None, partitions=width))
     return w.spark.read.schema(schema).parquet(target)
 
 

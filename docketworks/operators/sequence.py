@@ -123,11 +123,9 @@ class Sequenced:
                      for out, source in columns.items()}
             if not part.sliced:
                 return part.frame.withColumns(local)
-            spot = F.struct(*self.order)
             last_known = {
-                f"_in_{out}": F.max_by(
-                    F.col(source), F.when(F.col(source).isNotNull(), spot)
-                ) for out, source in columns.items()
+                f"_in_{out}": F.max_by(source, F.when(F.col(source).isNotNull(), F.col(PLACE)))
+                for out, source in columns.items()
             }
             runs = self._border_runs(part.frame, last_known)
             before = Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(
@@ -146,8 +144,10 @@ class Sequenced:
     # -- inner steps ---------------------------------------------------------
 
     def _window(self, part: Part):
-        groups = [SLICE, *self.keys] if part.sliced else list(self.keys)
-        return Window.partitionBy(*groups).orderBy(*self.order)
+        """The rows of a key in order; within a slice their places give the order."""
+        if part.sliced:
+            return Window.partitionBy(SLICE, *self.keys).orderBy(PLACE)
+        return Window.partitionBy(*self.keys).orderBy(*self.order)
 
     def _neighbour(self, columns, present, back: bool) -> Sequenced:
         step = F.lag if back else F.lead
@@ -157,7 +157,7 @@ class Sequenced:
         def look(part: Part) -> DataFrame:
             found = part.frame.withColumn("_near", step(values).over(self._window(part)))
             if part.sliced:
-                edge = edge_row(values, F.struct(*self.order))
+                edge = edge_row(values, PLACE)
                 runs = self._border_runs(part.frame, {"_edge": edge})
                 across = Window.partitionBy(*self.keys).orderBy(SLICE)
                 runs = runs.withColumn("_edge", step("_edge").over(across))

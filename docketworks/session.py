@@ -33,7 +33,7 @@ class Sizing:
 
     single_task_rows: int = 5_000_000
     rows_per_partition: int = 1_000_000
-    max_partitions: int = 50_000
+    max_partitions: int = 100_000
     max_hot_keys: int = 10_000
 
     def partitions(self, rows: int) -> int:

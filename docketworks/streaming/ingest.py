@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from docketworks.sources.hub import to_bronze
 
 TRIGGER = "30 seconds"
+WIDTH = "spark.sql.shuffle.partitions"
 
 
 def _paced(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -19,11 +20,22 @@ def _paced(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 
 def append_stream(
     stream: DataFrame, target: str, checkpoint: str, every: str | None = TRIGGER,
-    fmt: str = "parquet",
+    fmt: str = "parquet", partitions: int = 0,
 ) -> StreamingQuery:
-    """Append a stream to files; the checkpoint makes restarts continue exactly."""
+    """Append a stream to files; the checkpoint makes restarts continue exactly.
+
+    A stateful stream keeps the number of partitions it starts with, and
+    adaptive execution does not change it, so ``partitions`` can raise it here.
+    """
     writer = stream.writeStream.format(fmt).outputMode("append")
-    return _paced(writer.option("checkpointLocation", checkpoint), every).start(target)
+    writer = _paced(writer.option("checkpointLocation", checkpoint), every)
+    conf = stream.sparkSession.conf
+    usual = conf.get(WIDTH)
+    conf.set(WIDTH, str(max(partitions, int(usual))))
+    try:
+        return writer.start(target)  # the query takes a copy of the settings
+    finally:
+        conf.set(WIDTH, usual)
 
 
 def start_ingest(

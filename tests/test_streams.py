@@ -65,6 +65,18 @@ def test_restart_adds_only_what_is_new(landing):
         (1, '{"case_id": "a"}'), (2, '{"case_id": "b"}'), (3, '{"case_id": "c"}')]
 
 
+def test_stateful_streams_start_with_the_wanted_width(landing):
+    landing.deliver((1, 1, {"case_id": "a"}))
+    single = dedupe.drop_repeats(
+        landing.stream(), ["eventhub_partition", "eventhub_offset"], "eventhub_timestamp", "1 hour")
+    usual = landing.spark.conf.get(ingest.WIDTH)
+    query = ingest.append_stream(
+        single, landing.target, landing.checkpoint, every=None, partitions=9)
+    assert ingest.wait(query, 120)
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 9
+    assert landing.spark.conf.get(ingest.WIDTH) == usual
+
+
 def test_repeats_are_dropped_within_and_across_batches(landing):
     def single():
         return dedupe.drop_repeats(
