@@ -32,11 +32,13 @@ def add_dense_key(
     if rows is None:
         frame = scratch.stage(frame, f"unnumbered-{name}")
         rows = frame.count()
-    if rows <= sizing.single_task_rows:
+    if rows <= sizing.numbering_rows:
         number = F.row_number().over(Window.orderBy(*order))
         return frame.withColumn(name, number.cast("long") + start)
 
-    cut = slice_by_order(frame, order, max(2, sizing.partitions(rows)), scratch, f"sliced-{name}")
+    cut = slice_by_order(
+        frame, order, sizing.numbering_slices(rows), scratch, f"sliced-{name}"
+    )
     sizes = cut.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows"))
     # one row per slice, bounded by Sizing.max_partitions
     earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)

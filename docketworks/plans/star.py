@@ -65,7 +65,7 @@ class StarBuilder:
             known = stored.select(F.struct(*attributes).alias("_known"))
             sets = sets.join(known, F.struct(*attributes) == known["_known"], "left_anti")
             start = stored.agg(F.max(key)).first()[0] or 0
-        small = self.rows is not None and self.rows <= self.sizing.single_task_rows
+        small = self.rows is not None and self.rows <= self.sizing.numbering_rows
         keyed = add_dense_key(
             sets, key, attributes, self.scratch,
             rows=self.rows if small else None, start=start, sizing=self.sizing,

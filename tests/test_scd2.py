@@ -14,7 +14,7 @@ from docketworks.operators.dense_keys import add_dense_key
 from docketworks.session import Sizing
 
 DAY0 = datetime(2024, 1, 1)
-TINY = Sizing(single_task_rows=20, rows_per_partition=15)
+TINY = Sizing(single_task_rows=20, numbering_rows=20, rows_per_partition=15)
 SCHEMA = "k string, t timestamp_ntz, n int, v string, w int"
 COLUMNS = ("k", "v", "w", scd2.EFFECTIVE, scd2.END, scd2.CURRENT, scd2.VERSION)
 

@@ -16,7 +16,7 @@ from docketworks.operators.sequence import arrange
 from docketworks.session import Sizing
 
 # small enough that the hot keys of these tests are cut into many slices
-TINY = Sizing(single_task_rows=40, rows_per_partition=25)
+TINY = Sizing(single_task_rows=40, numbering_rows=50, rows_per_partition=25)
 
 
 @pytest.fixture(scope="module")

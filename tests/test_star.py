@@ -15,7 +15,7 @@ from docketworks.session import Sizing
 from docketworks.sources.snapshots import SnapshotStore
 from docketworks.sources.tables import create_external_tables
 
-TINY = Sizing(single_task_rows=100, rows_per_partition=200)
+TINY = Sizing(single_task_rows=100, numbering_rows=100, rows_per_partition=200)
 FACT_TABLE = serving.FACT_TABLE
 
 
