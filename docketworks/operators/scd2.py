@@ -79,10 +79,12 @@ def merge(
     new versions are numbered on from the largest stored key. Keys that the
     batch does not mention stay open.
     """
-    begin = batch.agg(F.min(time)).first()[0]
+    # as text, because a Python datetime would follow the driver's own time zone
+    begin = batch.agg(F.min(time).cast("string")).first()[0]
     if begin is None:
         return stored
-    settled = ~F.col(CURRENT) & (F.col(END) <= F.lit(begin))
+    begins = F.lit(begin).cast(batch.schema[time].dataType)
+    settled = ~F.col(CURRENT) & (F.col(END) <= begins)
     passed = stored.filter(settled)
 
     spans = batch.groupBy(*keys).agg(F.min(time).alias("_from"))
