@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketworks.llm import packing, prefix_counts, records, warc
+from docketworks.llm import hilbert, likelihood, packing, prefix_counts, records, warc
 from docketworks.llm.tables import read
 from docketworks.sources.scratch import Scratch
 
@@ -33,6 +33,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.shard(read(spark, sf_dir, "documents"), Scratch(spark))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve",
+    )
+
+
+def op7_likelihood_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return likelihood.judge(docs, read(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "score_steps",
+    )
+
+
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(
         read(spark, sf_dir, "documents"), vocabulary(WORD_TOKENS), RECORD_END, Scratch(spark)
@@ -61,6 +77,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_hilbert_shards": op4_hilbert_shards,
+    "op7_likelihood_rules": op7_likelihood_rules,
     "op8_binary_records": op8_binary_records,
     "op9_prefix_counts": op9_prefix_counts,
     "op10_warc": op10_warc,
