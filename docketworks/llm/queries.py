@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketworks.llm import hilbert, likelihood, packing, prefix_counts, records, warc
+from docketworks.llm import decontaminate, hilbert, likelihood, packing, prefix_counts, records, warc
 from docketworks.llm.tables import read
 from docketworks.sources.scratch import Scratch
 
@@ -33,6 +33,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), Scratch(spark)
+    ).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert.shard(read(spark, sf_dir, "documents"), Scratch(spark))
     return placed.select(
@@ -77,6 +83,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op7_likelihood_rules": op7_likelihood_rules,
     "op8_binary_records": op8_binary_records,
