@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketworks.llm import decontaminate, hilbert, likelihood, packing, prefix_counts, records, warc
+from docketworks.llm import decontaminate, hilbert, likelihood, minhash, packing, prefix_counts, records, warc
 from docketworks.llm.tables import read
 from docketworks.sources.scratch import Scratch
 
@@ -39,6 +39,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert.shard(read(spark, sf_dir, "documents"), Scratch(spark))
     return placed.select(
@@ -84,6 +88,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
+    "op3_minhash": op3_minhash,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op7_likelihood_rules": op7_likelihood_rules,
     "op8_binary_records": op8_binary_records,
