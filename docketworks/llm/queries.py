@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketworks.llm import decontaminate, hilbert, likelihood, minhash, packing, prefix_counts, records, warc
+from docketworks.llm import (
+    decontaminate, factorization, hilbert, likelihood, minhash, packing, prefix_counts, records, warc,
+)
 from docketworks.llm.tables import read
 from docketworks.sources.scratch import Scratch
 
@@ -51,6 +53,15 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = factorization.train(docs, read(spark, sf_dir, "labels"))
+    return factorization.score(docs, model).select(
+        "doc_id", factorization.held_out().alias("held_out"), "score",
+        (F.col("score") >= factorization.GOOD).cast("int").alias("predicted"),
+    )
+
+
 def op7_likelihood_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return likelihood.judge(docs, read(spark, sf_dir, "labels")).select(
@@ -90,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_minhash": op3_minhash,
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op6_factorization": op6_factorization,
     "op7_likelihood_rules": op7_likelihood_rules,
     "op8_binary_records": op8_binary_records,
     "op9_prefix_counts": op9_prefix_counts,
