@@ -32,7 +32,7 @@ LENGTH, CHECK, HEAD, ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.St
 READ_BYTES = 4_000_000
 
 MANIFEST = "part int, path string, index_path string, records long, tokens long"
-RECORD = "part int, doc_id long, in_part long, n_tokens long, ids binary"
+RECORD = "doc_id long, start long, n_tokens long, ids binary"
 
 
 class BrokenRecord(ValueError):
@@ -131,16 +131,16 @@ def write_records(
 
 def _reader(width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("in_part", pa.int64()),
-                            ("n_tokens", pa.int64()), ("ids", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
+                            ("ids", pa.binary())])
         for batch in batches:
-            for part, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows, size, before = [], 0, 0
+            for path, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows, size = [], 0
                 with reopen(path) as source:
                     stream = pa.BufferedInputStream(source, 1 << 20)
                     while (payload := unframe(lambda n: _exactly(stream, n))) is not None:
                         doc_id, ids = parse_payload(payload, width)
-                        rows.append((part, doc_id, before, len(ids), ids.astype("<u4").tobytes()))
+                        rows.append((doc_id, before, len(ids), ids.astype("<u4").tobytes()))
                         before, size = before + len(ids), size + 4 * len(ids)
                         if size > READ_BYTES:
                             yield _columns(rows, schema)
@@ -169,16 +169,10 @@ def read_records(manifest: DataFrame, width: int = 2) -> DataFrame:
 
     ``start`` counts the ids of all documents before; totals of the files come from the manifest.
     """
-    files = manifest.select("part", "path").repartition("path")
-    found = through(files, RECORD, _reader(width))
     # a row per file, as in the manifest
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = manifest.select(
-        "part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("_before")
-    )
-    return found.join(totals, "part").select(
-        "doc_id", (F.col("_before") + F.col("in_part")).alias("start"), "n_tokens", "ids"
-    )
+    files = manifest.select("path", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("_before"))
+    return through(files.repartition("path"), RECORD, _reader(width))
 
 
 def fetch(manifest_rows: list, doc_ids: list[int], width: int = 2) -> dict[int, list[np.ndarray]]:
