@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketworks.llm import (
-    decontaminate, factorization, hilbert, likelihood, minhash, packing, prefix_counts, records, warc,
+    decontaminate, factorization, hilbert, likelihood, main_text, minhash, packing, prefix_counts,
+    records, warc,
 )
 from docketworks.llm.tables import read
 from docketworks.sources.scratch import Scratch
@@ -53,6 +54,11 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = main_text.extract(read(spark, sf_dir, "pages"), Scratch(spark))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op6_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     model = factorization.train(docs, read(spark, sf_dir, "labels"))
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_minhash": op3_minhash,
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_main_text": op5_main_text,
     "op6_factorization": op6_factorization,
     "op7_likelihood_rules": op7_likelihood_rules,
     "op8_binary_records": op8_binary_records,
