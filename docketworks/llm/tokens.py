@@ -16,7 +16,7 @@ from itertools import chain
 
 import numpy as np
 
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 600_000
 KEPT_CHARS = 16_000_000
 
 
@@ -38,7 +38,9 @@ class ChunkEncoder:
     """Ids of texts; forgets all chunks when the table is full."""
 
     def __init__(self, path: str):
-        self._encode = tokenizer(path).encode_batch_fast
+        self._tokenizer = tokenizer(path)
+        special = [(t.content, i) for i, t in self._tokenizer.get_added_tokens_decoder().items() if t.special]
+        self._border, self._border_id = special[0] if special else (None, None)
         self._forget()
 
     def _forget(self) -> None:
@@ -49,12 +51,26 @@ class ChunkEncoder:
         self._flat = np.zeros(4096, np.uint32)
         self._used = 0
 
+    def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks and how many each has.
+
+        The library splits a text at special tokens before anything else, so many chunks with
+        one between them are encoded in one call as if each were alone.
+        """
+        encode = self._tokenizer.encode_batch_fast
+        if self._border is None or any(self._border in c for c in chunks):
+            found = [e.ids for e in encode(chunks, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            return lengths, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        ids = np.array(encode([self._border.join(chunks)], add_special_tokens=False)[0].ids, np.uint32)
+        borders = np.flatnonzero(ids == self._border_id)
+        lengths = np.diff(borders, prepend=-1, append=len(ids)) - 1
+        return lengths, np.delete(ids, borders)
+
     def _learn(self, chunks: list[str]) -> None:
         for at in range(0, len(chunks), 4096):
             some = chunks[at:at + 4096]
-            found = [e.ids for e in self._encode(some, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            more = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+            lengths, more = self._encode(some)
             first, used = len(self._index), self._used
             while first + len(some) > len(self._starts):
                 self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
