@@ -1,10 +1,78 @@
-"""The stages of the text corpus, from raw documents to packed sequences."""
+"""The stages of a training corpus, from raw documents to packed sequences.
+
+Each stage reads what its predecessor kept and returns the columns of ``documents``, but for the
+last, which returns the pieces of the sequences. Between stages the rows are written as Parquet.
+
+Rows without an id pass every stage by their text alone and are never taken for duplicates; of rows
+that repeat an id, the near-duplicate stage keeps one. Columns that the stages do not know, also such
+with names that operators use, are carried along. An empty table gives empty results.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docketworks.llm import decontaminate, factorization, likelihood, minhash, packing
+from docketworks.llm.queries import PACK_END, WORD_TOKENS, vocabulary
+from docketworks.llm.tables import read, restore, set_aside
+from docketworks.sources.scratch import Scratch
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the likelihood ratio."""
+    used = ["doc_id", "text"]
+    judged = likelihood.judge(set_aside(docs, used), read(spark, sf_dir, "labels"))
+    stored = Scratch(spark).stage(judged.select(*used, "_rest", "kept"), "judged")
+    return restore(stored.filter("kept"), docs.columns, used)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine scores as good."""
+    used = [c for c in ("doc_id", "text", "n_chars") if c in docs.columns]
+    aside = set_aside(docs, used)
+    scored = factorization.score(aside, factorization.train(aside, read(spark, sf_dir, "labels")))
+    return restore(scored.filter(F.col("score") >= factorization.GOOD), docs.columns, used)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near-duplicates."""
+    found = minhash.near_duplicates(docs, Scratch(spark))
+    dropped = found.filter("NOT kept").select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    repeated = docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id")
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in sequences of 2,048 ids."""
+    return packing.pack(docs, vocabulary(WORD_TOKENS), PACK_END, Scratch(spark)).select(
+        "doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packed),
+]
+
+#: Hashed models, tokenizer ids and packing order are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    scratch = Scratch(spark)
+    rows = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        rows = scratch.stage(stage(spark, rows, sf_dir), name)
+    return rows

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketworks.llm.tables import through
+from docketworks.llm.tables import ddl, through
 from docketworks.sources.scratch import Scratch
 
 # Fixed values of the rules: letters, digits and everything beyond ASCII make words
@@ -153,6 +153,27 @@ def _scan(shared, size: int, last: bool):
     return work
 
 
+def _clean(shared, size: int, at: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = _scanner(shared.value, size)
+        for batch in batches:
+            clean = [not len(scanner.scan(text)[1]) for text in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return work
+
+
+def _shared_blocks(benchmark: DataFrame, size: int, most: int) -> Iterator[tuple]:
+    """Every block of items as a broadcast of bounded size, and whether it is the last."""
+    context = benchmark.sparkSession.sparkContext
+    ahead = blocks(_items(benchmark), size, most)
+    block = next(ahead, [])
+    while block is not None:
+        following = next(ahead, None)
+        yield context.broadcast(tuple(block)), following is None
+        block = following
+
+
 def _items(benchmark: DataFrame) -> Iterator[tuple[str | None, str | None]]:
     """Items in one order, a partition at a time on the driver."""
     rows = benchmark.select(F.col("item_id").cast("string"), "text")
@@ -173,16 +194,23 @@ def scan(
     document ids pass through.
     """
     frame = docs.select(F.col("doc_id").cast("long"), "text")
-    ahead = blocks(_items(benchmark), window, block_chars)
-    block = next(ahead, [])
-    while block is not None:
-        following = next(ahead, None)
-        shared = frame.sparkSession.sparkContext.broadcast(tuple(block))  # bounded by block_chars
-        last = following is None
+    for shared, last in _shared_blocks(benchmark, window, block_chars):
         frame = through(frame, HITS if last else PASSED, _scan(shared, window, last))
         if not last:
             frame = scratch.stage(frame, "scanned")
-        block = following
+    return frame
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The rows of ``docs`` in which ``scan`` finds no hit, with all their columns."""
+    frame, at = docs, docs.columns.index("text")
+    for shared, last in _shared_blocks(benchmark, window, block_chars):
+        frame = through(frame, ddl(docs), _clean(shared, window, at))
+        if not last:
+            frame = scratch.stage(frame, "cleaned")
     return frame
 
 

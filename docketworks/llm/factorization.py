@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketworks.llm.tables import through
+from docketworks.llm.tables import ddl, through
 
 WORD_BUCKETS = 1 << 14
 RANK = 8
@@ -205,5 +205,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [pa.array(found, pa.float64()), *batch.columns], names=["score", *batch.schema.names]
             )
 
-    schema = "score double, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return through(docs, schema, work)
+    return through(docs, f"score double, {ddl(docs)}", work)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 4_000_000
 
@@ -30,3 +31,20 @@ def through(
 ) -> DataFrame:
     """``work`` over the batches of every task; its input comes in bounded slices."""
     return frame.mapInArrow(lambda batches: work(slices(batches)), schema)
+
+
+def set_aside(docs: DataFrame, used: Sequence[str]) -> DataFrame:
+    """``used`` columns and all others in one, so that no name clashes with an operator's."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(*others or [F.lit(None).cast("int").alias("_none")]).alias("_rest"))
+
+
+def restore(frame: DataFrame, columns: Sequence[str], used: Sequence[str]) -> DataFrame:
+    """The columns that ``set_aside`` was given, in their order."""
+    return frame.select(*[
+        F.col(f"`{c}`") if c in used else F.col("_rest").getField(c).alias(c) for c in columns
+    ])
+
+
+def ddl(frame: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
