@@ -183,7 +183,10 @@ def fact(w: Workspace) -> DataFrame:
 
 @query
 def star_increment(w: Workspace) -> DataFrame:
-    """Two loads of the star schema; the second must not change a key of the first."""
+    """Two loads of the star schema and the second once more.
+
+    The second must not change a key of the first, and its repetition nothing at all.
+    """
     cut = instant(w.as_of - timedelta(days=45))
     store = SnapshotStore(w.spark, w.scratch.path("increments"))
 
@@ -191,6 +194,7 @@ def star_increment(w: Workspace) -> DataFrame:
         return StarBuilder(w.silver.filter(condition), w.as_of, w.scratch, w.rows, w.sizing)
 
     load(F.col("record_timestamp") < cut).publish(store)
+    load(F.col("record_timestamp") >= cut).append(store)
     tables = load(F.col("record_timestamp") >= cut).append(store)
     return tables[serving.FACT_TABLE].select(
         "proceeding_sk", "defendant_sk", "case_details_sk", "court_sk", "case_id"
@@ -237,7 +241,7 @@ def _served(w: Workspace) -> dict[str, DataFrame]:
     w.star  # published on first use
     snapshot = w.store.latest()
     declared = create_external_tables(
-        w.spark, lambda table: w.store.location(snapshot, table), prefix="served_"
+        w.spark, lambda table: w.store.locations(snapshot, table), prefix="served_"
     )
     return {table: w.spark.table(name) for table, name in declared.items()}
 

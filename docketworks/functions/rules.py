@@ -18,7 +18,6 @@ from docketworks.functions.hashing import key_hash
 
 FELONY = vocab.SEVERITIES[2]
 LOW_INCOME = vocab.INCOME_LEVELS[0]
-REPRESENTED = (vocab.PRIVATE, vocab.ASSIGNED)
 ALONE = (vocab.SELF, vocab.PENDING)
 ENTITLED = (vocab.SELF, vocab.REQUESTED, vocab.PENDING)
 
@@ -82,7 +81,7 @@ def needs_representation(status: Column, severity: Column, income: Column, days:
         | ((income == LOW_INCOME) & status.isin(*ENTITLED))
         | ((days <= vocab.SOON_DAYS) & alone)
     )
-    return F.coalesce(due & ~status.isin(*REPRESENTED), F.lit(False))
+    return F.coalesce(due, F.lit(False))
 
 
 def defender_eligible(income: Column) -> Column:

@@ -4,9 +4,10 @@
     python -m docketworks.jobs ingest  --bronze DIR --checkpoint DIR --option key=value ...
     python -m docketworks.jobs silver  --bronze DIR --silver DIR
     python -m docketworks.jobs gold    --silver DIR --gold DIR
-    python -m docketworks.jobs serve   --gold DIR --report NAME
+    python -m docketworks.jobs serve   --gold DIR --report NAME --output DIR
 
-Connections and credentials come as options of the deployment.
+Reports are written below ``--output`` with all their rows; without it the first ones are
+printed beside the number of all rows. Connections and credentials come as options of the deployment.
 """
 
 from __future__ import annotations
@@ -59,7 +60,10 @@ def run_silver(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataF
     store = SnapshotStore(spark, args.silver, args.format)
     snapshot = store.publish({SILVER_TABLE: silver.clean(silver.parse(bronze), args.as_of)})
     stored = store.read(SILVER_TABLE, STORED_SILVER, snapshot)
+    prepare(spark, stored.count())
     return {
+        "date_quality": silver.date_quality(silver.parse(bronze), args.as_of),
+        "rejects": silver.rejects(bronze),
         "quality": silver.quality_report(stored),
         "sample": silver.sample(stored),
         "attorney_status": silver.attorney_status_summary(stored),
@@ -89,8 +93,11 @@ def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFra
 def run_serve(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     store = SnapshotStore(spark, args.gold, args.format)
     tables = read_star(store, store.latest())
+    prepare(spark, tables[serving.FACT_TABLE].count())  # from the footers
     view, fact = serving.analytics_view(tables), tables[serving.FACT_TABLE]
     reports = {
+        "analytics_view": lambda: view,
+        "weighted_scores": lambda: dashboards.weighted_scores(view),
         "gap_summary": lambda: serving.gap_summary(tables),
         "top_cases": lambda: serving.top_cases(tables),
         "validation_stats": lambda: serving.validation_stats(tables),
@@ -135,15 +142,29 @@ def parser() -> argparse.ArgumentParser:
     gold = job("gold", "silver", "gold")
     gold.add_argument("--cluster-fact", action="store_true", help="order its files by filing date")
     job("serve", "gold").add_argument("--report", action="append")
+    for name in ("silver", "gold", "serve"):
+        jobs.choices[name].add_argument("--output", help="folder for the reports, one table each")
     return top
 
 
+SHOWN = 50
+
+
+def deliver(name: str, report: DataFrame, output: str | None) -> None:
+    """Write a report whole, or print its first rows and how many there are."""
+    if output:
+        report.write.mode("overwrite").parquet(f"{output}/{name}")
+        return
+    rows = report.count()
+    print(f"== {name}: {rows} rows" + (f", the first {SHOWN} are shown" if rows > SHOWN else ""))
+    report.show(SHOWN, truncate=False)
+
+
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = prepare(spark or build_session(f"docketworks-{args.job}"))
     for name, report in (JOBS[args.job](spark, args) or {}).items():
-        print(f"== {name}")
-        report.show(50, truncate=False)
+        deliver(name, report, getattr(args, "output", None))
 
 
 if __name__ == "__main__":

@@ -222,7 +222,7 @@ def arrange(
         return sequenced(Part(frame, sliced=False))
 
     counted = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counted.filter(F.col("_rows") > sizing.hot_threshold(rows))
+    hot = counted.filter(F.col("_rows") > sizing.single_task_rows)
     hot = scratch.stage(hot, "hot-keys")
     in_hot = hot.agg(F.sum("_rows")).first()[0]
     if in_hot is None:
@@ -230,9 +230,10 @@ def arrange(
 
     marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     match = _same(frame, marked, [(k, f"_hot_{k}") for k in keys])
-    usual = frame.join(F.broadcast(marked), match, "left_anti")
+    # the stored table of hot keys is broadcast if its size allows, else joined by shuffles
+    usual = frame.join(marked, match, "left_anti")
     heavy = slice_by_order(
-        frame.join(F.broadcast(marked), match, "left_semi"),
+        frame.join(marked, match, "left_semi"),
         [*keys, *order],
         max(2, sizing.partitions(in_hot)),
         scratch,

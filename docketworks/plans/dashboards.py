@@ -41,38 +41,53 @@ def work_queue(view: DataFrame, size: int = 20) -> DataFrame:
 def weekly_trend(fact: DataFrame) -> DataFrame:
     """Filings and gap per week with the change from the week before.
 
-    The window runs over one row per week, not over the fact.
+    A week without filings has no row and counts as zero for the week after it. The
+    window runs over one row per week, not over the fact.
     """
     weekly = fact.groupBy(F.date_trunc("week", "case_filed_date").cast("date").alias("week")).agg(
         _rows().alias("filings"), _gap().alias("gap_cases"),
         percent(_gap(), _rows()).alias("gap_rate"),
     )
     by_week = Window.orderBy("week")
+    earlier = F.lag("week").over(by_week)
+
+    def change(column: str):
+        before = F.when(F.date_diff("week", earlier) == 7, F.lag(column).over(by_week)).otherwise(0)
+        return F.when(earlier.isNotNull(), F.col(column) - before)
+
     return weekly.withColumns({
-        "filings_change": F.col("filings") - F.lag("filings").over(by_week),
-        "gap_change": F.col("gap_cases") - F.lag("gap_cases").over(by_week),
+        "filings_change": change("filings"), "gap_change": change("gap_cases"),
     })
 
 
 def demographics(view: DataFrame) -> DataFrame:
-    """Gap by age group, by income, by charge type, and overall, in one pass."""
+    """Gap by age group, by income, by charge type, and overall, in one pass.
+
+    The rows are reduced to one per combination of keys first; the sets expand those.
+    """
     keys = ["defendant_age_group", "income_level", "charge_type"]
-    grouped = view.groupingSets([[F.col(k)] for k in keys] + [[]], *[F.col(k) for k in keys])
+    cells = view.groupBy(*keys).agg(_rows().alias("_cases"), _gap().alias("_gap"))
+    grouped = cells.groupingSets([[F.col(k)] for k in keys] + [[]], *[F.col(k) for k in keys])
     return grouped.agg(
-        F.grouping_id(*keys).cast("int").alias("grouping_level"),
-        _rows().alias("cases"), _gap().alias("gap_cases"),
-        percent(_gap(), _rows()).alias("gap_rate"),
+        F.grouping_id(*keys).cast("int").alias("grouping_level"), *_resummed()
     )
 
 
+def _resummed():
+    """Figures from sums per cell; those of no cell at all are zero."""
+    cases, gap = (F.coalesce(F.sum(c), F.lit(0).cast("long")) for c in ("_cases", "_gap"))
+    return cases.alias("cases"), gap.alias("gap_cases"), percent(gap, cases).alias("gap_rate")
+
+
 def geo_rollup(view: DataFrame) -> DataFrame:
     """Gap per judge, per district and overall."""
     keys = ["court_district", "assigned_judge"]
-    return view.rollup(*keys).agg(
-        F.grouping_id(*keys).cast("int").alias("grouping_level"),
-        _rows().alias("cases"), _gap().alias("gap_cases"),
-        percent(_gap(), _rows()).alias("gap_rate"),
-        F.sum("estimated_case_cost").alias("total_cost"),
+    cells = view.groupBy(*keys).agg(
+        _rows().alias("_cases"), _gap().alias("_gap"), F.sum("estimated_case_cost").alias("_cost")
+    )
+    return cells.rollup(*keys).agg(
+        F.grouping_id(*keys).cast("int").alias("grouping_level"), *_resummed(),
+        F.sum("_cost").alias("total_cost"),
     )
 
 
@@ -89,14 +104,20 @@ def budget_by_month(view: DataFrame) -> DataFrame:
 
 
 def executive_kpis(view: DataFrame) -> DataFrame:
+    """One row. Districts and courts are few and gathered as sets, so that the only distinct
+    count is that of the defendants and no row is copied per count."""
+    courts = F.collect_set(F.when(
+        F.col("court_district").isNotNull() & F.col("assigned_judge").isNotNull(),
+        F.struct("court_district", "assigned_judge"),
+    ))
     return view.agg(
         _rows().alias("proceedings"),
         _gap().alias("gap_cases"),
         percent(_gap(), _rows()).alias("gap_rate"),
         count_true(F.col("alert_triggered")).alias("alerts"),
         count_true(F.col("alert_priority") == "CRITICAL").alias("critical_alerts"),
-        F.count_distinct("court_district").alias("districts"),
-        F.count_distinct("court_district", "assigned_judge").alias("courts"),
+        F.size(F.collect_set("court_district")).cast("long").alias("districts"),
+        F.size(courts).cast("long").alias("courts"),
         F.count_distinct("defendant_id").alias("defendants"),
         mean(F.sum(SCORE), F.count(SCORE)).alias("avg_priority_score"),
         F.sum("estimated_case_cost").alias("total_cost"),

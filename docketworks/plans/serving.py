@@ -12,14 +12,22 @@ from docketworks.functions import rules
 from docketworks.functions.exact import mean, percent
 from docketworks.plans.silver import count_true
 from docketworks.plans.star import FACT_TABLE
-from docketworks.schemas import DIM_CASE, DIM_DEFENDANT, FACT, TEXT_LIMITS, names
+from docketworks.schemas import TEXT_LIMITS
 
 Tables = Mapping[str, DataFrame]
 
+# Fixed names of the analytics view
+DEFENDANT_COLUMNS = [
+    "defendant_age", "defendant_age_group", "defendant_gender", "income_level",
+    "defendant_zip_code", "attorney_status", "public_defender_eligible",
+]
+CASE_COLUMNS = ["charge_type", "charge_severity", "case_status", "hearing_type"]
 VIEW_COLUMNS = [
-    names(FACT)[0], *names(FACT)[4:17],
-    *names(DIM_DEFENDANT)[2:9],
-    *names(DIM_CASE)[2:6],
+    "proceeding_sk", "case_id", "defendant_id", "case_filed_date", "hearing_date",
+    "days_to_hearing", "case_duration_days", "needs_representation",
+    "representation_priority_score", "alert_triggered", "alert_priority", "intervention_needed",
+    "estimated_case_cost", "hearing_urgency_flag",
+    *DEFENDANT_COLUMNS, *CASE_COLUMNS,
     "court_district", "court_district_code", "assigned_judge",
     "priority_category", "hearing_urgency_category",
 ]
@@ -37,8 +45,8 @@ def _current(dim: DataFrame, attributes: list[str]) -> DataFrame:
 def _star(fact: DataFrame, tables: Tables) -> DataFrame:
     """Fact with the attributes of its dimensions. Catalyst prunes what is not used."""
     courts = tables["dim_court"].drop("created_timestamp")
-    defendants = _current(tables["dim_defendant"], names(DIM_DEFENDANT)[2:9])
-    cases = _current(tables["dim_case_details"], names(DIM_CASE)[2:6])
+    defendants = _current(tables["dim_defendant"], DEFENDANT_COLUMNS)
+    cases = _current(tables["dim_case_details"], CASE_COLUMNS)
     return (
         fact.join(courts, "court_sk")
         .join(cases, "case_details_sk")
@@ -102,7 +110,8 @@ def validation_stats(tables: Tables, approximate: bool = False) -> DataFrame:
         rows.alias("total_proceedings"),
         count_true(F.col("needs_representation")).alias("needs_representation_count"),
         mean(F.sum(SCORE), F.count(SCORE)).alias("avg_priority_score"),
-        distinct("court_district").alias("unique_courts"),
+        # courts are few: gathered as a set, so that no row is copied for a second distinct count
+        F.size(F.collect_set("court_district")).cast("long").alias("unique_courts"),
         distinct("defendant_id").alias("unique_defendants"),
     )
 

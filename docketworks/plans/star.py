@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,14 @@ DIMENSIONS = {
     "dim_case_details": tuple(CASE_ATTRIBUTES),
     "dim_court": ("court_district", "assigned_judge", "court_district_code"),
 }
+NATURAL_KEYS = {
+    "dim_defendant": ("defendant_id",),
+    "dim_case_details": ("case_id",),
+    "dim_court": ("court_district", "assigned_judge"),
+}
+# the hub records behind the fact rows, kept beside the four tables
+LOADED = "loaded_records"
+LOADED_FIELDS = (("eventhub_partition", "int"), ("eventhub_offset", "bigint"))
 FACT_ORDER = ("case_id", "defendant_id", "record_timestamp", *HUB_KEY)
 
 
@@ -43,6 +52,7 @@ class StarBuilder:
         sizing: Sizing | None = None,
     ):
         self.silver = silver
+        self.as_of = as_of
         self.now = rules.instant(as_of)
         self.scratch = scratch
         self.rows = rows
@@ -62,7 +72,7 @@ class StarBuilder:
         sets = self.silver.select(*attributes).distinct()
         start = 0
         if stored is not None:
-            known = stored.select(F.struct(*attributes).alias("_known"))
+            known = self.touched(table, stored).select(F.struct(*attributes).alias("_known"))
             sets = sets.join(known, F.struct(*attributes) == known["_known"], "left_anti")
             start = stored.agg(F.max(key)).first()[0] or 0
         small = self.rows is not None and self.rows <= self.sizing.numbering_rows
@@ -80,6 +90,26 @@ class StarBuilder:
         stamps = {name: value for name, value in first_version.items() if name in columns}
         return keyed.withColumns(stamps).select(*columns)
 
+    def touched(self, table: str, stored: DataFrame) -> DataFrame:
+        """Rows of a stored dimension whose natural key this silver mentions.
+
+        The mentioned keys are the small side, so the stored rows are filtered before
+        anything sorts or shuffles them by their attributes.
+        """
+        keys = NATURAL_KEYS[table]
+        mentioned = self.silver.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct()
+        same = [stored[k].eqNullSafe(mentioned[f"_key_{k}"]) for k in keys]
+        return stored.join(mentioned, reduce(lambda a, b: a & b, same), "left_semi")
+
+    def not_loaded(self, loaded: DataFrame) -> DataFrame:
+        """Silver rows whose hub record is not among ``loaded``; files beyond their range are skipped."""
+        partition, offset = HUB_KEY
+        low, high = self.silver.agg(F.min(offset), F.max(offset)).first()
+        if low is None:
+            return self.silver
+        near = loaded.filter(F.col(offset).between(low, high))
+        return self.silver.join(near, [partition, offset], "left_anti").select(*self.silver.columns)
+
     # -- fact ----------------------------------------------------------------
 
     def keyed_rows(self, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -143,24 +173,33 @@ class StarBuilder:
         snapshot = store.new_snapshot()
         dims = {t: store.write(snapshot, t, self.dimension(t)) for t in DIMENSIONS}
         self._write_fact(store, snapshot, dims, 0, cluster_fact)
+        store.write(snapshot, LOADED, self.silver.select(*HUB_KEY))
         store.commit(snapshot)
         return read_star(store, snapshot)
 
     def append(self, store: SnapshotStore, cluster_fact: bool = False) -> dict[str, DataFrame]:
         """Add this silver to the published star schema without renumbering anything.
 
-        Only new attribute sets and new fact rows are written; their keys go on
-        from the stored ones.
+        Only new attribute sets and new fact rows are written; their keys go on from the
+        stored ones. Hub records that an earlier load brought are left out, so a repeated
+        load adds nothing. The cost follows the batch: of the stored dimensions only rows with
+        its natural keys are joined.
         """
         before = store.latest()
         stored = read_star(store, before)
+        loaded = store.read(LOADED, LOADED_FIELDS, before)
+        batch = StarBuilder(
+            self.scratch.stage(self.not_loaded(loaded), "new-records"), self.as_of, self.scratch,
+            self.rows, self.sizing,
+        )
         snapshot = store.new_snapshot()
         dims = {}
         for table in DIMENSIONS:
-            added = store.write(snapshot, table, self.dimension(table, stored[table]))
-            dims[table] = stored[table].unionByName(added)
+            added = store.write(snapshot, table, batch.dimension(table, stored[table]))
+            dims[table] = batch.touched(table, stored[table]).unionByName(added)
         start = stored[FACT_TABLE].agg(F.max("proceeding_sk")).first()[0] or 0
-        self._write_fact(store, snapshot, dims, start, cluster_fact)
+        batch._write_fact(store, snapshot, dims, start, cluster_fact)
+        store.write(snapshot, LOADED, batch.silver.select(*HUB_KEY))
         store.commit(snapshot, added_to=before)
         return read_star(store, snapshot)
 

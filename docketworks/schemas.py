@@ -94,7 +94,6 @@ FACT: Fields = (
 
 DEFENDANT_ATTRIBUTES = names(DIM_DEFENDANT)[1:9]
 CASE_ATTRIBUTES = names(DIM_CASE)[1:6]
-COURT_ATTRIBUTES = names(DIM_COURT)[1:4]
 
 GOLD: dict[str, Fields] = {
     "dim_defendant": DIM_DEFENDANT,

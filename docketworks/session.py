@@ -30,15 +30,13 @@ class Sizing:
     ``numbering_rows``: the largest table that is numbered by one task; beyond it
     slices of half this size are faster as well (measured: even at 500,000 rows,
     half the time at 2,000,000). ``rows_per_partition``: target size of a shuffle
-    partition. ``max_hot_keys``: hard bound for the table of hot keys that is
-    broadcast.
+    partition.
     """
 
     single_task_rows: int = 5_000_000
     numbering_rows: int = 500_000
     rows_per_partition: int = 1_000_000
     max_partitions: int = 100_000
-    max_hot_keys: int = 10_000
 
     def partitions(self, rows: int) -> int:
         return max(1, min(self.max_partitions, math.ceil(rows / self.rows_per_partition)))
@@ -46,14 +44,6 @@ class Sizing:
     def numbering_slices(self, rows: int) -> int:
         return max(2, min(self.max_partitions, math.ceil(2 * rows / self.numbering_rows)))
 
-    def hot_threshold(self, rows: int) -> int:
-        """Group size above which a group is split.
-
-        Fewer than ``rows / threshold`` groups can be larger than it, so the
-        table of hot keys never has more than ``max_hot_keys`` rows.
-        """
-        return max(self.single_task_rows, math.ceil(rows / self.max_hot_keys))
-
 
 def prepare(spark: SparkSession, rows: int = 0, sizing: Sizing | None = None) -> SparkSession:
     """Apply the runtime settings; raise the shuffle width when ``rows`` asks for it."""

@@ -13,6 +13,7 @@ from collections import defaultdict
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +21,16 @@ from docketworks.schemas import Fields, ddl
 
 LOG = "_commits"
 LOG_FIELDS = (
-    ("snapshot", "string"), ("table_name", "string"), ("location", "string"),
+    ("number", "bigint"), ("snapshot", "string"), ("table_name", "string"), ("location", "string"),
     ("committed_at", "timestamp"),
 )
 Parts = dict[str, list[str]]
 
 
+class LostUpdate(RuntimeError):
+    """Another load was committed since the snapshot that this one adds to."""
+
+
 class SnapshotStore:
     """Snapshots below one folder. ``fmt`` may name any file format or table connector."""
 
@@ -56,14 +61,27 @@ class SnapshotStore:
         return self.spark.read.format(self.fmt).schema(frame.schema).load(location)
 
     def commit(self, snapshot: str, added_to: str | None = None) -> None:
-        """Make a snapshot visible, on top of the folders of ``added_to`` if given."""
+        """Make a snapshot visible, on top of the folders of ``added_to`` if given.
+
+        Commits are numbered from the log, so their order is not that of any clock. An
+        addition fails if ``added_to`` is no longer the newest, and if another commit took
+        the same number in the meantime.
+        """
+        number, newest = self._newest()
+        if added_to and added_to != newest:
+            raise LostUpdate(f"{newest} was committed after {added_to}")
         parts = self.parts(added_to) if added_to else {}
         for table, locations in self._written.pop(snapshot, {}).items():
             parts[table] = [*parts.get(table, []), *locations]
-        rows = [(snapshot, t, place) for t, places in parts.items() for place in places]
-        log = self.spark.createDataFrame(rows, "snapshot string, table_name string, location string")
+        rows = [(number + 1, snapshot, t, place) for t, places in parts.items() for place in places]
+        log = self.spark.createDataFrame(
+            rows, "number bigint, snapshot string, table_name string, location string"
+        )
         log = log.withColumn("committed_at", F.current_timestamp()).coalesce(1)
         log.write.mode("append").parquet(f"{self.base}/{LOG}")
+        rivals = self._log().filter(F.col("number") == number + 1).select("snapshot").distinct()
+        if added_to and rivals.count() > 1:
+            raise LostUpdate(f"two commits are numbered {number + 1}")
 
     def publish(self, tables: Mapping[str, DataFrame]) -> str:
         snapshot = self.new_snapshot()
@@ -75,8 +93,16 @@ class SnapshotStore:
     def _log(self) -> DataFrame:
         return self.spark.read.schema(ddl(LOG_FIELDS)).parquet(f"{self.base}/{LOG}")
 
+    def _newest(self) -> tuple[int, str | None]:
+        """Number and name of the newest commit; 0 and None before the first."""
+        try:
+            found = self._log().agg(F.max(F.struct("number", "snapshot")).alias("newest")).first()[0]
+        except AnalysisException:
+            return 0, None
+        return (found["number"], found["snapshot"]) if found else (0, None)
+
     def latest(self) -> str:
-        newest = self._log().agg(F.max("snapshot")).first()[0]
+        newest = self._newest()[1]
         if newest is None:
             raise LookupError(f"nothing was published below {self.base}")
         return newest
@@ -88,10 +114,9 @@ class SnapshotStore:
             found[row.table_name].append(row.location)
         return dict(found)
 
-    def location(self, snapshot: str, table: str) -> str:
-        """The one folder of a table, as an external table needs it."""
-        (only,) = self.parts(snapshot)[table]
-        return only
+    def locations(self, snapshot: str, table: str) -> list[str]:
+        """The folders of a table, one per load, as external tables need them."""
+        return self.parts(snapshot)[table]
 
     def read(self, table: str, fields: Fields, snapshot: str | None = None) -> DataFrame:
         """A published table under its declared schema."""

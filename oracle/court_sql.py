@@ -386,8 +386,12 @@ SQL: dict[str, str] = {
     "weekly_trend": f"""{_FACT}, weekly AS (
           SELECT CAST(date_trunc('week', filed) AS DATE) AS week, count(*) AS filings,
             {NEED} AS gap_cases, {_pct(NEED, 'count(*)')} AS gap_rate FROM fact GROUP BY 1)
-        SELECT *, filings - lag(filings) OVER (ORDER BY week) AS filings_change,
-          gap_cases - lag(gap_cases) OVER (ORDER BY week) AS gap_change FROM weekly""",
+        SELECT w.*,
+          CASE WHEN w.week > (SELECT min(week) FROM weekly)
+            THEN w.filings - coalesce(b.filings, 0) END AS filings_change,
+          CASE WHEN w.week > (SELECT min(week) FROM weekly)
+            THEN w.gap_cases - coalesce(b.gap_cases, 0) END AS gap_change
+        FROM weekly w LEFT JOIN weekly b ON b.week = w.week - 7""",
     "demographics": f"""{_FACT} SELECT defendant_age_group, income_level, charge_type,
         CAST(grouping(defendant_age_group, income_level, charge_type) AS INTEGER)
           AS grouping_level, {GAP}

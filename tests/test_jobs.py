@@ -28,3 +28,11 @@ def test_from_tables_to_reports(spark, tmp_path, capsys, workspace):
     sizes = {line.split("|")[1].strip(): int(line.split("|")[2]) for line in served.splitlines()
              if line.startswith("|") and "row_count" not in line}
     assert sizes == {table: frame.count() for table, frame in workspace.star.items()}
+
+    target = str(tmp_path / "reports")
+    assert run("serve", "--gold", place["gold"], "--report", "work_queue", "--output", target) == ""
+    queue = spark.read.parquet(f"{target}/work_queue")
+    districts = workspace.view().filter("needs_representation").groupBy("court_district").count().collect()
+    assert queue.count() == sum(min(20, r["count"]) for r in districts) > 50
+    printed = run("serve", "--gold", place["gold"], "--report", "work_queue")
+    assert f"work_queue: {queue.count()} rows, the first 50 are shown" in printed

@@ -8,11 +8,11 @@ import pytest
 from conftest import AS_OF, plan_of, rows_of
 from pyspark.sql import functions as F
 
-from docketworks.plans import serving, silver
+from docketworks.plans import dashboards, serving, silver
 from docketworks.plans.star import DIMENSIONS, StarBuilder
 from docketworks.schemas import BRONZE, FACT, GOLD, ddl, names
 from docketworks.session import Sizing
-from docketworks.sources.snapshots import SnapshotStore
+from docketworks.sources.snapshots import LostUpdate, SnapshotStore
 from docketworks.sources.tables import create_external_tables
 
 TINY = Sizing(single_task_rows=100, numbering_rows=100, rows_per_partition=200)
@@ -114,6 +114,85 @@ def test_appended_loads_keep_all_keys(workspace, scratch, sizing):
     assert rows_of(serving.gap_summary(tables)) == rows_of(serving.gap_summary(workspace.star))
 
 
+@pytest.fixture(scope="module")
+def grown(workspace, scratch):
+    """A store after a first load, an increment and the same increment again."""
+    store = SnapshotStore(workspace.spark, scratch.path("grown"))
+    early = F.col("record_timestamp") < F.lit(AS_OF - timedelta(days=45))
+
+    def load(rows):
+        return StarBuilder(workspace.silver.filter(rows), AS_OF, scratch, workspace.rows)
+
+    load(early).publish(store)
+    once = {t: f.count() for t, f in load(~early).append(store).items()}
+    return store, once, load(~early).append(store)
+
+
+def test_a_repeated_increment_adds_nothing(workspace, grown):
+    _, once, twice = grown
+    assert {t: f.count() for t, f in twice.items()} == once
+    assert once[FACT_TABLE] == workspace.fact.count()
+    low, high, different = twice[FACT_TABLE].agg(
+        F.min("proceeding_sk"), F.max("proceeding_sk"), F.count_distinct("proceeding_sk")).first()
+    assert (low, high, different) == (1, once[FACT_TABLE], once[FACT_TABLE])
+
+
+def test_external_tables_after_increments(workspace, grown):
+    store, once, _ = grown
+    snapshot = store.latest()
+    for _ in range(2):  # declaring them again replaces the entries
+        made = create_external_tables(
+            workspace.spark, lambda t: store.locations(snapshot, t), prefix="grown_")
+    assert {t: workspace.spark.table(n).count() for t, n in made.items()} == once
+    assert workspace.spark.table(made[FACT_TABLE]).dtypes == list(FACT)
+
+
+def test_a_managed_table_is_not_dropped(workspace):
+    spark = workspace.spark
+    spark.range(3).write.mode("overwrite").saveAsTable("kept_dim_court")
+    try:
+        with pytest.raises(ValueError, match="managed"):
+            create_external_tables(
+                spark, lambda t: workspace.store.locations(workspace.store.latest(), t), prefix="kept_")
+        assert spark.table("kept_dim_court").count() == 3
+    finally:
+        spark.sql("DROP TABLE kept_dim_court")
+        spark.sql("DROP TABLE IF EXISTS kept_dim_defendant")
+        spark.sql("DROP TABLE IF EXISTS kept_dim_case_details")
+
+
+def test_an_addition_to_an_old_snapshot_fails(spark, scratch):
+    store = SnapshotStore(spark, scratch.path("rivals"))
+    first = store.publish({"t": spark.range(3)})
+    for number in range(2):
+        mine = store.new_snapshot()
+        store.write(mine, "t", spark.range(2))
+        if number:
+            with pytest.raises(LostUpdate):
+                store.commit(mine, added_to=first)
+        else:
+            store.commit(mine, added_to=first)
+    assert store.read("t", (("id", "bigint"),)).count() == 5
+
+
+def test_a_week_without_filings_counts_as_zero(spark):
+    rows = [("2024-01-01", True), ("2024-01-02", False), ("2024-01-22", True), ("2024-01-29", False)]
+    fact = spark.createDataFrame(rows, "d string, needs_representation boolean").select(
+        F.col("d").cast("timestamp").alias("case_filed_date"), "needs_representation")
+    found = [(str(r["week"]), r["filings_change"], r["gap_change"])
+             for r in dashboards.weekly_trend(fact).orderBy("week").collect()]
+    assert found == [("2024-01-01", None, None), ("2024-01-22", 1, 1), ("2024-01-29", 0, -1)]
+
+
+def test_no_report_copies_every_row(workspace):
+    view = workspace.view()
+    for report in (dashboards.executive_kpis(view), serving.validation_stats(workspace.star)):
+        assert "Expand" not in plan_of(report)
+    for report in (dashboards.demographics(view), dashboards.geo_rollup(view)):
+        inner = below("Expand", plan_of(report))
+        assert any("HashAggregate" in line for line in inner)
+
+
 def test_view_shows_current_versions_only(workspace):
     star = dict(workspace.star)
     closed = F.col("defendant_sk") == 1
@@ -158,7 +237,7 @@ def test_external_tables_have_declared_types(workspace):
     workspace.star
     snapshot = workspace.store.latest()
     made = create_external_tables(
-        workspace.spark, lambda t: workspace.store.location(snapshot, t), prefix="typed_")
+        workspace.spark, lambda t: workspace.store.locations(snapshot, t), prefix="typed_")
     assert workspace.spark.table(made[FACT_TABLE]).dtypes == list(FACT)
 
 
