@@ -341,6 +341,31 @@ def scd2_merge(w: Workspace) -> DataFrame:
     )
 
 
+@query
+def scd2_merge_late(w: Workspace) -> DataFrame:
+    """Three loads in no order of time, the second one delivered twice."""
+    events = w.scratch.stage(
+        _attorney_events(w).withColumn("_load", key_hash(F.col("case_id"), "load") % 3), "shuffled-events"
+    )
+    parts = [events.filter(F.col("_load") == n).drop("_load") for n in range(3)]
+    first = scd2.history(
+        parts[0], ["defendant_id"], ["attorney_status"], "record_timestamp", TIES, w.scratch,
+        w.rows, w.sizing, with_ties=True,
+    )
+    stored = w.scratch.stage(
+        add_dense_key(first, "defendant_sk", ["defendant_id", scd2.VERSION], w.scratch, w.rows,
+                      sizing=w.sizing), "first-load",
+    )
+    log = parts[0]
+    for batch in (parts[1], parts[2], parts[1]):
+        stored = w.scratch.stage(scd2.merge_log(
+            stored, log, batch, "defendant_sk", ["defendant_id"], ["attorney_status"],
+            "record_timestamp", TIES, w.scratch, 3 * w.rows, w.sizing,
+        ), "merged-load")
+        log = log.unionByName(batch)
+    return stored.drop("defendant_sk", *TIES)
+
+
 @query
 def case_history(w: Workspace) -> DataFrame:
     """Each proceeding with the attorney version in force when it was recorded."""

@@ -363,6 +363,8 @@ SQL: dict[str, str] = {
     "scd2_merge": f"""{_VERSIONS} SELECT row_number() OVER (
           ORDER BY effective >= {AS_OF} - INTERVAL 45 DAY, defendant_id, version) AS defendant_sk,
         defendant_id, attorney_status, {VERSION_COLUMNS} FROM versions""",
+    "scd2_merge_late": f"""{_VERSIONS} SELECT defendant_id, attorney_status, {VERSION_COLUMNS}
+        FROM versions""",
     "case_history": f"""{_VERSIONS} SELECT c.case_id, c.defendant_id,
         {_text('c.filed', 'record_timestamp')}, v.attorney_status, {VERSION_COLUMNS}
         FROM cleaned c JOIN versions v ON c.defendant_id = v.defendant_id

@@ -134,3 +134,54 @@ def test_empty_batch_and_empty_store(spark, scratch):
     fresh = merged(spark, scratch, scratch.stage(stored.filter("false"), "none"),
                    [("a", 1, 0, "x", 1)])
     assert rows_of(fresh, "sk", "k", scd2.VERSION) == [(1, "a", 1)]
+
+
+# --- batches in any order ---------------------------------------------------------
+
+def merged_by_log(spark, scratch, loads, sizing=None):
+    """The dimension after all loads, and after each its surrogate key per opening event."""
+    stored = scratch.stage(add_dense_key(
+        scd2.history(frame_of(spark, loads[0]), ["k"], ["v", "w"], "t", ["n"], scratch, sizing=sizing,
+                     with_ties=True), "sk", ["k", scd2.VERSION], scratch), "first")
+    log = list(loads[0])
+    for events in loads[1:]:
+        stored = scratch.stage(scd2.merge_log(
+            stored, frame_of(spark, log), frame_of(spark, events), "sk", ["k"], ["v", "w"], "t", ["n"],
+            scratch, sizing=sizing), "log")
+        log += events
+    return stored
+
+
+def test_late_event_against_a_confirmed_version(spark, scratch):
+    loads = [[("a", 1, 0, "A", 1), ("a", 4, 1, "A", 1), ("a", 5, 2, "A", 1)], [("a", 3, 3, "C", 1)]]
+    result = merged_by_log(spark, scratch, loads)
+    assert rows_of(result, "v", scd2.EFFECTIVE, scd2.END, "sk") == [
+        ("A", at(1), at(3), 1), ("A", at(4), None, 3), ("C", at(3), at(4), 2)]
+
+
+def test_a_late_confirmation_moves_the_beginning_and_keeps_the_key(spark, scratch):
+    loads = [[("a", 1, 0, "A", 1), ("a", 5, 1, "B", 1)], [("a", 3, 2, "B", 1)]]
+    result = merged_by_log(spark, scratch, loads)
+    assert rows_of(result, "v", scd2.EFFECTIVE, "sk") == [("A", at(1), 1), ("B", at(3), 2)]
+
+
+def test_events_of_one_instant_delivered_twice(spark, scratch):
+    both = [("a", 1, 0, "A", 1), ("a", 1, 1, "B", 1)]
+    result = merged_by_log(spark, scratch, [both, both, both[1:]])
+    assert rows_of(result, "v", scd2.VERSION, "sk") == [("A", 1, 1), ("B", 2, 2)]
+
+
+@pytest.mark.parametrize("seed, sizing", [(1, None), (2, TINY)])
+def test_batches_in_any_order_equal_the_history_of_everything(spark, scratch, seed, sizing):
+    events = random_events(seed, 240, 0, 25)  # many ties
+    rng = random.Random(seed)
+    loads = [[], [], []]
+    for event in events:
+        for i in set(rng.choices(range(3), k=2)):  # some in two loads
+            loads[i].append(event)
+    result = merged_by_log(spark, scratch, loads, sizing)
+    assert rows_of(result, *COLUMNS) == replay(events)
+    numbers = [r[0] for r in rows_of(result, "sk")]
+    assert numbers == list(range(1, len(numbers) + 1))
+    current = result.groupBy("k").agg(F.count_if(scd2.CURRENT).alias("c"))
+    assert current.filter("c <> 1").count() == 0
