@@ -71,6 +71,26 @@ def silver_clean(w: Workspace) -> DataFrame:
     return w.clean()
 
 
+@query
+def silver_deduped(w: Workspace) -> DataFrame:
+    """Silver of a feed in which every fifth record came twice."""
+    payload = w.payload()
+    again = payload.filter(key_hash(F.col("feed_key"), "dup") % 5 == 0)
+    copies = w.bronze_of(payload.unionByName(again))
+    return silver.clean(silver.parse(silver.drop_copies(copies)), w.as_of)
+
+
+@query
+def unreadable_fields(w: Workspace) -> DataFrame:
+    """Number fields that could not be read, among good and broken documents."""
+    broken = w.table("documents").select(
+        F.col("text").alias("raw_json"), F.lit(None).cast("timestamp").alias("eventhub_timestamp"),
+        F.lit(0).alias("eventhub_partition"), F.col("doc_id").alias("eventhub_offset"),
+        instant(w.as_of).alias("bronze_ingestion_timestamp"),
+    )
+    return silver.unreadable_summary(feed.spoil_numbers(w.bronze()).unionByName(broken))
+
+
 @query
 def silver_extras(w: Workspace) -> DataFrame:
     return w.clean(extras=True).select(

@@ -2,6 +2,9 @@
 
     python -m docketworks.jobs feed    --tables DIR --landing DIR
     python -m docketworks.jobs ingest  --bronze DIR --checkpoint DIR --option key=value ...
+    python -m docketworks.jobs alerts  --bronze DIR --target DIR --checkpoint DIR
+    python -m docketworks.jobs dedupe  --bronze DIR --target DIR --checkpoint DIR
+    python -m docketworks.jobs compact --bronze DIR --target DIR
     python -m docketworks.jobs silver  --bronze DIR --silver DIR
     python -m docketworks.jobs gold    --silver DIR --gold DIR
     python -m docketworks.jobs serve   --gold DIR --report NAME --output DIR
@@ -19,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docketworks.plans import dashboards, serving, silver
 from docketworks.plans.star import StarBuilder, read_star
-from docketworks.schemas import BRONZE, SILVER, SILVER_TRACE, ddl
+from docketworks.schemas import BRONZE, HUB_KEY, SILVER, SILVER_TRACE, ddl
 from docketworks.session import build_session, prepare
 from docketworks.sources import feed, hub
 from docketworks.sources.scratch import Scratch
 from docketworks.sources.snapshots import SnapshotStore
-from docketworks.streaming import ingest
+from docketworks.streaming import alerts, dedupe, ingest
 
 STORED_SILVER = (*SILVER, *SILVER_TRACE)
 SILVER_TABLE = "court_proceedings"
@@ -54,15 +57,61 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def _bronze_stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    reader = spark.readStream.format(args.format).schema(ddl(BRONZE))
+    if args.files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", args.files_per_trigger)
+    return reader.load(args.bronze)
+
+
+def _append(stream: DataFrame, args: argparse.Namespace) -> None:
+    query = ingest.append_stream(
+        stream, args.target, args.checkpoint, None if args.once else args.every, args.format
+    )
+    ingest.wait(query, args.seconds)
+    late = sum(int(o.get("numRowsDroppedByWatermark", 0))
+               for p in query.recentProgress for o in p.get("stateOperators", []))
+    print(f"rows dropped as late, in the recent batches: {late}")
+
+
+def run_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Alerts from the bronze files as they arrive; ``--counts`` adds them up per window."""
+    scored = alerts.scored_stream(_bronze_stream(spark, args), args.delay)
+    _append(alerts.alert_counts(scored) if args.counts else alerts.alert_stream(scored), args)
+
+
+def run_dedupe(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Bronze without repeated hub records, as a stream."""
+    stream = _bronze_stream(spark, args)
+    _append(dedupe.drop_repeats(stream, HUB_KEY, alerts.EVENT_TIME, args.delay), args)
+
+
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Many small bronze files into few large ones, in a new folder; the old one stays as it is."""
+    bronze = spark.read.format(args.format).schema(ddl(BRONZE)).load(args.bronze)
+    # a rebalance cuts and joins partitions by their size
+    bronze.hint("rebalance").write.format(args.format).mode("errorifexists").save(args.target)
+
+
 def run_silver(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
-    """Rebuild silver; the reports read the stored result, so they agree with it."""
+    """Rebuild silver; the reports read the stored result, so they agree with it.
+
+    A hub record that was delivered twice counts once; ``--latest`` keeps the newest record of
+    each case and defendant only.
+    """
     bronze = spark.read.format(args.format).schema(ddl(BRONZE)).load(args.bronze)
+    prepare(spark, bronze.count())
+    bronze = silver.drop_copies(bronze)
+    parsed = silver.parse(bronze)
+    if args.latest:
+        parsed = silver.latest_per_case(parsed)
     store = SnapshotStore(spark, args.silver, args.format)
-    snapshot = store.publish({SILVER_TABLE: silver.clean(silver.parse(bronze), args.as_of)})
+    snapshot = store.publish({SILVER_TABLE: silver.clean(parsed, args.as_of)})
     stored = store.read(SILVER_TABLE, STORED_SILVER, snapshot)
     prepare(spark, stored.count())
     return {
-        "date_quality": silver.date_quality(silver.parse(bronze), args.as_of),
+        "date_quality": silver.date_quality(parsed, args.as_of),
+        "unreadable": silver.unreadable_summary(bronze),
         "rejects": silver.rejects(bronze),
         "quality": silver.quality_report(stored),
         "sample": silver.sample(stored),
@@ -113,8 +162,8 @@ def run_serve(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFr
     return {name: reports[name]() for name in args.report or reports}
 
 
-JOBS = {"feed": run_feed, "ingest": run_ingest, "silver": run_silver, "gold": run_gold,
-        "serve": run_serve}
+JOBS = {"feed": run_feed, "ingest": run_ingest, "alerts": run_alerts, "dedupe": run_dedupe,
+        "compact": run_compact, "silver": run_silver, "gold": run_gold, "serve": run_serve}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -138,7 +187,16 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--once", action="store_true", help="take what is there, then stop")
     stream.add_argument("--seconds", type=int, help="stop waiting after this time")
     stream.add_argument("--monitor", action="store_true", help="also print the records")
-    job("silver", "bronze", "silver")
+    for name in ("alerts", "dedupe"):
+        one = job(name, "bronze", "target", "checkpoint")
+        one.add_argument("--delay", default="2 days", help="how late a record may come")
+        one.add_argument("--files-per-trigger", type=int, help="files of one micro-batch")
+        one.add_argument("--every", default=ingest.TRIGGER)
+        one.add_argument("--once", action="store_true")
+        one.add_argument("--seconds", type=int)
+    jobs.choices["alerts"].add_argument("--counts", action="store_true", help="per day and district")
+    job("compact", "bronze", "target")
+    job("silver", "bronze", "silver").add_argument("--latest", action="store_true")
     gold = job("gold", "silver", "gold")
     gold.add_argument("--cluster-fact", action="store_true", help="order its files by filing date")
     job("serve", "gold").add_argument("--report", action="append")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docketworks import vocab
 from docketworks.functions import rules
 from docketworks.functions.exact import percent
+from docketworks.operators.latest import latest_per_key
 from docketworks.schemas import (
     DATE_FIELDS, HUB_KEY, PAYLOAD, SILVER, SILVER_EXTRAS, SILVER_TRACE, ddl, names,
 )
@@ -35,6 +36,33 @@ def rejects(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.coalesce(event, nothing) == nothing)
 
 
+NUMBERS = tuple(name for name, kind in PAYLOAD if kind == "int")
+
+
+def drop_copies(bronze: DataFrame) -> DataFrame:
+    """One row per hub record. Copies are reduced before the shuffle, however many there are."""
+    return bronze.dropDuplicates(list(HUB_KEY))
+
+
+def latest_per_case(parsed: DataFrame) -> DataFrame:
+    """The newest record of each (case_id, defendant_id), by record time and hub position."""
+    return latest_per_key(parsed, ["case_id", "defendant_id"], ["record_timestamp", *HUB_KEY])
+
+
+def unreadable_fields(bronze: DataFrame) -> DataFrame:
+    """Documents that could be read but for some number fields, with the names of these.
+
+    The text of a field is compared with its typed value: a field that is there and has no value
+    could not be read. Documents without any readable field are ``rejects``.
+    """
+    typed = F.from_json("raw_json", ddl(PAYLOAD))
+    text = F.from_json("raw_json", ", ".join(f"{name} string" for name in NUMBERS))
+    lost = F.array_compact(F.array(*[
+        F.when(text[name].isNotNull() & typed[name].isNull(), F.lit(name)) for name in NUMBERS
+    ]))
+    return bronze.withColumn("unreadable", lost).filter(F.size("unreadable") > 0)
+
+
 def parse_evolving(bronze: DataFrame, extra: str = "extra_fields") -> DataFrame:
     """Like ``parse``, and fields the schema does not know stay available as a map."""
     everything = F.from_json("raw_json", "map<string,string>")
@@ -96,6 +124,12 @@ def count_true(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def unreadable_summary(bronze: DataFrame) -> DataFrame:
+    """Records per field that could not be read."""
+    names_lost = unreadable_fields(bronze).select(F.explode("unreadable").alias("field"))
+    return names_lost.groupBy("field").agg(F.count(F.lit(1)).alias("records"))
+
+
 def quality_report(silver: DataFrame) -> DataFrame:
     """One row of quality figures from a single aggregate."""
     needed = count_true(F.col("needs_representation"))

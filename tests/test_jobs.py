@@ -36,3 +36,22 @@ def test_from_tables_to_reports(spark, tmp_path, capsys, workspace):
     assert queue.count() == sum(min(20, r["count"]) for r in districts) > 50
     printed = run("serve", "--gold", place["gold"], "--report", "work_queue")
     assert f"work_queue: {queue.count()} rows, the first 50 are shown" in printed
+
+
+def test_stream_jobs_and_compaction(spark, tmp_path, capsys, workspace):
+    place = {name: str(tmp_path / name) for name in ("bronze", "alerts", "c1", "unique", "c2", "compact")}
+    workspace.bronze().unionByName(workspace.bronze().limit(50)).repartition(6).write.parquet(place["bronze"])
+
+    def run(job, *arguments):
+        main([job, *arguments, "--as-of", "2024-06-01"], spark)
+        return capsys.readouterr().out
+
+    for _ in range(2):  # the second run goes on from the checkpoint and finds nothing
+        assert "dropped as late" in run(
+            "dedupe", "--bronze", place["bronze"], "--target", place["unique"], "--checkpoint", place["c2"],
+            "--delay", "400 days", "--files-per-trigger", "2", "--once")
+        assert spark.read.parquet(place["unique"]).count() == workspace.rows
+    run("alerts", "--bronze", place["bronze"], "--target", place["alerts"], "--checkpoint", place["c1"], "--once")
+    assert spark.read.parquet(place["alerts"]).columns[:2] == ["case_id", "defendant_id"]
+    run("compact", "--bronze", place["bronze"], "--target", place["compact"])
+    assert spark.read.parquet(place["compact"]).count() == workspace.rows + 50
