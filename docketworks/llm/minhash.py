@@ -1,18 +1,20 @@
 """Near-duplicate documents: MinHash, banding, signature and full verification, components.
 
 1. Texts with equal shingle sets are one class from the start, named by its smallest id.
-2. A class gets ``HASHES`` minima of universal hashes. Bands of ``ROWS`` minima give
-   bucket keys; classes that share a key are candidates. With 20 bands of 4, a pair
-   at the limit of 0.85 shares no key with a probability of 4e-7.
-3. Every member of a bucket is compared with the bucket's smallest member: first the signatures
-   (a pair passes unless its agreement is five standard deviations below the limit), then the
-   full sets. Links give components.
-4. Buckets that still hold several components are compared in full, in blocks, but only pairs
+2. A class gets minima of universal hashes. Bands of ``ROWS`` minima give bucket keys;
+   classes that share a key are candidates. With 20 bands of 4, a pair at the limit of 0.85
+   shares no key with a probability of 4e-7.
+3. Members of shared buckets get a longer signature of ``HASHES`` minima, and their sets are kept.
+4. Every member of a bucket is compared with the bucket's smallest member: first the signatures
+   (a pair passes unless its agreement is five standard deviations below the limit), then
+   bounds from sizes and parities, which never refuse a link, then the full sets. Links
+   give components.
+5. Buckets that still hold several components are compared in full, in blocks, but only pairs
    from different components are kept; these go through the same verification. Pairs inside a
    component need no comparison, so a large group of near copies costs one comparison per member.
 
-Only ids, sizes and signatures are shuffled for candidates; sets are rebuilt from the texts of
-the documents that some candidate pair names.
+Ids and keys are shuffled for all documents; signatures and sets only for members of shared
+buckets, after their texts were looked up once.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketworks.llm.components import components
-from docketworks.llm.shingles import SHINGLE, alike, hash_family, set_key, shingle_set, signature
+from docketworks.llm.shingles import (
+    SHINGLE, alike, hash_family, may_be_alike, parity, set_key, shingle_set, signature,
+)
 from docketworks.llm.tables import through
 from docketworks.sources.scratch import Scratch
 
@@ -36,7 +40,8 @@ PERCENT = 85
 BLOCK = 512
 DEVIATIONS = 5
 
-FEATURES = "doc_id long, n_shingles long, set_key binary, minima binary"
+FEATURES = "doc_id long, n_shingles long, set_key binary, keys array<long>"
+MEMBER = "doc_id long, n_shingles long, minima binary, parity binary, shingles binary"
 PAIR = "u long, v long"
 
 
@@ -46,51 +51,71 @@ def least_agreement(percent: int, hashes: int = HASHES) -> int:
     return math.floor(hashes * share - DEVIATIONS * math.sqrt(hashes * share * (1 - share)))
 
 
+def band_keys(minima: np.ndarray) -> np.ndarray:
+    """One number per band from the first minima, of which 16 bits count as in the signatures."""
+    rows = minima[:BANDS * ROWS].astype("<u2").astype(np.uint64).reshape(BANDS, ROWS)
+    mixed = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    for column in rows.T:
+        mixed = (mixed ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    return mixed.astype(np.int64)
+
+
 def _features(size: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = hash_family(HASHES)
+        family = tuple(part[:BANDS * ROWS] for part in hash_family(HASHES))
         for batch in batches:
-            counts, keys, minima = [], [], []
+            counts, set_keys, keys = [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingle_set(text, size)
                 counts.append(len(found))
-                keys.append(set_key(found) if len(found) else None)
-                # 16 bits of each minimum tell different minima apart well enough
-                minima.append(signature(found, family).astype("<u2").tobytes() if len(found) else None)
+                set_keys.append(set_key(found) if len(found) else None)
+                keys.append(band_keys(signature(found, family)) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(minima, pa.binary())],
-                names=["doc_id", "n_shingles", "set_key", "minima"],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(set_keys, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "set_key", "keys"],
             )
 
     return work
 
 
-def _band_keys() -> Column:
-    width = 2 * ROWS
-    return F.explode_outer(F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda band: F.struct(
-            band.alias("band"),
-            F.xxhash64(band, F.substring(F.col("minima"), band * width + 1, F.lit(width))).alias("key"),
-        ),
-    ))
+def _members(size: int):
+    """(doc_id, text, set_key of its class) to signature and set, if the text is that of the class."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = hash_family(HASHES)
+        for batch in batches:
+            rows = []
+            for doc_id, text, expected in zip(*(c.to_pylist() for c in batch.columns)):
+                found = shingle_set(text, size)
+                if len(found) and set_key(found) == expected:
+                    # 16 bits of each minimum tell different minima apart well enough
+                    rows.append((doc_id, len(found), signature(found, family).astype("<u2").tobytes(),
+                                 parity(found).tobytes(), found.tobytes()))
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)],
+                    names=["doc_id", "n_shingles", "minima", "parity", "shingles"],
+                )
+
+    return work
 
 
-def _size_allows(one: str, other: str, percent: int) -> Column:
-    return F.least(one, other) * 100 >= F.greatest(one, other) * percent
+def _rows_of(column: pa.Array, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def _agreeing(least: int):
-    """Pairs (u, v, minima of u, minima of v) with enough equal minima."""
+def _agreeing(least: int, percent: int):
+    """Pairs (u, v, sizes, minima, parities) that may be alike."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, other = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(batch.num_rows, -1)
-                for i in (2, 3)
-            )
-            chosen = pa.array((one == other).sum(axis=1) >= least)
-            yield batch.select(["u", "v"]).filter(chosen)
+            sizes, other_sizes = (batch.column(i).to_numpy() for i in (2, 3))
+            minima, others = (_rows_of(batch.column(i), "<u2") for i in (4, 5))
+            bits, other_bits = (_rows_of(batch.column(i), np.uint8) for i in (6, 7))
+            chosen = (minima == others).sum(axis=1) >= least
+            chosen &= may_be_alike(sizes, other_sizes, bits, other_bits, percent)
+            yield batch.select(["u", "v"]).filter(pa.array(chosen))
 
     return work
 
@@ -109,33 +134,19 @@ def _linked(percent: int):
     return work
 
 
-def _both_ends(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
-    """u, v and ``value`` of either, from ``table`` by ``doc_id``."""
-    one = table.select(F.col("doc_id").alias("u"), F.col(value).alias("_one"))
-    other = table.select(F.col("doc_id").alias("v"), F.col(value).alias("_other"))
-    return pairs.join(one, "u").join(other, "v").select("u", "v", "_one", "_other")
-
-
-def _sets(docs: DataFrame, pairs: DataFrame, size: int, scratch: Scratch) -> DataFrame:
-    """The full sets of the documents that ``pairs`` name."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t, size).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())],
-                                             names=["doc_id", "shingles"])
-
-    named = pairs.select(F.col("u").alias("doc_id")).unionByName(
-        pairs.select(F.col("v").alias("doc_id"))
-    ).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(named, "doc_id", "left_semi")
-    return scratch.stage(through(texts, "doc_id long, shingles binary", work), "sets")
+def _both_ends(pairs: DataFrame, members: DataFrame, *values: str) -> DataFrame:
+    """u, v and ``values`` of either end, from ``members`` by ``doc_id``."""
+    one, other = (
+        members.select(F.col("doc_id").alias(end), *[F.col(c).alias(f"_{end}_{c}") for c in values])
+        for end in ("u", "v")
+    )
+    ends = [f"_{end}_{c}" for c in values for end in ("u", "v")]
+    return pairs.join(one, "u").join(other, "v").select("u", "v", *ends)
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, percent: int, size: int, scratch: Scratch) -> DataFrame:
-    sets = _sets(docs, pairs, size, scratch)
-    return scratch.stage(
-        through(_both_ends(pairs, sets, "shingles"), PAIR, _linked(percent)).distinct(), "links"
-    )
+def _confirm(pairs: DataFrame, members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    sets = _both_ends(pairs, members, "shingles")
+    return scratch.stage(through(sets, PAIR, _linked(percent)).distinct(), "links")
 
 
 def _across(least: int, percent: int):
@@ -148,17 +159,17 @@ def _across(least: int, percent: int):
         ids, owners, sizes, sides = (
             rows.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "side")
         )
-        minima = np.frombuffer(b"".join(rows.column("minima").to_pylist()), "<u2").reshape(len(ids), -1)
-        keys = np.ascontiguousarray(minima[:, :BANDS * ROWS]).view("<u8")
+        minima, bits = _rows_of(rows.column("minima"), "<u2"), _rows_of(rows.column("parity"), np.uint8)
+        keys = np.ascontiguousarray(minima[:, :BANDS * ROWS]).view("<u8")  # a number per band
         same_block = key[2].as_py() == key[3].as_py()
         left = np.flatnonzero(sides == 0)
         right = left if same_block else np.flatnonzero(sides == 1)
         us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left:
             others = right[right > i] if same_block else right
-            small, large = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
-            others = others[(owners[others] != owners[i]) & (100 * small >= percent * large)]
+            others = others[owners[others] != owners[i]]
             others = others[(minima[others] == minima[i]).sum(axis=1) >= least]
+            others = others[may_be_alike(sizes[i], sizes[others], bits[i], bits[others], percent)]
             others = others[(keys[others] == keys[i]).argmax(axis=1) == band] if len(others) else others
             us.append(np.maximum(ids[i], ids[others]))
             vs.append(np.minimum(ids[i], ids[others]))
@@ -168,7 +179,7 @@ def _across(least: int, percent: int):
 
 
 def _cross_pairs(
-    bands: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, scratch: Scratch, block: int
+    bands: DataFrame, members: DataFrame, labels: DataFrame, percent: int, scratch: Scratch, block: int
 ) -> DataFrame:
     """Candidate pairs of different components in the buckets that hold several."""
     named = bands.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
@@ -180,10 +191,10 @@ def _cross_pairs(
     ).filter("_low < _high").select("key", F.ceil(F.col("_members") / block).alias("_blocks"))
     spread = named.join(mixed, "key").withColumn(
         "_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks"))
-    ).join(classes.select("doc_id", "n_shingles", "minima"), "doc_id")
+    ).join(members.select("doc_id", "n_shingles", "minima", "parity"), "doc_id")
     # block b meets itself, all blocks before it and all behind it
     rows = spread.withColumn("_other", F.explode_outer(F.expr("sequence(0L, _blocks - 1)"))).select(
-        "doc_id", "component", "n_shingles", "minima", "key", "band",
+        "doc_id", "component", "n_shingles", "minima", "parity", "key", "band",
         F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
         F.when(F.col("_block") <= F.col("_other"), 0).otherwise(1).alias("side"),
     )
@@ -206,26 +217,29 @@ def near_duplicates(
     present = features.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
     owners = present.groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
     firsts = present.join(
-        owners, (present["set_key"] == owners["set_key"]) & (present["doc_id"] == owners["class_id"])
-    ).select("doc_id", "n_shingles", "minima")
+        owners.select("set_key", F.col("class_id").alias("doc_id")), ["set_key", "doc_id"]
+    ).select("doc_id", "set_key", "keys")
     classes = scratch.stage(firsts, "classes")
-    keys = classes.select("doc_id", "n_shingles", _band_keys().alias("_at")).select(
-        "doc_id", "n_shingles", "_at.band", "_at.key"
-    )
+    keys = classes.select("doc_id", "set_key", F.posexplode_outer("keys").alias("band", "key"))
     shared = keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("_members"), F.min("doc_id").alias("hub")
     ).filter("_members > 1").drop("_members")
     bands = scratch.stage(keys.join(shared, "key"), "bands")
 
+    # one plan at every size: the members of a large corpus never fit a broadcast
+    involved = bands.select("doc_id", "set_key").distinct().hint("merge")
+    texts = source.join(involved, "doc_id").select("doc_id", "text", "set_key")
+    members = scratch.stage(through(texts, MEMBER, _members(size)), "members")
+    bands = bands.drop("set_key")
+
     stars = bands.filter("doc_id <> hub").select(F.col("doc_id").alias("u"), F.col("hub").alias("v")).distinct()
-    sized = _both_ends(stars, classes, "n_shingles").filter(_size_allows("_one", "_other", percent))
-    near = through(_both_ends(sized.select("u", "v"), classes, "minima"), PAIR,
-                   _agreeing(least_agreement(percent)))
-    links = _confirm(source, scratch.stage(near, "star-pairs"), percent, size, scratch)
+    near = through(_both_ends(stars, members, "n_shingles", "minima", "parity"), PAIR,
+                   _agreeing(least_agreement(percent), percent))
+    links = _confirm(scratch.stage(near.distinct(), "star-pairs"), members, percent, scratch)
     labels = components(links, scratch)
 
-    across = _cross_pairs(bands.drop("hub", "n_shingles"), classes, labels, percent, scratch, block)
-    more = _confirm(source, across, percent, size, scratch)
+    across = _cross_pairs(bands.drop("hub"), members, labels, percent, scratch, block)
+    more = _confirm(across, members, percent, scratch)
     labels = components(
         labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), scratch
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 
 SHINGLE = 5
@@ -72,14 +70,28 @@ def overlap(one: np.ndarray, other: np.ndarray) -> int:
     return len(np.intersect1d(one, other, assume_unique=True))
 
 
+PARITY_BITS = 4096
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """A bit per residue class: whether the set has an odd number of members in it, packed.
+
+    The bits in which two sets differ are at most their symmetric difference, so a pair can be
+    refused for certain.
+    """
+    places = (shingles >> np.uint64(40)).astype(np.int64) % PARITY_BITS
+    return np.packbits(np.bincount(places, minlength=PARITY_BITS).astype(np.uint8) & 1)
+
+
+def may_be_alike(sizes, other_sizes, bits: np.ndarray, other_bits: np.ndarray, percent: int) -> np.ndarray:
+    """False where sizes and parities rule out that 100 * |intersection| >= percent * |union|."""
+    apart = np.bitwise_count(bits ^ other_bits).sum(axis=-1, dtype=np.int64)
+    together = sizes + other_sizes
+    most = np.minimum((together - apart) // 2, np.minimum(sizes, other_sizes))
+    return 100 * most >= percent * (together - most)
+
+
 def alike(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     """Whether 100 * |intersection| >= percent * |union|."""
     both = overlap(one, other)
     return 100 * both >= percent * (len(one) + len(other) - both)
-
-
-def agreement(rows: Sequence[bytes], others: Sequence[bytes], count: int) -> np.ndarray:
-    """Equal places of signatures, row by row."""
-    one = np.frombuffer(b"".join(rows), np.uint32).reshape(-1, count)
-    other = np.frombuffer(b"".join(others), np.uint32).reshape(-1, count)
-    return (one == other).sum(axis=1)
