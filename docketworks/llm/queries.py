@@ -11,6 +11,7 @@ from docketworks.llm import (
     decontaminate, factorization, hilbert, likelihood, main_text, minhash, packing, prefix_counts,
     records, warc,
 )
+from docketworks.llm.sql import SQL
 from docketworks.llm.tables import read
 from docketworks.sources.scratch import Scratch
 
@@ -55,7 +56,7 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = main_text.extract(read(spark, sf_dir, "pages"), Scratch(spark))
+    texts = main_text.extract(read(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
@@ -70,7 +71,7 @@ def op6_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_likelihood_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return likelihood.judge(docs, read(spark, sf_dir, "labels")).select(
+    return likelihood.judge(docs, read(spark, sf_dir, "labels"), Scratch(spark)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "score_steps",
     )
@@ -102,6 +103,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+__all__ = ["QUERIES", "SQL"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -114,5 +117,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_prefix_counts": op9_prefix_counts,
     "op10_warc": op10_warc,
 }
-
-SQL: dict[str, str] = {}
