@@ -22,9 +22,10 @@ from docketworks.sources.scratch import Scratch
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
     used = ["doc_id", "text"]
-    judged = likelihood.judge(set_aside(docs, used), read(spark, sf_dir, "labels"))
-    stored = Scratch(spark).stage(judged.select(*used, "_rest", "kept"), "judged")
-    return restore(stored.filter("kept"), docs.columns, used)
+    judged = likelihood.judge(
+        set_aside(docs, used), read(spark, sf_dir, "labels"), Scratch(spark), keep=[*used, "_rest"]
+    )
+    return restore(judged.filter("kept"), docs.columns, used)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

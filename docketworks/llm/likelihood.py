@@ -13,10 +13,13 @@ a count per score step.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketworks.sources.scratch import Scratch
+
 # Fixed values of the rules
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
@@ -99,14 +102,14 @@ def buckets(words: str, size: int) -> Column:
     )
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, size: int = BUCKETS) -> list[int]:
+def log_ratios(docs: DataFrame, size: int = BUCKETS) -> list[int]:
     """Per bucket, log(trusted share / corpus share) times SCALE, with one added to every count.
 
-    ``trusted`` has the column ``_trusted`` beside the text. One row per bucket and task is shuffled.
+    ``docs`` has the column ``_trusted`` beside the text. One row per bucket and task is shuffled.
     """
     # an outer explode: for a plain one Spark would infer a filter on its input and push the
     # n-grams below the projection of the words, which then are split once per n-gram
-    grams = with_words(trusted).select(
+    grams = with_words(docs).select(
         "_trusted", F.explode_outer(buckets("_words", size)).alias("bucket")
     )
     counts = grams.groupBy("bucket").agg(
@@ -146,33 +149,41 @@ def threshold(scored: DataFrame, lost_share: float = LOST_SHARE) -> int | None:
     return None
 
 
-def with_trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add ``_trusted``: labelled, and never with a quality other than 1."""
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
-        (F.min("quality") == 1).alias("_trusted")
-    ).filter("_trusted")
-    return docs.join(known, "doc_id", "left").withColumn(
-        "_trusted", F.coalesce("_trusted", F.lit(False))
-    )
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of documents that are labelled, and never with a quality other than 1."""
+    return labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
+        F.min("quality").alias("_low"), F.max("quality").alias("_high")
+    ).filter("_low = 1 AND _high = 1").select("doc_id")
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, size: int = BUCKETS, lost_share: float = LOST_SHARE
+    docs: DataFrame, labels: DataFrame, scratch: Scratch, keep: Sequence[str] = ("doc_id",),
+    size: int = BUCKETS, lost_share: float = LOST_SHARE,
 ) -> DataFrame:
-    """``docs`` with the counts of ``with_counts``, ``score_steps``, ``base_failed`` and ``kept``.
+    """The columns ``keep`` of ``docs``, the counts of ``with_counts``, ``score_steps``, ``base_failed``, ``kept``.
 
     A document is kept if it passes the base rules and its score reaches the threshold. A null
     or empty text has no words and fails. Without any trusted document there is no
     threshold and the base rules decide alone. Rows with null or repeated ids are judged one by
-    one by their texts. Store the result before filtering it: Spark pushes a filter on ``kept``
-    below the projections and would split the words anew for every n-gram. Columns of ``docs`` are kept as they are; names beginning with
-    an underscore and the added names are taken by this operator.
+    one by their texts. Names beginning with an underscore and the added names are taken by this operator,
+    but for ``_rest``.
+
+    Scores are stored once. The texts meet the labels in one shuffle, for the counts of the trusted
+    documents; the threshold needs ids and scores only. The stored table also keeps Spark from pushing a
+    filter on ``kept`` below the projections, where it would split the words anew for every n-gram.
     """
-    pair = with_trusted(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
-    weights = log_ratios(docs, pair, size)
-    least = threshold(with_score(with_words(pair.filter("_trusted")), weights), lost_share)
+    known = trusted_ids(labels)
+    # one plan at every size: labels of a large corpus never fit a broadcast
+    pair = docs.select("doc_id", "text").join(
+        known.withColumn("_trusted", F.lit(True)).hint("merge"), "doc_id", "left"
+    ).withColumn("_trusted", F.coalesce("_trusted", F.lit(False)))
+    weights = log_ratios(pair, size)
+    added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score_steps")
     scored = with_score(with_counts(docs), weights)
+    chosen = scored.select("doc_id", *[c for c in keep if c != "doc_id"], *added)
+    stored = scratch.stage(chosen, "scored")
+    least = threshold(stored.select("doc_id", "score_steps").join(known, "doc_id", "left_semi"), lost_share)
     reached = F.lit(True) if least is None else F.coalesce(F.col("score_steps") >= least, F.lit(False))
-    return scored.withColumn("base_failed", base_failed()).withColumn(
+    return stored.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & reached
-    ).drop("_text", "_words")
+    )
