@@ -42,6 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     dropped = found.filter("NOT kept").select("doc_id").distinct()
     kept = docs.join(dropped, "doc_id", "left_anti")
     repeated = docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id")
+    if repeated.isEmpty():  # as it should be; the texts then are joined once
+        return kept.select(*docs.columns)
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
 
