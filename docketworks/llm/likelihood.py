@@ -46,13 +46,12 @@ def with_words(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_counts(docs: DataFrame) -> DataFrame:
+def with_counts(docs: DataFrame, place_bits: int = 0) -> DataFrame:
     """Add ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``.
 
-    Windows of three words are compared by 64-bit hashes. The hash shares its 64 bits with the
-    place of the window, so that repeated windows become neighbours in one sort of plain numbers
-    (for a text of 2^17 words 46 bits of hash are left: less than one text in ten
-    thousand of that length has any false match).
+    Windows of three words are compared by 64-bit hashes, in a text of any length. In a first sort, of plain
+    numbers, the hash shares its 64 bits with the place of the window (``place_bits`` at least); what
+    agrees there is a candidate. If candidates differ in their full hashes, they are sorted by these.
     """
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(WORD_CHARACTER))
     frame = with_words(docs).withColumns({
@@ -64,7 +63,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
     })
     frame = frame.withColumns({
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_bits": F.length(F.bin("n_words")),
+        "_bits": F.greatest(F.length(F.bin("n_words")), F.lit(place_bits)),
         "_windows": F.expr(
             "transform(slice(_hashes, 3, greatest(size(_hashes) - 2, 0)),"
             " (h, i) -> xxhash64(h, get(_hashes, i), get(_hashes, i + 1)))"
@@ -77,14 +76,28 @@ def with_counts(docs: DataFrame) -> DataFrame:
         "filter(_sorted, (v, i) -> shiftright(v, _bits) = shiftright(get(_sorted, i - 1), _bits)"
         " OR shiftright(v, _bits) = shiftright(get(_sorted, i + 1), _bits))"
     ))
+    frame = frame.withColumn("_places", F.expr(
+        "transform(_repeated, v -> int(v & (shiftleft(1L, _bits) - 1)))"
+    ))
+    # neighbours that agree in the short hash only; without any, equal short hashes are equal hashes
+    frame = frame.withColumn("_false", F.expr(
+        "exists(transform(_places, (p, i) -> i > 0"
+        " AND shiftright(get(_repeated, i), _bits) = shiftright(get(_repeated, i - 1), _bits)"
+        " AND get(_windows, p) <> get(_windows, get(_places, i - 1))), x -> x)"
+    ))
+    frame = frame.withColumn("_full", F.expr(
+        "CASE WHEN _false THEN sort_array(transform(_places, p -> struct(get(_windows, p) AS h, p AS p))) END"
+    ))
     frame = frame.withColumn("_at", F.expr(
-        "sort_array(transform(_repeated, v -> v & (shiftleft(1L, _bits) - 1)))"
+        "sort_array(CASE WHEN _false THEN transform(filter(_full, (v, i) -> v.h = get(_full, i - 1).h"
+        " OR v.h = get(_full, i + 1).h), v -> v.p) ELSE _places END)"
     ))
     # a window adds its three words but for those that the window before it has; least() skips null
     frame = frame.withColumn("n_repeat_words", F.expr(
-        "aggregate(transform(_at, (v, i) -> least(3L, v - get(_at, i - 1))), 0L, (a, x) -> a + x)"
+        "aggregate(transform(_at, (v, i) -> least(3L, cast(v - get(_at, i - 1) AS bigint))), 0L, (a, x) -> a + x)"
     ))
-    return frame.drop("_lines", "_hashes", "_bits", "_windows", "_sorted", "_repeated", "_at")
+    return frame.drop("_lines", "_hashes", "_bits", "_windows", "_sorted", "_repeated",
+                      "_places", "_false", "_full", "_at")
 
 
 def base_failed() -> Column:

@@ -64,6 +64,16 @@ def test_counts_of_awkward_texts(spark, scratch):
     assert [r["kept"] for r in judged.filter("n_words = 0").collect()] == [False] * 4
 
 
+@pytest.mark.parametrize("place_bits", [0, 52, 58, 61])
+def test_repeated_words_are_exact_however_few_bits_the_first_sort_has(spark, place_bits):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in range(900)), " ".join(f"v{i}" for i in rng.integers(0, 12, 700)),
+             " ".join(f"u{i % 150}" for i in range(400)), "a b c a b c", "a a", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = likelihood.with_counts(docs, place_bits).select("doc_id", "n_repeat_words").collect()
+    assert dict(rows) == {i: plain_counts(t)[4] for i, t in enumerate(texts)}
+
+
 def test_log_ratios_are_those_of_the_two_counts(spark):
     docs = spark.createDataFrame([(1, "a b a", True), (2, "c", False), (3, None, False)], "doc_id long, text string, _trusted boolean")
     weights = likelihood.log_ratios(docs, 1 << 12)
