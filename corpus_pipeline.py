@@ -4,7 +4,7 @@ Each stage reads what its predecessor kept and returns the columns of ``document
 last, which returns the pieces of the sequences. Between stages the rows are written as Parquet.
 
 Rows without an id pass every stage by their text alone and are never taken for duplicates; of rows
-that repeat an id, the near-duplicate stage keeps one. Columns that the stages do not know, also such
+that repeat an id and a text, the near-duplicate stage keeps one. Columns that the stages do not know, also such
 with names that operators use, are carried along. An empty table gives empty results.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from docketworks.llm import decontaminate, factorization, likelihood, minhash, packing
 from docketworks.llm.queries import PACK_END, WORD_TOKENS, vocabulary
 from docketworks.llm.tables import read, restore, set_aside
+from docketworks.operators.dense_keys import add_dense_key
 from docketworks.sources.scratch import Scratch
 
 
@@ -37,15 +38,26 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates."""
-    found = minhash.near_duplicates(docs, Scratch(spark))
-    dropped = found.filter("NOT kept").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
+    """One document of every group of near-duplicates, linked at a similarity of 0.85 or more as in op3.
+
+    If ids repeat, every text of an id is a document of its own; of rows equal in both, one is kept.
+    """
     repeated = docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id")
     if repeated.isEmpty():  # as it should be; the texts then are joined once
-        return kept.select(*docs.columns)
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+        dropped = minhash.near_duplicates(docs, Scratch(spark)).filter("NOT kept").select("doc_id").distinct()
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # numbered in the order of ids, so that the smallest id is kept as without repeated ones
+    used = ["doc_id", "text"]
+    rows = set_aside(docs, used).withColumn("_hash", F.xxhash64("text"))
+    keys = add_dense_key(
+        rows.filter("doc_id IS NOT NULL").select("doc_id", "_hash").distinct(), "_key", ["doc_id", "_hash"], Scratch(spark)
+    )
+    keyed = Scratch(spark).stage(rows.join(keys, ["doc_id", "_hash"], "left"), "keyed")
+    found = minhash.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), Scratch(spark))
+    dropped = found.filter("NOT kept").select(F.col("doc_id").alias("_key")).distinct()
+    kept = keyed.join(dropped, "_key", "left_anti")
+    once = kept.filter("_key IS NOT NULL").dropDuplicates(["_key"])
+    return restore(kept.filter("_key IS NULL").unionByName(once), docs.columns, used)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

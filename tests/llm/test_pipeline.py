@@ -71,6 +71,17 @@ def test_awkward_rows_pass_every_stage(spark):
     assert sorted(r["doc_id"] or -1 for r in kept) == [-1, -1, 1, 3, 4, 5, 6, 7, 8]
 
 
+def test_different_texts_of_one_id_are_kept(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(1, one), (2, one), (2, two), (3, two), (3, three), (3, three), (None, one)]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == COLUMNS
+    found = [(r["doc_id"] or 0, r["text"]) for r in kept.collect()]
+    assert sorted(found) == [(0, one), (1, one), (2, two), (3, three)]
+
+
 @pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_its_sql(name, spark):
     assert difference(QUERIES[name](spark, SF_DIR), connect(SF_DIR), SQL[name]) == ""
