@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketworks.llm import (
-    decontaminate, factorization, hilbert, likelihood, main_text, minhash, packing, prefix_counts,
-    records, warc,
+    decontaminate, factorization, hilbert, languages, likelihood, main_text, minhash, packing, phrases,
+    prefix_counts, records, warc, zone_clusters,
 )
 from docketworks.llm.sql import SQL
 from docketworks.llm.tables import read
@@ -103,6 +103,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_clusters.cluster(read(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+def op12_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), Scratch(spark)
+    found = languages.identify(docs, languages.train(docs, scratch), scratch)
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"), Scratch(spark))
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -116,4 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_binary_records": op8_binary_records,
     "op9_prefix_counts": op9_prefix_counts,
     "op10_warc": op10_warc,
+    "op11_zone_clusters": op11_zone_clusters,
+    "op12_languages": op12_languages,
+    "op13_phrases": op13_phrases,
 }

@@ -71,8 +71,86 @@ SELECT page_id, strlen(payload) AS payload_bytes,
   CASE WHEN page_id < largest THEN largest END AS refers_to
 FROM hashed"""
 
+_ROUNDS = 3
+
+
+def _clusters() -> str:
+    """Rounds written out one after another; a row per vector, dimension and centroid in each."""
+    steps = [f"""
+kept AS (
+  SELECT row_number() OVER () AS row_id, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS components
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+started AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, components) - 1 AS cluster,
+    components FROM kept QUALIFY cluster < 16),
+vectors AS (SELECT row_id, unnest(components) AS x, unnest(range(64)) AS dim FROM kept),
+centroids_0 AS (SELECT cluster, unnest(components) AS c, unnest(range(64)) AS dim FROM started)"""]
+    for i in range(_ROUNDS + 1):
+        steps.append(f"""
+nearest_{i} AS (
+  SELECT row_id, cluster, distance FROM (
+    SELECT row_id, cluster, CAST(sum((x - c) * (x - c)) AS BIGINT) AS distance
+    FROM vectors JOIN centroids_{i} USING (dim) GROUP BY row_id, cluster)
+  QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY distance, cluster) = 1)""")
+        if i < _ROUNDS:
+            steps.append(f"""
+sums_{i} AS (
+  SELECT cluster, dim, sum(x) AS total, count(*) AS members
+  FROM nearest_{i} JOIN vectors USING (row_id) GROUP BY cluster, dim),
+centroids_{i + 1} AS (
+  SELECT cluster, dim,
+    CAST(CASE WHEN members IS NULL THEN c ELSE (total - ((total % members) + members) % members) // members END
+      AS BIGINT) AS c
+  FROM centroids_{i} LEFT JOIN sums_{i} USING (cluster, dim))""")
+    return f"""
+WITH {",".join(steps)},
+named AS (
+  SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256
+  FROM centroids_{_ROUNDS} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM nearest_{_ROUNDS} JOIN kept USING (row_id) JOIN named USING (cluster)"""
+
+
+PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded),
+grams AS (
+  SELECT lang, k, words[i:i + k - 1] AS phrase
+  FROM places, (SELECT unnest([1, 2, 3]) AS k) s WHERE i + k - 1 <= len(words)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, unnest([phrase[1:2], phrase[2:3]]) AS phrase, f FROM counts WHERE k = 3 AND f >= 10)
+  GROUP BY lang, phrase),
+kept AS (
+  SELECT c.lang, c.k AS size, c.phrase, c.f AS a FROM counts c LEFT JOIN longer g USING (lang, phrase)
+  WHERE c.k > 1 AND c.f >= 10 AND NOT coalesce(100 * g.f >= 50 * c.f, FALSE)),
+cuts AS (SELECT *, unnest(range(1, size)) AS cut FROM kept),
+scored AS (
+  SELECT u.lang, u.phrase, u.a, x.f AS l, y.f AS r, u.cut,
+    (CAST(1000000 AS HUGEINT) * u.a * u.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts u JOIN counts x ON x.lang = u.lang AND x.phrase = u.phrase[1:u.cut]
+    JOIN counts y ON y.lang = u.lang AND y.phrase = u.phrase[u.cut + 1:u.size]),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, array_to_string(phrase, ' ') AS name, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS place FROM weakest)
+SELECT lang, place AS rank, name AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE place <= 2000"""
+
 SQL: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION,
     "op3_minhash": NEAR_DUPLICATES,
     "op10_warc": ARCHIVES,
+    "op11_zone_clusters": _clusters(),
+    "op13_phrases": PHRASES,
 }
