@@ -1,13 +1,18 @@
 from __future__ import annotations
 
+import zlib
+from collections import defaultdict
+
 import numpy as np
 import pytest
-from helpers import LONG, awkward, empty
+from conftest import SF_DIR
+from helpers import LONG, awkward, empty, table
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from docketworks.llm import packing, prefix_counts, records
-from docketworks.llm.queries import vocabulary
+from docketworks.llm.queries import QUERIES, vocabulary
 from docketworks.llm.tokens import ChunkEncoder, tokenizer
 
 WORD, BYTE = vocabulary("word_bpe_49k.json"), vocabulary("byte_bpe_50k.json")
@@ -164,3 +169,87 @@ def test_a_changed_byte_is_noticed(at):
 
     with pytest.raises(records.BrokenRecord):
         records.unframe(take)
+
+
+def test_every_plain_character_alone_and_beside_others(library, encoder):
+    texts = [f"{c} a{c} {c}b {c}{c} A{c}B. {c}, it{c}s {c}'re x'{c} 1{c}2" for c in map(chr, range(0x250))]
+    expected = [e.ids for e in library[WORD].encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == expected
+
+
+def test_the_table_of_words_is_emptied(library, monkeypatch):
+    monkeypatch.setattr("docketworks.llm.tokens.KEPT_WORDS", 2)
+    encoder = ChunkEncoder(WORD)
+    for text in ("one two three, four", "ONE Two (three) é", "five's one", "one"):
+        assert encoder.encode([text])[0].tolist() == library[WORD].encode(text, add_special_tokens=False).ids
+
+
+def test_other_files_are_left_to_the_library(library):
+    assert ChunkEncoder(BYTE)._words is None and ChunkEncoder(WORD)._words is not None
+
+
+@pytest.fixture(scope="module")
+def ids_of(library):
+    """Ids of every document of the table by the library alone."""
+    rows = sorted(table(SF_DIR, "documents", "doc_id", "text"))
+    return {path: {i: e.ids for (i, _), e in zip(rows, library[path].encode_batch(
+        [t or "" for _, t in rows], add_special_tokens=False))} for path in (WORD, BYTE)}
+
+
+def crc(ids) -> int:
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_packing_query(spark, ids_of):
+    rows = QUERIES["op1_packing"](spark, SF_DIR).collect()
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        ids = [*ids_of[WORD][r["doc_id"]], 1]
+        assert r["doc_tokens"] == len(ids)
+        assert r["ids_crc32"] == crc(ids[r["start"]:r["start"] + r["length"]])
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for i, ids in ids_of[WORD].items():
+        assert follow(pieces[i]) == len(ids) + 1
+    sizes = [follow(places) for places in sequences.values()]
+    assert max(sizes) <= 2048 and sum(2048 - s for s in sizes) < 0.02 * 2048 * len(sizes) + 2048
+
+
+def follow(parts) -> int:
+    """End of parts that follow each other from 0 without a gap."""
+    end = 0
+    for start, length in sorted(parts):
+        assert start == end and length > 0
+        end += length
+    return end
+
+
+def test_record_query(spark, ids_of):
+    rows = sorted(QUERIES["op8_binary_records"](spark, SF_DIR).collect(), key=lambda r: r["doc_id"])
+    expected, before = [], 0
+    for i, ids in sorted(ids_of[WORD].items()):
+        expected.append((i, before, len(ids) + 1, crc([*ids, 2])))
+        before += len(ids) + 1
+    assert [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows] == expected
+
+
+def test_count_query(spark, ids_of):
+    rows = {r["doc_id"]: r for r in QUERIES["op9_prefix_counts"](spark, SF_DIR).collect()}
+    texts = dict(table(SF_DIR, "documents", "doc_id", "text"))
+    assert {i: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for i, r in rows.items()} == {
+        i: (len((texts[i] or "").encode()), len(ids), len(ids) > 1024) for i, ids in ids_of[BYTE].items()}
+
+
+def test_record_files_are_read_by_many_tasks(spark, scratch, monkeypatch):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 20) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = records.write_records(docs, WORD, 2, scratch)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert manifest.count() > 1
+    monkeypatch.setattr(records, "TASK_BYTES", 50_000)
+    read = records.read_records(manifest)
+    assert read.count() == 4000
+    tasks = read.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 1
