@@ -30,6 +30,8 @@ from docketworks.sources.scratch import Scratch
 MASK_DELTA = 0xA282EAD8
 LENGTH, CHECK, HEAD, ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq"), struct.Struct("<qQQ")
 READ_BYTES = 4_000_000
+#: Bytes of record files that one task reads, but for a file that has more.
+TASK_BYTES = 32_000_000
 
 MANIFEST = "part int, path string, index_path string, records long, tokens long"
 RECORD = "doc_id long, start long, n_tokens long, ids binary"
@@ -171,8 +173,12 @@ def read_records(manifest: DataFrame, width: int = 2) -> DataFrame:
     """
     # a row per file, as in the manifest
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    files = manifest.select("path", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("_before"))
-    return through(files.repartition("path"), RECORD, _reader(width))
+    files = manifest.select("part", "path", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("_before"))
+    tokens = manifest.agg(F.sum("tokens")).first()[0] or 0
+    # the manifest is tiny whatever its files hold, so adaptive execution would read them all in one task
+    tasks = max(1, -(-tokens * width // TASK_BYTES))
+    spread = files.repartitionByRange(tasks, "part").select("path", "_before")
+    return through(spread, RECORD, _reader(width))
 
 
 def fetch(manifest_rows: list, doc_ids: list[int], width: int = 2) -> dict[int, list[np.ndarray]]:
