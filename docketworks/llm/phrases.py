@@ -1,8 +1,9 @@
 """Phrases whose words attract each other, by relational mining of occurrences (SETM).
 
-The texts of a task become segments, one per language and some megabytes of text. A segment is a sorted
+The texts of a task become segments, one per language and ``SEGMENT_BYTES`` of text. A segment is a sorted
 relation of occurrences: its pieces one after another, a border between them, so that places
-p and p + 1 are neighbours in one piece. It is stored with the phrases that occur in it, by numbers of its own.
+p and p + 1 are neighbours in one piece. It is stored with the phrases that occur in it, by numbers of its own;
+the larger a segment, the fewer phrases it shares with others.
 
 Length by length:
 * group-count: the counts of all segments are added up per phrase; those found often enough are
@@ -12,8 +13,8 @@ Length by length:
 * merge-join: occurrences of frequent phrases at neighbouring places of a piece make those that are one word longer.
   They are named by the phrases without their last and without their first word.
 
-Only the phrases of segments are shuffled, never their single occurrences. No table of phrases is
-broadcast or collected, for they grow with the corpus.
+The phrases of segments are shuffled with their counts, and the packed segments once per length; single
+occurrences never are. No table of phrases is broadcast or collected, for they grow with the corpus.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ LEAST = 10
 COVERED_PERCENT = 50
 REPORTED = 2000
 MILLION = 1_000_000
+#: Text of one segment, and text that a task holds for segments to come.
+SEGMENT_BYTES, HELD_BYTES = 16_000_000, 48_000_000
 UNKNOWN = "und"
 
 # Fixed by the contract: what ends a piece, and what separates words
@@ -66,24 +70,52 @@ def occurrences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]
     return places, codes[places] - 1, list(numbers)[1:]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype(np.int32).tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
+
+
+def packed_places(places: np.ndarray) -> bytes:
+    """As steps, which are small and much alike."""
+    return packed(np.diff(places, prepend=np.int32(0)))
+
+
+def unpacked_places(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.int32)
+
+
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, text as bytes) to segments, numbered within the task."""
     number = TaskContext.get().partitionId() << 32
     kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64()))
     names = [part.split()[0] for part in WORDS.split(", ")]
-    for batch in batches:
-        texts: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            texts.setdefault(lang, []).append(text)
-        for lang in sorted(texts):
-            places, codes, words = occurrences(texts[lang])
-            if not len(places):
-                continue
+    texts: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+
+    def segment(lang: str) -> Iterator[pa.RecordBatch]:
+        nonlocal number
+        del sizes[lang]
+        places, codes, words = occurrences(texts.pop(lang))
+        if len(places):
             counts = np.bincount(codes, minlength=len(words))
             number += 1
-            row = (number, lang, places.tobytes(), codes.tobytes(), [w.decode() for w in words], counts)
+            row = (number, lang, packed_places(places), packed(codes), [w.decode() for w in words], counts)
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            texts.setdefault(lang, []).append(text)
+            sizes[lang] = sizes.get(lang, 0) + len(text) + 1
+            if sizes[lang] >= SEGMENT_BYTES:
+                yield from segment(lang)
+        while sum(sizes.values()) >= HELD_BYTES:
+            yield from segment(max(sizes, key=sizes.get))
+    for lang in sorted(texts):
+        yield from segment(lang)
+
 
 def joined(places: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Merge-join of a sorted relation with itself at the next place of the same piece.
@@ -102,7 +134,8 @@ def _lengthen(last: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, segment in enumerate(batch.column(0).to_pylist()):
-                places, codes = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int32) for c in (1, 2))
+                places = unpacked_places(batch.column(1)[i].as_py())
+                codes = unpacked(batch.column(2)[i].as_py())
                 own, given = (batch.column(c)[i].values.to_numpy() for c in (3, 4))
                 number = np.full(int(codes.max()) + 1, -1, np.int64)
                 number[own] = given
@@ -113,7 +146,7 @@ def _lengthen(last: bool):
                 pairs, codes, counts = np.unique(
                     left.astype(np.int64) << 32 | right, return_inverse=True, return_counts=True
                 )
-                kept = (b"", b"") if last else (places.tobytes(), codes.astype(np.int32).tobytes())
+                kept = (b"", b"") if last else (packed_places(places), packed(codes))
                 row = (segment, *kept, number[pairs >> 32], number[pairs & 0xFFFFFFFF], counts)
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 

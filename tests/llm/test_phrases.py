@@ -69,10 +69,28 @@ def test_counts_do_not_depend_on_the_segments(spark, scratch, monkeypatch):
     frame = spark.createDataFrame([(i, t, lang, "", "") for i, (t, lang) in enumerate(rows)], DOCS).repartition(2)
     expected = plain(rows, 10)
     assert run(frame, scratch) == expected
-    monkeypatch.setattr(slices, "__defaults__", (500,))
-    few = phrases.through(frame.select("lang", frame["text"].cast("binary")), phrases.WORDS, phrases._segments)
-    assert few.count() >= 2
+    texts = frame.select("lang", frame["text"].cast("binary").alias("text"))
+    several = _cut_small(500, 100_000)
+    assert phrases.through(texts, phrases.WORDS, several).count() > 10
+    monkeypatch.setattr(phrases, "_segments", several)
     assert run(frame, scratch) == expected
+    monkeypatch.setattr(phrases, "_segments", _cut_small(100_000, 500))
+    monkeypatch.setattr(slices, "__defaults__", (300,))
+    assert run(frame, scratch) == expected
+
+
+def _cut_small(segment_bytes, held_bytes):
+    """Tasks with small limits of their own; they run in other processes."""
+    usual = phrases._segments
+
+    def work(batches):
+        phrases.SEGMENT_BYTES, phrases.HELD_BYTES = segment_bytes, held_bytes
+        try:
+            yield from usual(batches)
+        finally:
+            phrases.SEGMENT_BYTES, phrases.HELD_BYTES = 16_000_000, 48_000_000
+
+    return work
 
 
 def test_products_beyond_64_bits_are_exact(spark):
