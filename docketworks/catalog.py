@@ -17,14 +17,15 @@ from docketworks.operators import scd2
 from docketworks.operators.asof import as_of_join
 from docketworks.operators.dense_keys import add_dense_key
 from docketworks.operators.latest import latest_per_key
-from docketworks.plans import dashboards, serving, silver
+from docketworks.operators.overlap import overlap_join
+from docketworks.plans import conformity, dashboards, serving, silver, upkeep, waiting
 from docketworks.plans.star import StarBuilder
 from docketworks.schemas import BRONZE, GOLD, PAYLOAD, SURROGATE_KEYS, ddl, names
 from docketworks.sources import feed
 from docketworks.sources.hub import read_hub
 from docketworks.sources.snapshots import SnapshotStore
 from docketworks.sources.tables import create_external_tables, create_views, preview
-from docketworks.streaming import alerts, dedupe, ingest
+from docketworks.streaming import alerts, answers, dedupe, exactly_once, ingest
 from docketworks.workspace import Workspace, open_workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +81,22 @@ def silver_deduped(w: Workspace) -> DataFrame:
     return silver.clean(silver.parse(silver.drop_copies(copies)), w.as_of)
 
 
+@query
+def silver_without_position(w: Workspace) -> DataFrame:
+    """The same feed, every fiftieth record without its hub position: such records all stay."""
+    payload = w.payload()
+    again = payload.filter(key_hash(F.col("feed_key"), "dup") % 5 == 0)
+    copies = w.bronze_of(payload.unionByName(again))
+    place = F.col("eventhub_offset") * feed.HUB_PARTITIONS + F.col("eventhub_partition")
+    known = key_hash(place, "lost") % 50 != 0
+    lost = copies.withColumn("_known", known).withColumns({
+        c: F.when(F.col("_known"), F.col(c)) for c in ("eventhub_partition", "eventhub_offset")
+    }).drop("_known")
+    return silver.clean(silver.parse(silver.drop_copies(lost)), w.as_of).select(
+        "case_id", "eventhub_partition", "eventhub_offset", "needs_representation"
+    )
+
+
 @query
 def unreadable_fields(w: Workspace) -> DataFrame:
     """Number fields that could not be read, among good and broken documents."""
@@ -221,6 +238,38 @@ def star_increment(w: Workspace) -> DataFrame:
     )
 
 
+@query
+def versioned_dimension(w: Workspace) -> DataFrame:
+    """All versions of the defendants after loads in no order of time."""
+    return w.versioned.tables()["dim_defendant"].select(
+        "defendant_id", "attorney_status", "defendant_zip_code", *_VERSION_COLUMNS
+    )
+
+
+@query
+def versioned_gold(w: Workspace) -> DataFrame:
+    """Each proceeding with the versions of its defendant and case that its keys point to."""
+    tables = w.versioned.tables()
+    defendants = tables["dim_defendant"].select(
+        "defendant_sk", "attorney_status", "defendant_zip_code", *_VERSION_COLUMNS
+    )
+    cases = tables["dim_case_details"].select("case_details_sk", F.col(scd2.VERSION).alias("case_version"))
+    rows = tables[serving.FACT_TABLE].select("case_id", "defendant_id", "defendant_sk", "case_details_sk")
+    return rows.join(defendants, "defendant_sk").join(cases, "case_details_sk").drop("defendant_sk", "case_details_sk")
+
+
+def _upkept(name: str) -> None:
+    def report(w: Workspace) -> DataFrame:
+        return w.versioned.reports()[name]
+
+    report.__name__ = name
+    query(report)
+
+
+for _report in upkeep.REPORTS:
+    _upkept(_report)
+
+
 @query
 def priority_scores(w: Workspace) -> DataFrame:
     return w.fact.select(
@@ -401,6 +450,17 @@ def case_history(w: Workspace) -> DataFrame:
     return joined.drop(*TIES)
 
 
+@query
+def case_history_full(w: Workspace) -> DataFrame:
+    """Each proceeding with every attorney version in force between its filing and its hearing."""
+    cases = w.silver.select("case_id", "defendant_id", "case_filed_date", "hearing_date")
+    found = overlap_join(
+        cases, scd2_history(w), ["defendant_id"], ("case_filed_date", "hearing_date"),
+        (scd2.EFFECTIVE, scd2.END), w.scratch,
+    )
+    return found.select("left.*", *[f"right.{c}" for c in ("attorney_status", *_VERSION_COLUMNS)])
+
+
 _VERSION_COLUMNS = [scd2.EFFECTIVE, scd2.END, scd2.CURRENT, scd2.VERSION]
 
 
@@ -446,6 +506,55 @@ def weighted_score(w: Workspace) -> DataFrame:
     return dashboards.weighted_scores(w.view())
 
 
+# --- waiting, capacity, conformity ---------------------------------------------------
+
+def _cases(w: Workspace) -> DataFrame:
+    feed_key = F.col("eventhub_offset") * feed.HUB_PARTITIONS + F.col("eventhub_partition")
+    return w.silver.select(feed_key.alias("feed_key"), "case_id", "court_district_code", "case_filed_date")
+
+
+def _updates(w: Workspace) -> DataFrame:
+    return feed.case_updates(_cases(w), w.table("lineitem"), w.as_of)
+
+
+@query
+def case_status_changes(w: Workspace) -> DataFrame:
+    return waiting.case_status_changes(_updates(w), w.scratch, sizing=w.sizing)
+
+
+@query
+def assignment_waits(w: Workspace) -> DataFrame:
+    """Share of cases per district that wait longer than each number of days for a lawyer."""
+    return waiting.still_waiting(waiting.time_to_lawyer(_cases(w), _updates(w), w.as_of))
+
+
+@query
+def capacity_cuts(w: Workspace) -> DataFrame:
+    return waiting.capacity_cuts(w.view(), w.scratch, w.rows, w.sizing)
+
+
+@query
+def change_points(w: Workspace) -> DataFrame:
+    """Where filings rose, with most of the early ones of one district left out."""
+    early = (F.col("case_filed_date") < F.lit("2024-04-15").cast("timestamp")) & (
+        F.col("court_district_code") == "BX") & (key_hash(F.col("case_id"), "shift") % 10 < 6)
+    return waiting.change_points(w.view().filter(~early))
+
+
+@query
+def dependency_errors(w: Workspace) -> DataFrame:
+    """Dependencies in the records, one case in 25 of which also came under another district."""
+    moved = w.silver.filter(key_hash(F.col("case_id"), "moved") % 25 == 0).withColumn(
+        "court_district", F.lit("Bronx Criminal Court"))
+    return conformity.dependency_errors(w.silver.unionByName(moved))
+
+
+@query
+def schema_drift(w: Workspace) -> DataFrame:
+    """Types of the fields per day, of documents some numbers of which became text."""
+    return conformity.schema_drift(feed.spoil_numbers(w.bronze())).withColumn("day", F.col("day").cast("string"))
+
+
 # --- streams -------------------------------------------------------------------------
 
 def _run(w: Workspace, stream: DataFrame, label: str, schema) -> DataFrame:
@@ -498,3 +607,33 @@ def stream_alerts(w: Workspace) -> DataFrame:
     bronze = ingest.to_bronze(_landed(w, w.landing), instant(w.as_of))
     counts = alerts.alert_counts(alerts.scored_stream(bronze, STREAM_DELAY, w.as_of))
     return _run(w, counts, "alert-counts", counts.schema)
+
+
+@query
+def stream_unanswered(w: Workspace) -> DataFrame:
+    """Alerts after which the defendant had no lawyer within 48 hours."""
+    bronze = ingest.to_bronze(_landed(w, w.landing), instant(w.as_of))
+    open_alerts = answers.unanswered(bronze, STREAM_DELAY, w.as_of)
+    return _run(w, open_alerts, "unanswered", open_alerts.schema)
+
+
+@query
+def stream_episodes(w: Workspace) -> DataFrame:
+    """Runs of alerts of one defendant with less than a week in between."""
+    bronze = ingest.to_bronze(_landed(w, w.landing), instant(w.as_of))
+    runs = answers.episodes(bronze, STREAM_DELAY, w.as_of)
+    return _run(w, runs, "episodes", runs.schema)
+
+
+@query
+def stream_once(w: Workspace) -> DataFrame:
+    """The landed records with copies, streamed twice from the start into one sink."""
+    target = w.scratch.path("once")
+    for turn in range(2):
+        bronze = ingest.to_bronze(_landed(w, w.landing_with_copies), instant(w.as_of))
+        checkpoint = w.scratch.path(f"once-checkpoint-{turn}")
+        ingest.wait(exactly_once.start_once(bronze, target, checkpoint, every=None))
+    return exactly_once.OnceSink(w.spark, target, "").read().select(
+        "eventhub_partition", "eventhub_offset", "eventhub_timestamp",
+        F.get_json_object("raw_json", "$.case_id").alias("case_id"),
+    )

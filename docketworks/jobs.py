@@ -6,7 +6,7 @@
     python -m docketworks.jobs dedupe  --bronze DIR --target DIR --checkpoint DIR
     python -m docketworks.jobs compact --bronze DIR --target DIR
     python -m docketworks.jobs silver  --bronze DIR --silver DIR
-    python -m docketworks.jobs gold    --silver DIR --gold DIR
+    python -m docketworks.jobs gold    --silver DIR --gold DIR [--incremental | --versions]
     python -m docketworks.jobs serve   --gold DIR --report NAME --output DIR
 
 Reports are written below ``--output`` with all their rows; without it the first ones are
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docketworks.plans import dashboards, serving, silver
 from docketworks.plans.star import StarBuilder, read_star
+from docketworks.plans.versioned import VersionedStar
 from docketworks.schemas import BRONZE, HUB_KEY, SILVER, SILVER_TRACE, ddl
 from docketworks.session import build_session, prepare
 from docketworks.sources import feed, hub
@@ -121,14 +122,26 @@ def run_silver(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataF
 
 
 def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
+    """Rebuild gold; ``--incremental`` adds what silver has gained since the last load.
+
+    ``--versions`` keeps one chain of versions per defendant and case instead of attribute sets. It always
+    adds, and keeps its reports up to date.
+    """
     stored = SnapshotStore(spark, args.silver, args.format).read(SILVER_TABLE, STORED_SILVER)
     rows = stored.count()
     prepare(spark, rows)
     scratch = Scratch(spark)
+    store = SnapshotStore(spark, args.gold, args.format)
+    reports = {}
     try:
-        builder = StarBuilder(stored, args.as_of, scratch, rows)
-        store = SnapshotStore(spark, args.gold, args.format)
-        tables = builder.publish(store, cluster_fact=args.cluster_fact)
+        if args.versions:
+            star = VersionedStar(store, args.as_of, scratch, rows)
+            tables = star.load(stored)
+            reports = star.reports()
+        else:
+            builder = StarBuilder(stored, args.as_of, scratch, rows)
+            add = builder.append if args.incremental and store.newest() else builder.publish
+            tables = add(store, cluster_fact=args.cluster_fact)
     finally:
         scratch.close()
     fact = tables[serving.FACT_TABLE]
@@ -136,12 +149,17 @@ def run_gold(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFra
         "summary": serving.gold_summary(fact),
         "alerts": serving.alert_distribution(fact),
         "tables": serving.row_counts(tables),
+        **reports,
     }
 
 
 def run_serve(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     store = SnapshotStore(spark, args.gold, args.format)
-    tables = read_star(store, store.latest())
+    if args.versions:
+        tables = VersionedStar(store, args.as_of, Scratch(spark)).tables()
+        tables = serving.with_today(tables) if args.today else tables
+    else:
+        tables = read_star(store, store.latest())
     prepare(spark, tables[serving.FACT_TABLE].count())  # from the footers
     view, fact = serving.analytics_view(tables), tables[serving.FACT_TABLE]
     reports = {
@@ -199,7 +217,12 @@ def parser() -> argparse.ArgumentParser:
     job("silver", "bronze", "silver").add_argument("--latest", action="store_true")
     gold = job("gold", "silver", "gold")
     gold.add_argument("--cluster-fact", action="store_true", help="order its files by filing date")
-    job("serve", "gold").add_argument("--report", action="append")
+    gold.add_argument("--incremental", action="store_true", help="add new hub records to what is there")
+    serve = job("serve", "gold")
+    serve.add_argument("--report", action="append")
+    serve.add_argument("--today", action="store_true", help="with --versions: attributes as known today")
+    for one in (gold, serve):
+        one.add_argument("--versions", action="store_true", help="the star schema with versions")
     for name in ("silver", "gold", "serve"):
         jobs.choices[name].add_argument("--output", help="folder for the reports, one table each")
     return top

@@ -141,6 +141,34 @@ class Sequenced:
 
         return self._over(fill)
 
+    def running_total(self, columns: Mapping[str, str]) -> Sequenced:
+        """Sums of the rows of the key up to and including each row; null counts as nothing.
+
+        Sums are those of the source type, so whole numbers and decimals are exact across slices.
+        """
+
+        def total(part: Part) -> DataFrame:
+            window = self._window(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            local = {out: F.sum(source).over(window) for out, source in columns.items()}
+            if not part.sliced:
+                return part.frame.withColumns(local)
+            runs = self._border_runs(
+                part.frame, {f"_in_{out}": F.sum(source) for out, source in columns.items()}
+            )
+            before = Window.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(
+                Window.unboundedPreceding, -1
+            )
+            runs = runs.withColumns({f"_in_{out}": F.sum(f"_in_{out}").over(before) for out in columns})
+            joined = self._attach(part.frame.withColumns(local), runs, [f"_in_{out}" for out in columns])
+            sums = {
+                out: F.when(F.col(f"_in_{out}").isNull(), F.col(out)).otherwise(
+                    F.col(f"_in_{out}") + F.coalesce(F.col(out), F.lit(0)))
+                for out in columns
+            }
+            return joined.withColumns(sums).drop(*[f"_in_{out}" for out in columns])
+
+        return self._over(total)
+
     # -- inner steps ---------------------------------------------------------
 
     def _window(self, part: Part):

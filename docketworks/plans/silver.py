@@ -40,8 +40,17 @@ NUMBERS = tuple(name for name, kind in PAYLOAD if kind == "int")
 
 
 def drop_copies(bronze: DataFrame) -> DataFrame:
-    """One row per hub record. Copies are reduced before the shuffle, however many there are."""
-    return bronze.dropDuplicates(list(HUB_KEY))
+    """One row per hub record. Copies are reduced before the shuffle, however many there are.
+
+    Of copies that differ the one that was ingested first counts, then the earliest and the smallest document.
+    Records without a hub position are not told apart by it, so all of them stay.
+    """
+    first = [c for c in ("bronze_ingestion_timestamp", "eventhub_timestamp", "raw_json") if c in bronze.columns]
+    others = [c for c in bronze.columns if c not in {*HUB_KEY, *first}]
+    unknown = F.col(HUB_KEY[0]).isNull() | F.col(HUB_KEY[1]).isNull()
+    marked = bronze.withColumn("_apart", F.when(unknown, F.monotonically_increasing_id()))
+    kept = marked.groupBy(*HUB_KEY, "_apart").agg(F.min(F.struct(*first, *others)).alias("_first"))
+    return kept.select(*HUB_KEY, "_first.*").select(*bronze.columns)
 
 
 def latest_per_case(parsed: DataFrame) -> DataFrame:

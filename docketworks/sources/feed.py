@@ -92,6 +92,23 @@ def as_payload(events: DataFrame) -> DataFrame:
     return events.withColumns({name: F.date_format(name, JSON_TIME) for name in DATE_FIELDS})
 
 
+def case_updates(cases: DataFrame, lines: DataFrame, as_of: datetime) -> DataFrame:
+    """Later records of ``cases`` (feed_key, case_id, case_filed_date), one per line of their order.
+
+    Each tells the attorney status that was found then. Updates after ``as_of`` have not come yet;
+    ``update_key`` is unique up to equal lines.
+    """
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    later = lines.select(F.col("l_orderkey").alias("feed_key"), line.alias("update_key")).distinct()
+    seconds = key_hash(F.col("update_key"), "later") % (60 * DAY)
+    changed = later.join(cases.select("feed_key", "case_id", "case_filed_date"), "feed_key")
+    return changed.select(
+        "case_id", F.timestamp_seconds(F.unix_timestamp("case_filed_date") + seconds).alias("updated_at"),
+        pick(vocab.ATTORNEY_STATUSES, key_hash(F.col("update_key"), "status") % 5).alias("attorney_status"),
+        "update_key",
+    ).filter(F.col("updated_at") <= instant(as_of))
+
+
 def spoil_dates(payload: DataFrame) -> DataFrame:
     """Make some dates unusable: 1 in 50 hearings unreadable, 1 in 40 before the filing."""
     key = F.col("feed_key")

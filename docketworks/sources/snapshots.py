@@ -101,8 +101,12 @@ class SnapshotStore:
             return 0, None
         return (found["number"], found["snapshot"]) if found else (0, None)
 
+    def newest(self) -> str | None:
+        """The newest committed snapshot, or None before the first."""
+        return self._newest()[1]
+
     def latest(self) -> str:
-        newest = self._newest()[1]
+        newest = self.newest()
         if newest is None:
             raise LookupError(f"nothing was published below {self.base}")
         return newest

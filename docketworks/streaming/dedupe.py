@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LANE = "_lane"
+LANE, APART = "_lane", "_apart"
 
 
 def drop_repeats(
@@ -17,13 +18,16 @@ def drop_repeats(
 
     A record repeated very often would send all its copies to one task. So the
     copies are first reduced within ``lanes`` lanes, which follow the input
-    partitions, and only one survivor per lane meets the others.
+    partitions, and only one survivor per lane meets the others. A record with a null key is
+    a copy of no other; it gets a mark of its own.
     """
     lane = F.pmod(F.spark_partition_id(), F.lit(lanes))
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     return (
         stream.withWatermark(event_time, delay)
-        .withColumn(LANE, lane)
-        .dropDuplicatesWithinWatermark([*keys, LANE])
+        .withColumns({LANE: lane, APART: F.when(unknown, F.expr("uuid()"))})
+        .dropDuplicatesWithinWatermark([*keys, APART, LANE])
         .drop(LANE)
-        .dropDuplicatesWithinWatermark(list(keys))
+        .dropDuplicatesWithinWatermark([*keys, APART])
+        .drop(APART)
     )

@@ -8,9 +8,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketworks.functions.hashing import key_hash
 from docketworks.functions.rules import instant
 from docketworks.plans import serving, silver
 from docketworks.plans.star import StarBuilder
+from docketworks.plans.versioned import VersionedStar
 from docketworks.session import Sizing, prepare, spread
 from docketworks.sources import feed
 from docketworks.sources.hub import to_bronze
@@ -91,6 +93,16 @@ class Workspace:
     def fact(self) -> DataFrame:
         return self.star[serving.FACT_TABLE]
 
+    @cached_property
+    def versioned(self) -> VersionedStar:
+        """The versioned star schema after three loads in no order of time, the second delivered twice."""
+        store = SnapshotStore(self.spark, self.scratch.path("versioned"))
+        star = VersionedStar(store, self.as_of, self.scratch, self.rows, self.sizing)
+        number = key_hash(F.col("case_id"), "load") % 3
+        for load in (0, 1, 2, 1):
+            star.load(self.silver.filter(number == load))
+        return star
+
     def view(self) -> DataFrame:
         return serving.analytics_view(self.star)
 

@@ -447,5 +447,193 @@ SQL: dict[str, str] = {
         GROUP BY day, court_district_code, alert_priority""",
 }
 
+# versions of all that is known of a defendant, whatever the order of the loads
+CHAINS = """
+known AS (
+  SELECT *, lag(attorney_status) OVER d AS was, lag(zip) OVER d AS was_zip, row_number() OVER d AS nth
+  FROM cleaned WINDOW d AS (PARTITION BY defendant_id ORDER BY filed, hub_offset, hub_partition)
+),
+numbered AS (
+  SELECT *, nth = 1 OR attorney_status IS DISTINCT FROM was OR zip IS DISTINCT FROM was_zip AS opens
+  FROM known
+),
+placed AS (
+  SELECT *, CAST(sum(CAST(opens AS INTEGER)) OVER d AS INTEGER) AS version
+  FROM numbered WINDOW d AS (PARTITION BY defendant_id ORDER BY filed, hub_offset, hub_partition)
+),
+chains AS (
+  SELECT defendant_id, attorney_status, zip, version, filed AS effective,
+    lead(filed) OVER d AS ended, lead(version) OVER d IS NULL AS is_current
+  FROM placed WHERE opens WINDOW d AS (PARTITION BY defendant_id ORDER BY version)
+)"""
+_CHAINS = _with(EVENTS, CLEAN, CHAINS)
+SQL["versioned_dimension"] = f"""{_CHAINS} SELECT defendant_id, attorney_status,
+  zip AS defendant_zip_code, {VERSION_COLUMNS} FROM chains"""
+SQL["versioned_gold"] = f"""{_CHAINS} SELECT p.case_id, defendant_id, c.attorney_status,
+  c.zip AS defendant_zip_code, {VERSION_COLUMNS}, CAST(1 AS INTEGER) AS case_version
+  FROM placed p JOIN chains c USING (defendant_id, version)"""
+
+# proceedings under what is known of their defendants today
+_TODAY = _FACT.rstrip() + """,
+today AS (
+  SELECT f.* EXCLUDE (attorney_status), last.attorney_status, CAST(date_trunc('month', filed) AS DATE) AS month
+  FROM fact f JOIN (
+    SELECT defendant_id, attorney_status FROM cleaned QUALIFY row_number() OVER (
+      PARTITION BY defendant_id ORDER BY filed DESC, hub_offset DESC, hub_partition DESC) = 1) last
+  USING (defendant_id))
+"""
+_UPKEPT = f"""{GAP}, count(*) FILTER (WHERE alert_triggered) AS alerts,
+  {MEAN_SCORE} AS avg_priority_score, {_money('sum(cost_cents)')} AS total_cost FROM today GROUP BY"""
+for _name, _keys in {
+    "upkept_gap": "court_district, court_district_code, charge_severity, income_level",
+    "upkept_attorneys": "court_district_code, attorney_status",
+    "upkept_demographics": "defendant_age_group, income_level, charge_type",
+    "upkept_budget": "court_district, month, attorney_status",
+}.items():
+    SQL[_name] = f"{_TODAY} SELECT {_keys}, {_UPKEPT} {_keys}"
+
+SQL["silver_without_position"] = f"""{_CLEAN}, told AS (
+    SELECT *, {_hash('feed_key', 'lost')} % 50 = 0 AS lost, {_hash('feed_key', 'dup')} % 5 = 0 AS twice
+    FROM cleaned)
+  SELECT case_id, CASE WHEN NOT lost THEN hub_partition END AS eventhub_partition,
+    CASE WHEN NOT lost THEN hub_offset END AS eventhub_offset, needs_representation FROM told
+  UNION ALL SELECT case_id, NULL, NULL, needs_representation FROM told WHERE lost AND twice"""
+SQL["case_history_full"] = f"""{_VERSIONS} SELECT c.case_id, c.defendant_id,
+    {_text('c.filed', 'case_filed_date')}, {_text('c.hearing', 'hearing_date')}, v.attorney_status,
+    {VERSION_COLUMNS}
+  FROM cleaned c JOIN versions v ON c.defendant_id = v.defendant_id
+    AND v.effective < c.hearing AND (v.ended IS NULL OR c.filed < v.ended)"""
+
+# what the streams know in the end: their watermark is two days behind the slower of them
+ALERTS = """
+alerts AS (SELECT * FROM fact WHERE alert_triggered),
+answers AS (
+  SELECT defendant_id, filed AS answered FROM cleaned
+  WHERE attorney_status IN ('Private Attorney', 'Public Defender Assigned'))"""
+_ALERTS = _with(EVENTS, CLEAN, FACT, ALERTS)
+SQL["stream_unanswered"] = f"""{_ALERTS} SELECT case_id, defendant_id, court_district_code,
+    {_text('filed', 'eventhub_timestamp')}, CAST(score AS INTEGER) AS representation_priority_score,
+    alert_priority
+  FROM alerts a WHERE NOT EXISTS (
+    SELECT 1 FROM answers b WHERE b.defendant_id = a.defendant_id
+      AND b.answered BETWEEN a.filed AND a.filed + INTERVAL 48 HOUR)
+  AND filed + INTERVAL 48 HOUR < least(
+    (SELECT max(filed) FROM alerts), (SELECT max(answered) FROM answers)) - INTERVAL 2 DAY"""
+SQL["stream_episodes"] = f"""{_ALERTS}, marked AS (
+    SELECT *, CASE WHEN filed < lag(filed) OVER d + INTERVAL 7 DAY THEN 0 ELSE 1 END AS opens
+    FROM alerts WINDOW d AS (PARTITION BY defendant_id ORDER BY filed)),
+  numbered AS (
+    SELECT *, sum(opens) OVER (PARTITION BY defendant_id ORDER BY filed, proceeding_sk) AS episode FROM marked)
+  SELECT defendant_id, {_text('min(filed)', 'episode_begin')}, {_text('max(filed)', 'episode_end')},
+    count(*) AS alerts, CAST(max(score) AS INTEGER) AS highest_score,
+    CASE WHEN max(score) >= 9 THEN 'CRITICAL' ELSE 'HIGH' END AS highest_priority
+  FROM numbered GROUP BY defendant_id, episode
+  HAVING max(filed) + INTERVAL 7 DAY <= (SELECT max(filed) FROM alerts) - INTERVAL 2 DAY"""
+SQL["stream_once"] = SQL["stream_dedupe"]
+
+# later records of the cases, one per line of their order
+UPDATES = f"""
+later AS (
+  SELECT DISTINCT l_orderkey AS feed_key,
+    concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS update_key FROM lineitem
+),
+updates AS (
+  SELECT case_id, update_key, filed + to_seconds({_hash('update_key', 'later')} % 5184000) AS updated_at,
+    {STATUSES}[{_hash('update_key', 'status')} % 5 + 1] AS status
+  FROM later JOIN cleaned USING (feed_key)
+  WHERE filed + to_seconds({_hash('update_key', 'later')} % 5184000) <= {AS_OF}
+)"""
+_UPDATES = _with(EVENTS, CLEAN, UPDATES)
+SQL["case_status_changes"] = f"""{_UPDATES}, steps AS (
+    SELECT *, lag(status) OVER c AS was, row_number() OVER c AS nth FROM updates
+    WINDOW c AS (PARTITION BY case_id ORDER BY updated_at, update_key))
+  SELECT case_id, was AS from_status, status AS to_status, {_text('updated_at', 'changed_at')}
+  FROM steps WHERE nth > 1 AND was <> status"""
+SQL["assignment_waits"] = f"""{_UPDATES.replace('WITH', 'WITH RECURSIVE', 1)}, waits AS (
+    SELECT case_id, court_district_code, first IS NOT NULL AS assigned,
+      CAST(epoch(coalesce(first, {AS_OF})) - epoch(filed) AS BIGINT) // 86400 AS days
+    FROM cleaned LEFT JOIN (
+      SELECT case_id, min(updated_at) AS first FROM updates
+      WHERE status IN ('Private Attorney', 'Public Defender Assigned') GROUP BY case_id) USING (case_id)),
+  daily AS (
+    SELECT court_district_code, days, count(*) FILTER (WHERE assigned) AS assigned,
+      count(*) FILTER (WHERE NOT assigned) AS censored FROM waits GROUP BY court_district_code, days),
+  risk AS (
+    SELECT *, row_number() OVER (PARTITION BY court_district_code ORDER BY days) AS k,
+      CAST(sum(assigned + censored) OVER (PARTITION BY court_district_code ORDER BY days
+        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS at_risk FROM daily),
+  shares AS (
+    SELECT court_district_code, k, 1000000000 * (at_risk - assigned) // at_risk AS share FROM risk WHERE k = 1
+    UNION ALL
+    SELECT r.court_district_code, r.k, s.share * (r.at_risk - r.assigned) // r.at_risk
+    FROM shares s JOIN risk r ON r.court_district_code = s.court_district_code AND r.k = s.k + 1)
+  SELECT court_district_code, days, assigned, censored, at_risk, CAST(share AS BIGINT) AS waiting_billionths
+  FROM risk JOIN shares USING (court_district_code, k)"""
+SQL["capacity_cuts"] = f"""{_FACT}, lined AS (
+    SELECT *, CAST(date_trunc('week', filed) AS DATE) AS week, CASE charge_severity
+      WHEN 'Felony' THEN 12 WHEN 'Misdemeanor' THEN 6 ELSE 3 END AS hours FROM fact),
+  used AS (
+    SELECT *, CAST(sum(hours) OVER (
+      PARTITION BY court_district, week ORDER BY score DESC, proceeding_sk) AS BIGINT) AS hours_used FROM lined)
+  SELECT court_district, week, proceeding_sk, case_id, CAST(hours AS BIGINT) AS hours, hours_used,
+    hours_used <= 400 AS within_capacity FROM used"""
+SQL["change_points"] = f"""{_FACT}, weekly AS (
+    SELECT court_district, CAST(date_trunc('week', filed) AS DATE) AS week, count(*) AS filings FROM fact
+    WHERE NOT (filed < TIMESTAMP '2024-04-15' AND court_district_code = 'BX'
+      AND {_hash('case_id', 'shift')} % 10 < 6)
+    GROUP BY 1, 2),
+  spans AS (SELECT court_district, min(week) AS low, max(week) AS high FROM weekly GROUP BY court_district),
+  every AS (
+    SELECT court_district, low AS first_week,
+      CAST(unnest(generate_series(low, high, INTERVAL 7 DAY)) AS DATE) AS week FROM spans),
+  filled AS (
+    SELECT court_district, first_week, week, coalesce(filings, 0) AS filings,
+      count(*) OVER (PARTITION BY court_district) AS weeks,
+      sum(coalesce(filings, 0)) OVER (PARTITION BY court_district) AS total
+    FROM every LEFT JOIN weekly USING (court_district, week)),
+  summed AS (
+    SELECT *, sum(weeks * filings - total) OVER d AS level FROM filled
+    WINDOW d AS (PARTITION BY court_district ORDER BY week)),
+  lowest AS (
+    SELECT *, least(0, min(level) OVER d) AS low FROM summed
+    WINDOW d AS (PARTITION BY court_district ORDER BY week)),
+  best AS (
+    SELECT * FROM lowest QUALIFY row_number() OVER (
+      PARTITION BY court_district ORDER BY level - low DESC, week) = 1)
+  SELECT court_district, CAST(coalesce(
+      (SELECT max(l.week) FROM lowest l WHERE l.court_district = b.court_district AND l.week <= b.week
+        AND l.level = b.low), first_week - 7) + 7 AS DATE) AS begins, week AS ends,
+    CAST(level - low AS DOUBLE) / CAST(weeks AS DOUBLE) AS filings_above_mean
+  FROM best b WHERE level > low"""
+
+
+def _dependency(given: str, value: str) -> str:
+    return f"""SELECT '{given} -> {value}' AS dependency, count(*) AS groups,
+        count(*) FILTER (WHERE kinds > 1) AS broken_groups, CAST(sum(n) AS BIGINT) AS records,
+        CAST(sum(n - most) AS BIGINT) AS records_to_remove FROM (
+        SELECT {given}, sum(n) AS n, max(n) AS most, count(*) AS kinds FROM (
+          SELECT {given}, {value}, count(*) AS n FROM told GROUP BY ALL) GROUP BY {given})"""
+
+
+SQL["dependency_errors"] = f"""{_CLEAN}, told AS (
+    SELECT case_id, court_district, court_district_code, defendant_id, income_level, assigned_judge FROM cleaned
+    UNION ALL SELECT case_id, 'Bronx Criminal Court', court_district_code, defendant_id, income_level,
+      assigned_judge FROM cleaned WHERE {_hash('case_id', 'moved')} % 25 = 0)
+  """ + " UNION ALL ".join(_dependency(g, v) for g, v in (
+    ("case_id", "court_district"), ("court_district", "court_district_code"),
+    ("defendant_id", "income_level"), ("assigned_judge, court_district_code", "court_district")))
+_TEXT_FIELDS = ("case_id defendant_id charge_type charge_severity case_status attorney_status defendant_gender "
+                "income_level court_district assigned_judge hearing_type case_filed_date hearing_date "
+                "record_timestamp").split()
+SQL["schema_drift"] = f"""{_EVENTS}, kinds AS (
+    SELECT filed, unnest({_TEXT_FIELDS}) AS field, 'text' AS kind FROM events_of_court
+    UNION ALL SELECT filed, 'defendant_age', CASE WHEN {_hash('feed_key', 'badage')} % 30 = 0
+      THEN 'text' ELSE 'integer' END FROM events_of_court WHERE defendant_age IS NOT NULL
+    UNION ALL SELECT filed, 'defendant_zip_code', CASE WHEN {_hash('feed_key', 'badzip')} % 40 = 0
+      THEN 'text' ELSE 'integer' END FROM events_of_court WHERE raw_zip IS NOT NULL)
+  SELECT strftime(filed, '%Y-%m-%d') AS day, field, string_agg(DISTINCT kind, ',' ORDER BY kind) AS types,
+    count(*) AS records, CAST(0 AS BIGINT) AS nulls, count(DISTINCT kind) > 1 AS conflicts
+  FROM kinds GROUP BY 1, 2"""
+
 # the copies in the feed leave no trace
 SQL["silver_deduped"] = SQL["silver_clean"]
