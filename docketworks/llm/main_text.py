@@ -3,16 +3,20 @@
 Every page becomes blocks of words; a block stands in an article, in chrome (menus, footers,
 forms and the like, by tag, role, class or id) or in neither. The word streams of the pages of a host are put
 one after another and their suffixes sorted as deep as the shortest run of interest; neighbours
-in that order that agree so far and come from different pages are repeated runs. Words outside an
-article that such runs cover are boilerplate; runs between them are kept.
-
-Two rules follow from what counts as main text. Words in an article are never removed, for a passage
-that several articles share is text of each. And what is left in chrome, although no other page
-repeats it, is dropped in the end. So the runs alone decide for text that stands in neither.
-
-A host of many pages is cut into groups of bounded size. What its markup leaves undecided (text in
-neither article nor chrome) is compared across the groups by a hash of each run, counted over the
-whole host. The parsed pages are shuffled once and nothing is stored.
+in that order that agree so far and come from different pages are repeated runs.
+
+What the runs decide:
+* words in neither article nor chrome go where runs cover them, and stay elsewhere;
+* a container of chrome goes as a whole if runs cover at least ``SHARE`` of its words, the unique rest (a
+  date, a name) with it;
+* words in an article never go, for a passage that several articles share is text of each.
+Only a container of which the host gives less evidence (a single page, words of one page's own) is
+decided by its markup, which drops it too. ``run_words`` and ``markup_words`` tell how many words went by
+which; without ``by_markup`` such containers keep what no run covers.
+
+A host of many or large pages is cut into groups of bounded size. Runs with text in neither article nor
+chrome are compared across the groups by a hash of each run, counted over the whole host; containers are
+compared within a group. The parsed pages are shuffled once and nothing is stored.
 """
 
 from __future__ import annotations
@@ -24,16 +28,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketworks.llm.markup import ARTICLE, CHROME, PLAIN, blocks
+from docketworks.llm.markup import CHROME, PLAIN, contained_blocks
 from docketworks.llm.tables import through
 
 #: Words of the shortest repeated run; a power of two, as sorting doubles its depth.
 RUN = 8
+#: Share of a container's words that runs must cover for it to go as a whole.
+SHARE = 0.5
 PAGES_PER_GROUP = 1024
+#: Bytes of html per group, but for a page that has more.
+GROUP_BYTES = 64_000_000
 #: Most large hosts whose table is broadcast; beyond, Spark joins it as it sees fit.
 BROADCAST_HOSTS = 100_000
 
-PARSED = "page_id long, url string, host string, part long, lines string, zones array<int>, stream long"
+PARSED = ("page_id long, url string, host string, part long, lines string, zones array<int>, stream long, "
+          "containers array<int>")
+TEXTS = "page_id long, url string, text string, run_words long, markup_words long"
 RUNS = "host string, part long, stream long, run long"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -65,13 +75,14 @@ def _stream(lines: str) -> int:
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A line of words per block."""
     for batch in batches:
-        found = [list(blocks(page)) for page in batch.column(4).to_pylist()]
-        lines = ["\n".join(" ".join(words) for _, words in mine) for mine in found]
+        found = [list(contained_blocks(page)) for page in batch.column(4).to_pylist()]
+        lines = ["\n".join(" ".join(words) for *_, words in mine) for mine in found]
         yield pa.RecordBatch.from_arrays([
             *batch.columns[:4], pa.array(lines, pa.string()),
-            pa.array([[zone for zone, _ in mine] for mine in found], pa.list_(pa.int32())),
+            pa.array([[zone for zone, *_ in mine] for mine in found], pa.list_(pa.int32())),
             pa.array([_stream(x) for x in lines], pa.int64()),
-        ], names=["page_id", "url", "host", "part", "lines", "zones", "stream"])
+            pa.array([[container for _, container, _ in mine] for mine in found], pa.list_(pa.int32())),
+        ], names=["page_id", "url", "host", "part", "lines", "zones", "stream", "containers"])
 
 
 def _words_of(lines: str, zones: list[int]) -> tuple[list[str], list[int], np.ndarray]:
@@ -149,7 +160,18 @@ def cover(starts: np.ndarray, length: int, run: int) -> np.ndarray:
     return np.cumsum(marks[:-1]) > 0
 
 
-def _group(run: int):
+def _went(zone: np.ndarray, container: np.ndarray, covered: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Words that runs remove, and words of chrome that they leave to the markup."""
+    chrome = zone == CHROME
+    words = np.bincount(container[chrome])
+    hit = np.bincount(container[chrome], weights=covered[chrome], minlength=len(words))
+    whole = np.zeros(len(zone), bool)
+    whole[chrome] = (hit >= share * words)[container[chrome]]
+    by_runs = whole | (zone == PLAIN) & covered
+    return by_runs, chrome & ~whole
+
+
+def _group(run: int, share: float, by_markup: bool):
     """Texts of the pages of one group; ``shared`` has the runs that other groups have too."""
     def work(rows, shared):
         pages = [_words_of(lines, zones) for lines, zones in
@@ -162,14 +184,18 @@ def _group(run: int):
         starts = repeated(np.array(symbols, np.int64), np.concatenate([*owner, np.zeros(0, np.int64)]), run)
         covered = cover(starts, len(symbols), run)
         known = shared.column("run").to_numpy().astype(np.uint64)
-        texts, at = [], 0
-        for words, sizes, zone in pages:
+        texts, by_run, by_mark, at = [], [], [], 0
+        for (words, sizes, zone), containers in zip(pages, rows.column("containers").to_pylist()):
             mine = covered[at:at + len(zone)]
             at += len(zone) + 1
             if len(known) and (zone == PLAIN).any():
                 found = np.isin(window_hashes(_word_hashes(words), run), known)
                 mine = mine | cover(np.flatnonzero(found), len(zone), run)
-            keep = (zone == ARTICLE) | ~mine & (zone != CHROME)
+            container = np.repeat(np.array(containers, np.int64), sizes)
+            gone, left = _went(zone, container, mine, share)
+            keep = ~gone & ~(left if by_markup else left & mine)
+            by_run.append(int(gone.sum()))
+            by_mark.append(int((left & ~keep).sum()))
             lines, place = [], 0
             for size in sizes:
                 line = " ".join(w for w, k in zip(words[place:place + size], keep[place:place + size]) if k)
@@ -178,7 +204,8 @@ def _group(run: int):
                     lines.append(line)
             texts.append("\n".join(lines))
         return pa.table({"page_id": rows.column("page_id"), "url": rows.column("url"),
-                         "text": pa.array(texts, pa.string())})
+                         "text": pa.array(texts, pa.string()), "run_words": pa.array(by_run, pa.int64()),
+                         "markup_words": pa.array(by_mark, pa.int64())})
 
     return work
 
@@ -198,9 +225,10 @@ def _shared_runs(source: DataFrame, run: int) -> DataFrame:
 
 
 def extract(
-    pages: DataFrame, run: int = RUN, pages_per_group: int = PAGES_PER_GROUP
+    pages: DataFrame, run: int = RUN, pages_per_group: int = PAGES_PER_GROUP, share: float = SHARE,
+    by_markup: bool = True,
 ) -> DataFrame:
-    """``page_id``, ``url`` and ``text`` of every row of ``pages`` (page_id, url, html).
+    """``page_id``, ``url``, ``text``, ``run_words`` and ``markup_words`` of every row of ``pages`` (page_id, url, html).
 
     Blocks are joined by line feeds in page order, white space inside a block is one blank.
     A null or empty html has the empty text. A url without a host, or null, belongs to the host "".
@@ -209,11 +237,12 @@ def extract(
     an empty result.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", HOST, 1), F.lit("")))
-    counts = pages.select(host.alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
-    large = counts.filter(F.col("_pages") > pages_per_group).select(
-        "host", F.ceil(F.col("_pages") / pages_per_group).alias("_groups")
+    counts = pages.select(host.alias("host"), F.octet_length("html").alias("_size")).groupBy("host").agg(
+        F.count(F.lit(1)).alias("_pages"), F.sum("_size").alias("_bytes")
     )
-    # counted first, from the urls alone: a join by shuffles would move every page once more
+    needed = F.greatest(F.ceil(F.col("_pages") / pages_per_group), F.ceil(F.col("_bytes") / GROUP_BYTES))
+    large = counts.select("host", needed.alias("_groups")).filter("_groups > 1")
+    # counted first: a join by shuffles would move every page once more
     small = large.count() <= BROADCAST_HOSTS
     source = pages.select(F.col("page_id").cast("long"), "url", host.alias("host"), "html").join(
         F.broadcast(large) if small else large, "host", "left"
@@ -223,5 +252,5 @@ def extract(
     rows = through(source, PARSED, _parse).withColumn("part", F.coalesce("part", F.lit(-1).cast("long")))
     shared = _shared_runs(source, run)
     return rows.groupBy("host", "part").cogroup(shared.groupBy("host", "part")).applyInArrow(
-        _group(run), "page_id long, url string, text string"
+        _group(run, share, by_markup), TEXTS
     )

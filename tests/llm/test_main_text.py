@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import numpy as np
 import pytest
@@ -161,3 +162,68 @@ def test_runs_across_the_border_of_an_article_count_in_any_group(spark, scratch,
     frame = spark.createDataFrame(rows, PAGES)
     found = {r["page_id"]: r["text"] for r in main_text.extract(frame, pages_per_group=per_group).collect()}
     assert found == {i: f"{start} w{i} {end}" for i in range(6)}
+
+
+MENU = "<div class='menu'><p>home news sport weather travel help shop login {}</p></div>"
+
+
+def site(spark, count=6):
+    rows = [(i, f"http://site/{i}", MENU.format(f"unique{i}") + f"<article><p>article number {i} says so</p></article>")
+            for i in range(count)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_a_container_goes_as_a_whole_with_its_unique_rest(spark):
+    for by_markup in (True, False):
+        rows = main_text.extract(site(spark), by_markup=by_markup).collect()
+        assert {r["text"] for r in rows} == {f"article number {i} says so" for i in range(6)}
+        assert {(r["run_words"], r["markup_words"]) for r in rows} == {(9, 0)}
+    # without evidence the markup decides, or nothing
+    for frame, run in ((site(spark, 1), 8), (site(spark), 16)):
+        assert {r["markup_words"] for r in main_text.extract(frame, run=run).collect()} == {9}
+        assert all("login unique" in r["text"] for r in main_text.extract(frame, run=run, by_markup=False).collect())
+    # a container that runs cover to less than the share is left to its markup
+    kept = main_text.extract(site(spark), share=0.95, by_markup=False).collect()
+    assert {r["text"].split("\n")[0] for r in kept} == {f"unique{i}" for i in range(6)}
+
+
+def test_the_length_of_runs_changes_texts_of_the_table(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    texts = [
+        {r["page_id"]: r["text"] for r in main_text.extract(pages, run=run, by_markup=False).collect()}
+        for run in (4, 8, 32)
+    ]
+    assert texts[0] != texts[1] != texts[2]
+
+
+def test_groups_are_bounded_by_bytes_too(spark, monkeypatch):
+    expected = sorted(tuple(r) for r in main_text.extract(site(spark, 12), by_markup=False).collect())
+    monkeypatch.setattr(main_text, "GROUP_BYTES", 600)
+    found = sorted(tuple(r) for r in main_text.extract(site(spark, 12), by_markup=False).collect())
+    assert [r[:2] for r in found] == [r[:2] for r in expected]
+    assert sum(a == b for a, b in zip(found, expected)) >= 6  # a page alone in its group has no run
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "object", "iframe", "noscript", "select", "template"])
+def test_unclosed_embedded_elements_lose_no_text(tag):
+    page = f"<article><p>before</p><{tag} data=x><p>after</p></article>"
+    assert [w for _, words in blocks(page) for w in words] == ["before", "after"]
+    closed = f"<article><p>before</p><{tag}>hidden</{tag.upper()} ><p>after</p></article>"
+    assert [w for _, words in blocks(closed) for w in words] == ["before", "after"]
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea", "title"])
+def test_unclosed_raw_elements_run_to_the_end(tag):
+    assert [w for _, words in blocks(f"<p>before</p><{tag}><p>after</p>") for w in words] == ["before"]
+
+
+@pytest.mark.parametrize("page", [
+    '<a "' * 262_144, '<a "' * 262_144 + ">", "<a '\"" * 200_000 + ">", "<div>" * 200_000 + "x" + "</div>" * 10_000,
+    "<svg>" * 200_000 + "x", "</p>" * 250_000, "<form><main>" * 80_000 + "x", "<" * 1_000_000, "<!--" * 250_000,
+    "<p>" * 300_000 + "x", "<script " * 120_000, "<li><ul>" * 120_000 + "x",
+])
+def test_hostile_pages_take_linear_time(page):
+    begin = time.process_time()
+    for _ in blocks(page):
+        pass
+    assert time.process_time() - begin < 5
