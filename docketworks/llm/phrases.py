@@ -13,8 +13,11 @@ Length by length:
 * merge-join: occurrences of frequent phrases at neighbouring places of a piece make those that are one word longer.
   They are named by the phrases without their last and without their first word.
 
-The phrases of segments are shuffled with their counts, and the packed segments once per length; single
-occurrences never are. No table of phrases is broadcast or collected, for they grow with the corpus.
+Phrases of two words and more are nearly as many as words, so a segment hands them on packed: dealt by a hash of
+the phrase to parts of about ``PART_WORDS`` words of the corpus, in order, as columns of numbers. A part holds all
+counts of its phrases; one that every segment has is one number per segment there. The packed relations are
+shuffled once per length, single occurrences never. No table of phrases is broadcast or collected, for
+they grow with the corpus.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ REPORTED = 2000
 MILLION = 1_000_000
 #: Text of one segment, and text that a task holds for segments to come.
 SEGMENT_BYTES, HELD_BYTES = 16_000_000, 48_000_000
+#: Words of the corpus per part in which longer phrases are counted.
+PART_WORDS = 3_000_000
 UNKNOWN = "und"
 
 # Fixed by the contract: what ends a piece, and what separates words
@@ -49,7 +54,10 @@ BORDER = PIECE_ENDS[:1]
 _TABLE = bytes.maketrans(PIECE_ENDS + WORD_ENDS, BORDER * len(PIECE_ENDS) + b" " * len(WORD_ENDS))
 
 WORDS = "segment long, lang string, places binary, codes binary, words array<string>, counts array<long>"
-LONGER = "segment long, places binary, codes binary, lefts array<long>, rights array<long>, counts array<long>"
+#: A row with the places of a segment (no part), and one per part with phrases of it.
+LONGER = "segment long, part int, places binary, codes binary, own binary, lefts binary, rights binary, counts binary"
+#: Per segment the numbers of frequent phrases, and (no segment) the frequent phrases of the part.
+COUNTED = "segment long, own binary, given binary, lefts array<long>, rights array<long>, counts array<long>"
 
 
 class _Numbers(dict):
@@ -70,21 +78,21 @@ def occurrences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]
     return places, codes[places] - 1, list(numbers)[1:]
 
 
-def packed(numbers: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(numbers.astype(np.int32).tobytes())
+def packed(numbers: np.ndarray, kind=np.int32) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype(kind).tobytes())
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int32)
+def unpacked(data: bytes, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
-def packed_places(places: np.ndarray) -> bytes:
-    """As steps, which are small and much alike."""
-    return packed(np.diff(places, prepend=np.int32(0)))
+def packed_steps(numbers: np.ndarray, kind=np.int32) -> bytes:
+    """Ascending numbers as steps, which are small and much alike."""
+    return packed(np.diff(numbers, prepend=numbers.dtype.type(0)), kind)
 
 
-def unpacked_places(data: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(data), dtype=np.int32)
+def unpacked_steps(data: bytes, kind=np.int32) -> np.ndarray:
+    return np.cumsum(unpacked(data, kind), dtype=kind)
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +110,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(places):
             counts = np.bincount(codes, minlength=len(words))
             number += 1
-            row = (number, lang, packed_places(places), packed(codes), [w.decode() for w in words], counts)
+            row = (number, lang, packed_steps(places), packed(codes), [w.decode() for w in words], counts)
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
     for batch in batches:
@@ -126,80 +134,135 @@ def joined(places: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return places[here], codes[here], codes[here + 1]
 
 
-def _lengthen(last: bool):
-    """Segments with the numbers of their frequent phrases to segments of phrases a word longer."""
-    kinds = (pa.int64(), pa.binary(), pa.binary(), *(pa.list_(pa.int64()),) * 3)
-    names = [part.split()[0] for part in LONGER.split(", ")]
+def _part_of(lefts: np.ndarray, rights: np.ndarray, parts: int) -> np.ndarray:
+    mixed = lefts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rights.astype(np.uint64)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, segment in enumerate(batch.column(0).to_pylist()):
-                places = unpacked_places(batch.column(1)[i].as_py())
-                codes = unpacked(batch.column(2)[i].as_py())
-                own, given = (batch.column(c)[i].values.to_numpy() for c in (3, 4))
-                number = np.full(int(codes.max()) + 1, -1, np.int64)
-                number[own] = given
-                frequent = number[codes] >= 0
-                places, left, right = joined(places[frequent], codes[frequent])
-                if not len(places):
-                    continue
-                pairs, codes, counts = np.unique(
-                    left.astype(np.int64) << 32 | right, return_inverse=True, return_counts=True
-                )
-                kept = (b"", b"") if last else (packed_places(places), packed(codes))
-                row = (segment, *kept, number[pairs >> 32], number[pairs & 0xFFFFFFFF], counts)
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
-    return work
+def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    names, types = zip(*(part.split() for part in schema.split(", ")))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(values, kinds[kind]) for values, kind in zip(zip(*rows), types)], names=list(names)
+    )
+
 
+def _lengthened(segment: int, places, codes, number, last: bool, parts: int) -> list[tuple]:
+    """Rows of LONGER for one segment; ``number`` has the number of each of its phrases, or -1."""
+    frequent = number[codes] >= 0
+    places, left, right = joined(places[frequent], codes[frequent])
+    if not len(places):
+        return []
+    pairs, codes, counts = np.unique(left.astype(np.int64) << 32 | right, return_inverse=True, return_counts=True)
+    rows = [] if last else [(segment, None, packed_steps(places), packed(codes), None, None, None, None)]
+    lefts, rights = number[pairs >> 32], number[pairs & 0xFFFFFFFF]
+    part = _part_of(lefts, rights, parts)
+    order = np.lexsort((rights, lefts, part))
+    chosen, begins = np.unique(part[order], return_index=True)
+    for p, own in zip(chosen, np.split(order, begins[1:])):
+        rows.append((segment, int(p), None, None, packed(own), packed_steps(lefts[own], np.int64),
+                     packed(rights[own], np.int64), packed(counts[own])))
+    return rows
+
+
+def _lengthen(last: bool, parts: int):
+    """Cogroup of a segment with the numbers of its frequent phrases, in one row or several."""
+    def work(occurrences, known):
+        rows = []
+        if occurrences.num_rows and known.num_rows:
+            places = unpacked_steps(occurrences.column("places")[0].as_py())
+            codes = unpacked(occurrences.column("codes")[0].as_py())
+            number = np.full(int(codes.max()) + 1, -1, np.int64)
+            for own, given in zip(known.column("own").to_pylist(), known.column("given").to_pylist()):
+                number[unpacked(own)] = unpacked(given, np.int64)
+            rows = _lengthened(occurrences.column("segment")[0].as_py(), places, codes, number, last, parts)
+        found = [_rows(LONGER, [row]) for row in rows] or [_rows(LONGER, [(0, *[None] * 7)]).slice(0, 0)]
+        return pa.Table.from_batches(found)
+
+    return work
 
-def _entries(segments: DataFrame, *named: str) -> DataFrame:
-    """A row per segment and phrase, with its number in the segment."""
-    other = [c for c in ("lang",) if c in segments.columns]
-    found = segments.select("segment", *other, F.posexplode(F.arrays_zip(*named, "counts")).alias("own", "_one"))
-    return found.select("segment", *other, "own", "_one.*")
 
+def _count(least: int):
+    """Group-count of one part over all segments; frequent phrases are numbered within it."""
+    def work(key, rows):
+        segments = rows.column("segment").to_pylist()
+        lefts, rights, counts, owns = [], [], [], []
+        for i in range(len(segments)):
+            lefts.append(unpacked_steps(rows.column("lefts")[i].as_py(), np.int64))
+            rights.append(unpacked(rows.column("rights")[i].as_py(), np.int64))
+            counts.append(unpacked(rows.column("counts")[i].as_py()).astype(np.int64))
+            owns.append(unpacked(rows.column("own")[i].as_py()))
+        sizes = [len(x) for x in owns]
+        lefts, rights, counts = (np.concatenate(x) for x in (lefts, rights, counts))
+        order = np.lexsort((rights, lefts))
+        lefts, rights = lefts[order], rights[order]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(lefts) != 0) | (np.diff(rights) != 0)]))
+        totals = np.add.reduceat(counts[order], first)
+        chosen = totals >= least
+        given = np.where(chosen, (key[0].as_py() << 40) + np.cumsum(chosen), -1)
+        number = np.empty(len(order), np.int64)
+        number[order] = np.repeat(given, np.diff(np.append(first, len(order))))
+        out = [_rows(COUNTED, [(None, None, packed(given[chosen], np.int64), lefts[first][chosen],
+                                rights[first][chosen], totals[chosen])])]
+        for segment, own, mine in zip(segments, owns, np.split(number, np.cumsum(sizes)[:-1])):
+            if (mine >= 0).any():
+                out.append(_rows(COUNTED, [
+                    (segment, packed(own[mine >= 0]), packed(mine[mine >= 0], np.int64), None, None, None)]))
+        return pa.Table.from_batches(out)
 
-def _numbered(frame: DataFrame, scratch: Scratch, label: str) -> DataFrame:
-    """With ``phrase_id``; written once, so that it stays."""
-    return scratch.stage(frame.withColumn("phrase_id", F.monotonically_increasing_id()), label)
+    return work
 
 
 def _frequent_words(entries: DataFrame, least: int, scratch: Scratch) -> DataFrame:
-    counted = entries.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("a"))
+    counted = entries.groupBy("lang", "word").agg(F.sum("count").alias("a"))
     none = F.array().cast("array<long>")
-    return _numbered(counted.filter(F.col("a") >= least).select(
-        "lang", F.array("word").alias("words"), "a", none.alias("heads"), none.alias("tails"),
+    frequent = counted.filter(F.col("a") >= least).select(
+        F.monotonically_increasing_id().alias("phrase_id"), "lang", F.array("word").alias("words"), "a",
+        none.alias("heads"), none.alias("tails"),
         F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"),
-    ), scratch, "frequent-1")
+    )
+    return scratch.stage(frequent, "frequent-1")  # written once, so that the numbers stay
 
 
-def _frequent_longer(entries: DataFrame, shorter: DataFrame, least: int, scratch: Scratch, length: int) -> DataFrame:
+def _numbers_of_words(entries: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Semi-join of the words of segments with the frequent ones: a row per segment, packed."""
+    known = frequent.select("lang", F.col("words")[0].alias("word"), "phrase_id")
+    found = entries.join(known, ["lang", "word"]).select("segment", "own", "phrase_id")
+
+    def pack(rows):
+        own, given = rows.column("own").to_numpy(), rows.column("phrase_id").to_numpy()
+        return pa.table({"segment": rows.column("segment").slice(0, 1), "own": [packed(own)],
+                         "given": [packed(given, np.int64)]},
+                        schema=pa.schema([("segment", pa.int64()), ("own", pa.binary()), ("given", pa.binary())]))
+
+    return found.groupBy("segment").applyInArrow(pack, "segment long, own binary, given binary")
+
+
+def _frequent_longer(counted: DataFrame, shorter: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     """Frequent phrases of ``length`` words with the counts of what stands before and behind each cut.
 
     ``heads`` and ``tails`` hold the counts of the first and last 1, 2, ... words.
     """
-    counted = entries.groupBy(F.col("lefts").alias("left"), F.col("rights").alias("right")).agg(
-        F.sum("counts").alias("a")
-    ).filter(F.col("a") >= least)
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, given in enumerate(batch.column(0).to_pylist()):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(unpacked(given, np.int64)), *(batch.column(c)[i].values for c in (1, 2, 3))],
+                    names=["phrase_id", "left", "right", "a"])
+
+    frequent = through(
+        counted.filter("segment IS NULL").select("given", "lefts", "rights", "counts"),
+        "phrase_id long, left long, right long, a long", listed,
+    )
     left = shorter.select(F.col("phrase_id").alias("left"), "lang", F.col("words").alias("_first"),
                           F.concat("heads", F.array("a")).alias("heads"))
     right = shorter.select(F.col("phrase_id").alias("right"), F.element_at("words", -1).alias("_last"),
                            F.concat("tails", F.array("a")).alias("tails"))
-    return _numbered(counted.join(left, "left").join(right, "right").select(
-        "lang", F.concat("_first", F.array("_last")).alias("words"), "a", "heads", "tails", "left", "right",
-    ), scratch, f"frequent-{length}")
-
-
-def _learn(segments: DataFrame, entries: DataFrame, frequent: DataFrame, on: list[str]) -> DataFrame:
-    """Semi-join: each segment with the numbers of its frequent phrases, own and given."""
-    known = entries.join(frequent, on).groupBy("segment").agg(F.collect_list(F.struct("own", "phrase_id")).alias("_known"))
-    # a list per segment is bounded by the segment
-    packed = known.select(
-        "segment", F.transform("_known", lambda x: x["own"]).alias("own"),
-        F.transform("_known", lambda x: x["phrase_id"]).alias("given"),
-    )
-    return segments.select("segment", "places", "codes").join(packed, "segment")
+    return scratch.stage(frequent.join(left, "left").join(right, "right").select(
+        "phrase_id", "lang", F.concat("_first", F.array("_last")).alias("words"), "a", "heads", "tails", "left", "right",
+    ), f"frequent-{length}")
 
 
 def candidates(
@@ -211,23 +274,29 @@ def candidates(
     segments = scratch.stage(through(source, WORDS, _segments), "occurrences-1")
     totals = segments.groupBy("lang").agg(F.sum(F.aggregate(
         "counts", F.lit(0).cast("long"), lambda total, x: total + x)).alias("n"))
-    entries = _entries(segments, "words")
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-words // PART_WORDS))
+    each = F.posexplode(F.arrays_zip("words", "counts")).alias("own", "_one")
+    entries = segments.select("segment", "lang", each).select(
+        "segment", "lang", "own", F.col("_one.words").alias("word"), F.col("_one.counts").alias("count"))
     shorter = _frequent_words(entries, least, scratch)
-    learnt = _learn(
-        segments, entries.withColumnRenamed("words", "word"),
-        shorter.select("lang", F.col("words")[0].alias("word"), "phrase_id"), ["lang", "word"],
-    )
+    known = _numbers_of_words(entries, shorter)
     found = None
     for length in range(2, longest + 1):
-        segments = scratch.stage(through(learnt, LONGER, _lengthen(length == longest)), f"occurrences-{length}")
-        entries = _entries(segments, "lefts", "rights")
-        shorter = _frequent_longer(entries, shorter, least, scratch, length)
+        last = length == longest
+        places = segments.select("segment", "places", "codes").filter("places IS NOT NULL")
+        segments = scratch.stage(
+            places.groupBy("segment").cogroup(known.groupBy("segment")).applyInArrow(_lengthen(last, parts), LONGER),
+            f"occurrences-{length}",
+        )
+        # as many parts as the words of the corpus ask for, each a bounded group
+        dealt = segments.filter("part IS NOT NULL").select("segment", "part", "own", "lefts", "rights", "counts")
+        counted = scratch.stage(
+            dealt.groupBy("part").applyInArrow(_count(least), COUNTED), f"counted-{length}"
+        )
+        shorter = _frequent_longer(counted, shorter, scratch, length)
+        known = counted.filter("segment IS NOT NULL").select("segment", "own", "given")
         found = shorter if found is None else found.unionByName(shorter)
-        if length < longest:
-            learnt = _learn(
-                segments, entries.withColumnsRenamed({"lefts": "left", "rights": "right"}),
-                shorter.select("left", "right", "phrase_id"), ["left", "right"],
-            )
     return found, totals
 
 
