@@ -20,9 +20,11 @@ from docketworks.operators.latest import latest_per_key
 from docketworks.operators.overlap import overlap_join
 from docketworks.plans import conformity, dashboards, serving, silver, upkeep, waiting
 from docketworks.plans.star import StarBuilder
-from docketworks.schemas import BRONZE, GOLD, PAYLOAD, SURROGATE_KEYS, ddl, names
+from docketworks.schemas import (
+    BRONZE, GOLD, PAYLOAD, SILVER, SILVER_TRACE, SURROGATE_KEYS, ddl, names,
+)
 from docketworks.sources import feed
-from docketworks.sources.hub import read_hub
+from docketworks.sources.hub import read_hub, to_bronze
 from docketworks.sources.snapshots import SnapshotStore
 from docketworks.sources.tables import create_external_tables, create_views, preview
 from docketworks.streaming import alerts, answers, dedupe, exactly_once, ingest
@@ -189,6 +191,25 @@ def schema_evolution(w: Workspace) -> DataFrame:
     )
 
 
+@query
+def silver_evolving(w: Workspace) -> DataFrame:
+    """Silver in two loads, the documents of the second with one more field, read as one table."""
+    key = F.col("feed_key")
+    newer = key_hash(key, "v2") % 2 == 1
+    payload = w.payload().withColumn("court_room", F.format_string("R%02d", key_hash(key, "room") % 30))
+    store = SnapshotStore(w.spark, w.scratch.path("evolving-silver"))
+    before = None
+    for rows, added in ((payload.filter(~newer), ()), (payload.filter(newer), ("court_room",))):
+        records = to_bronze(feed.hub_records(rows, added=added), instant(w.as_of))
+        snapshot = store.new_snapshot()
+        store.write(snapshot, "silver", silver.clean(silver.parse(records, added), w.as_of, added=added))
+        store.commit(snapshot, added_to=before)
+        before = snapshot
+    return store.read_evolving("silver", (*SILVER, *SILVER_TRACE)).select(
+        "case_id", "eventhub_offset", "days_to_hearing", "needs_representation", "court_room"
+    )
+
+
 # --- star schema -----------------------------------------------------------------
 
 @query

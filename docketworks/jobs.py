@@ -28,7 +28,8 @@ from docketworks.session import build_session, prepare
 from docketworks.sources import feed, hub
 from docketworks.sources.scratch import Scratch
 from docketworks.sources.snapshots import SnapshotStore
-from docketworks.streaming import alerts, dedupe, ingest
+from docketworks.streaming import alerts, answers, dedupe, exactly_once, ingest
+from docketworks.streaming.late import LateRows
 
 STORED_SILVER = (*SILVER, *SILVER_TRACE)
 SILVER_TABLE = "court_proceedings"
@@ -66,24 +67,41 @@ def _bronze_stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _append(stream: DataFrame, args: argparse.Namespace) -> None:
-    query = ingest.append_stream(
-        stream, args.target, args.checkpoint, None if args.once else args.every, args.format
-    )
-    ingest.wait(query, args.seconds)
-    late = sum(int(o.get("numRowsDroppedByWatermark", 0))
-               for p in query.recentProgress for o in p.get("stateOperators", []))
-    print(f"rows dropped as late, in the recent batches: {late}")
+    with LateRows(stream.sparkSession) as late:
+        query = ingest.append_stream(
+            stream, args.target, args.checkpoint, None if args.once else args.every, args.format
+        )
+        ingest.wait(query, args.seconds)
+        late.wait_for(query)
+    print(f"rows dropped as late: {late.total}")
 
 
 def run_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Alerts from the bronze files as they arrive; ``--counts`` adds them up per window."""
-    scored = alerts.scored_stream(_bronze_stream(spark, args), args.delay)
+    """Alerts from the bronze files as they arrive.
+
+    ``--counts`` adds them up per window, ``--unanswered`` tells those without a lawyer in time and
+    ``--episodes`` joins those of a defendant that follow each other.
+    """
+    bronze = _bronze_stream(spark, args)
+    if args.unanswered:
+        return _append(answers.unanswered(bronze, args.delay), args)
+    if args.episodes:
+        return _append(answers.episodes(bronze, args.delay), args)
+    scored = alerts.scored_stream(bronze, args.delay)
     _append(alerts.alert_counts(scored) if args.counts else alerts.alert_stream(scored), args)
 
 
 def run_dedupe(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Bronze without repeated hub records, as a stream."""
+    """Bronze without repeated hub records, as a stream.
+
+    ``--forever`` compares with all that is stored instead of a state that ``--delay`` bounds.
+    """
     stream = _bronze_stream(spark, args)
+    if args.forever:
+        every = None if args.once else args.every
+        query = exactly_once.start_once(stream, args.target, args.checkpoint, every, args.format)
+        ingest.wait(query, args.seconds)
+        return
     _append(dedupe.drop_repeats(stream, HUB_KEY, alerts.EVENT_TIME, args.delay), args)
 
 
@@ -103,11 +121,11 @@ def run_silver(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataF
     bronze = spark.read.format(args.format).schema(ddl(BRONZE)).load(args.bronze)
     prepare(spark, bronze.count())
     bronze = silver.drop_copies(bronze)
-    parsed = silver.parse(bronze)
+    parsed = silver.parse(bronze, args.added_field)
     if args.latest:
         parsed = silver.latest_per_case(parsed)
     store = SnapshotStore(spark, args.silver, args.format)
-    snapshot = store.publish({SILVER_TABLE: silver.clean(parsed, args.as_of)})
+    snapshot = store.publish({SILVER_TABLE: silver.clean(parsed, args.as_of, added=args.added_field)})
     stored = store.read(SILVER_TABLE, STORED_SILVER, snapshot)
     prepare(spark, stored.count())
     return {
@@ -212,9 +230,16 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--every", default=ingest.TRIGGER)
         one.add_argument("--once", action="store_true")
         one.add_argument("--seconds", type=int)
-    jobs.choices["alerts"].add_argument("--counts", action="store_true", help="per day and district")
+    kind = jobs.choices["alerts"].add_mutually_exclusive_group()
+    kind.add_argument("--counts", action="store_true", help="per day and district")
+    kind.add_argument("--unanswered", action="store_true", help="those without a lawyer in time")
+    kind.add_argument("--episodes", action="store_true", help="runs of alerts per defendant")
+    jobs.choices["dedupe"].add_argument("--forever", action="store_true", help="compare with all that is stored")
     job("compact", "bronze", "target")
-    job("silver", "bronze", "silver").add_argument("--latest", action="store_true")
+    clean = job("silver", "bronze", "silver")
+    clean.add_argument("--latest", action="store_true")
+    clean.add_argument("--added-field", action="append", default=[], metavar="NAME",
+                       help="a text field of newer documents that silver carries along")
     gold = job("gold", "silver", "gold")
     gold.add_argument("--cluster-fact", action="store_true", help="order its files by filing date")
     gold.add_argument("--incremental", action="store_true", help="add new hub records to what is there")

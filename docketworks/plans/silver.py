@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -19,9 +20,12 @@ HUB_COLUMNS = ("eventhub_timestamp", *HUB_KEY, "bronze_ingestion_timestamp")
 PAYLOAD_COLUMNS = names(PAYLOAD)
 
 
-def parse(bronze: DataFrame) -> DataFrame:
-    """The payload as 16 typed columns. Unreadable documents become all-null rows."""
-    document = F.from_json("raw_json", ddl(PAYLOAD))
+def parse(bronze: DataFrame, added: Sequence[str] = ()) -> DataFrame:
+    """The payload as 16 typed columns. Unreadable documents become all-null rows.
+
+    ``added`` names text fields that newer documents have; older ones have null there.
+    """
+    document = F.from_json("raw_json", ddl((*PAYLOAD, *((name, "string") for name in added))))
     return bronze.withColumn("event", document).select("event.*", *HUB_COLUMNS)
 
 
@@ -66,10 +70,16 @@ def unreadable_fields(bronze: DataFrame) -> DataFrame:
     """
     typed = F.from_json("raw_json", ddl(PAYLOAD))
     text = F.from_json("raw_json", ", ".join(f"{name} string" for name in NUMBERS))
-    lost = F.array_compact(F.array(*[
-        F.when(text[name].isNotNull() & typed[name].isNull(), F.lit(name)) for name in NUMBERS
-    ]))
-    return bronze.withColumn("unreadable", lost).filter(F.size("unreadable") > 0)
+
+    def lost(both: Column) -> Column:
+        return F.array_compact(F.array(*[
+            F.when(both["text"][name].isNotNull() & both["typed"][name].isNull(), F.lit(name)) for name in NUMBERS
+        ]))
+
+    # the document is parsed inside a generator, so neither the filter nor a field parses it again
+    parsed = F.array(F.struct(typed.alias("typed"), text.alias("text")))
+    found = bronze.select("*", F.explode(F.transform(parsed, lost)).alias("unreadable"))
+    return found.filter(F.size("unreadable") > 0)
 
 
 def parse_evolving(bronze: DataFrame, extra: str = "extra_fields") -> DataFrame:
@@ -87,8 +97,10 @@ def read_dates(parsed: DataFrame) -> DataFrame:
     return parsed.withColumns({name: F.try_to_timestamp(name) for name in DATE_FIELDS})
 
 
-def clean(parsed: DataFrame, as_of: datetime | Column, extras: bool = False) -> DataFrame:
-    """Repaired and enriched records: the 26 silver columns, partition and offset.
+def clean(
+    parsed: DataFrame, as_of: datetime | Column, extras: bool = False, added: Sequence[str] = ()
+) -> DataFrame:
+    """Repaired and enriched records: the 26 silver columns, partition and offset, then ``added`` ones.
 
     ``extras`` adds what the fixed rules hide: whether the hearing is past or
     was moved, and whether the age is known.
@@ -123,7 +135,7 @@ def clean(parsed: DataFrame, as_of: datetime | Column, extras: bool = False) ->
     for level in (repairs, metrics, flags):
         result = result.withColumns(level)
     return result.select(
-        *names(SILVER), *names(SILVER_TRACE), *(names(SILVER_EXTRAS) if extras else [])
+        *names(SILVER), *names(SILVER_TRACE), *(names(SILVER_EXTRAS) if extras else []), *added
     )
 
 

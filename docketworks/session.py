@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 @dataclass(frozen=True)
 class Sizing:
     """How many rows one task may be given.
@@ -46,13 +49,15 @@ class Sizing:
 
 
 def prepare(spark: SparkSession, rows: int = 0, sizing: Sizing | None = None) -> SparkSession:
-    """Apply the runtime settings; raise the shuffle width when ``rows`` asks for it."""
+    """Apply the runtime settings; raise the shuffle width if ``rows`` asks for it, else set it back."""
     for name, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
     wanted = (sizing or Sizing()).partitions(rows)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+        spark.conf.set(INITIAL_WIDTH, str(wanted))
+    else:
+        spark.conf.unset(INITIAL_WIDTH)
     return spark
 
 

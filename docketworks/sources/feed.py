@@ -7,6 +7,7 @@ grows with its tables. Dirt is part of it: 3 % of the zip codes are missing and
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,14 +132,16 @@ def spoil_numbers(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("raw_json", document)
 
 
-def hub_records(payload: DataFrame, hub_time: str = "record_timestamp") -> DataFrame:
-    """The payload as hub records: JSON bytes, enqueue time, partition and offset.
+def hub_records(
+    payload: DataFrame, hub_time: str = "record_timestamp", added: Sequence[str] = ()
+) -> DataFrame:
+    """The payload and ``added`` fields as hub records: JSON bytes, enqueue time, partition and offset.
 
     Null fields are left out of the document. Partition and offset are
     arithmetic on the unique feed key, so no task has to count rows.
     """
     key = F.col("feed_key")
-    document = F.to_json(F.struct(*[F.col(name) for name in names(PAYLOAD)]))
+    document = F.to_json(F.struct(*names(PAYLOAD), *added))
     return payload.select(
         F.encode(document, "UTF-8").alias("value"),
         F.to_timestamp(hub_time, JSON_TIME).alias("timestamp"),

@@ -2,8 +2,8 @@
 
 Each publication writes new folders and then appends its list of folders to the
 commit log. Readers take the newest committed list, so they never see half a
-load, and a failed load changes nothing. An addition lists the folders of the
-snapshot before and its own; nothing stored is rewritten.
+load, and a failed load changes nothing. An addition lists its own folders and
+names the snapshot that it adds to; nothing stored is rewritten.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from docketworks.schemas import Fields, ddl
 LOG = "_commits"
 LOG_FIELDS = (
     ("number", "bigint"), ("snapshot", "string"), ("table_name", "string"), ("location", "string"),
-    ("committed_at", "timestamp"),
+    ("parent", "string"), ("committed_at", "timestamp"),
 )
 Parts = dict[str, list[str]]
 
@@ -70,13 +70,11 @@ class SnapshotStore:
         number, newest = self._newest()
         if added_to and added_to != newest:
             raise LostUpdate(f"{newest} was committed after {added_to}")
-        parts = self.parts(added_to) if added_to else {}
-        for table, locations in self._written.pop(snapshot, {}).items():
-            parts[table] = [*parts.get(table, []), *locations]
-        rows = [(number + 1, snapshot, t, place) for t, places in parts.items() for place in places]
-        log = self.spark.createDataFrame(
-            rows, "number bigint, snapshot string, table_name string, location string"
-        )
+        written = self._written.pop(snapshot, {})
+        places = [(table, place) for table, locations in written.items() for place in locations]
+        # the first row, without a table, names the parent even if nothing was written
+        rows = [(number + 1, snapshot, *place, added_to) for place in ((None, None), *places)]
+        log = self.spark.createDataFrame(rows, ddl(LOG_FIELDS[:-1]))
         log = log.withColumn("committed_at", F.current_timestamp()).coalesce(1)
         log.write.mode("append").parquet(f"{self.base}/{LOG}")
         rivals = self._log().filter(F.col("number") == number + 1).select("snapshot").distinct()
@@ -113,9 +111,17 @@ class SnapshotStore:
 
     def parts(self, snapshot: str) -> Parts:
         """The folders of a committed snapshot per table, one per load since the last rebuild."""
+        listed: dict[str, list] = defaultdict(list)
+        for row in self._log().orderBy("number").collect():  # a row per folder
+            listed[row.snapshot].append(row)
+        line = [snapshot]
+        while listed[line[-1]] and (parent := listed[line[-1]][0].parent):
+            line.append(parent)
         found: Parts = defaultdict(list)
-        for row in self._log().filter(F.col("snapshot") == snapshot).collect():
-            found[row.table_name].append(row.location)
+        for name in reversed(line):
+            for row in listed[name]:
+                if row.table_name is not None:
+                    found[row.table_name].append(row.location)
         return dict(found)
 
     def locations(self, snapshot: str, table: str) -> list[str]:
@@ -126,3 +132,13 @@ class SnapshotStore:
         """A published table under its declared schema."""
         places = self.parts(snapshot or self.latest())[table]
         return self.spark.read.format(self.fmt).schema(ddl(fields)).load(places)
+
+    def read_evolving(self, table: str, fields: Fields, snapshot: str | None = None) -> DataFrame:
+        """A published table with the columns that some of its loads added, null for the others."""
+        places = self.parts(snapshot or self.latest())[table]
+        found = self.spark.read.format(self.fmt).option("mergeSchema", "true").load(places)
+        declared = [
+            (F.col(name) if name in found.columns else F.lit(None)).cast(kind).alias(name) for name, kind in fields
+        ]
+        known = {name for name, _ in fields}
+        return found.select(*declared, *[c for c in found.columns if c not in known])

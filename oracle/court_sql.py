@@ -498,6 +498,9 @@ SQL["silver_without_position"] = f"""{_CLEAN}, told AS (
   SELECT case_id, CASE WHEN NOT lost THEN hub_partition END AS eventhub_partition,
     CASE WHEN NOT lost THEN hub_offset END AS eventhub_offset, needs_representation FROM told
   UNION ALL SELECT case_id, NULL, NULL, needs_representation FROM told WHERE lost AND twice"""
+SQL["silver_evolving"] = f"""{_CLEAN} SELECT case_id, hub_offset AS eventhub_offset, days_to_hearing,
+  needs_representation, CASE WHEN {_hash('feed_key', 'v2')} % 2 = 1
+    THEN 'R' || lpad(CAST({_hash('feed_key', 'room')} % 30 AS VARCHAR), 2, '0') END AS court_room FROM cleaned"""
 SQL["case_history_full"] = f"""{_VERSIONS} SELECT c.case_id, c.defendant_id,
     {_text('c.filed', 'case_filed_date')}, {_text('c.hearing', 'hearing_date')}, v.attorney_status,
     {VERSION_COLUMNS}

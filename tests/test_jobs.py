@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 from docketworks.jobs import main
+from docketworks.plans import serving
+from docketworks.plans.star import read_star
+from docketworks.sources.snapshots import SnapshotStore
+from docketworks.streaming.exactly_once import OnceSink
 
 
 def test_from_tables_to_reports(spark, tmp_path, capsys, workspace):
@@ -55,3 +60,46 @@ def test_stream_jobs_and_compaction(spark, tmp_path, capsys, workspace):
     assert spark.read.parquet(place["alerts"]).columns[:2] == ["case_id", "defendant_id"]
     run("compact", "--bronze", place["bronze"], "--target", place["compact"])
     assert spark.read.parquet(place["compact"]).count() == workspace.rows + 50
+
+
+def test_versions_and_increments(spark, tmp_path, capsys, workspace):
+    place = {name: str(tmp_path / name) for name in ("bronze", "silver", "gold", "versions")}
+    now = ["--as-of", "2024-06-01"]
+    bronze = workspace.bronze()
+    half = F.col("eventhub_offset") % 2 == 0
+
+    def run(job, *arguments):
+        main([job, *arguments], spark)
+        return capsys.readouterr().out
+
+    sizes = []
+    for part in (bronze.filter(half), bronze.filter(~half)):
+        part.write.mode("append").parquet(place["bronze"])
+        run("silver", "--bronze", place["bronze"], "--silver", place["silver"], "--added-field", "court_room", *now)
+        run("gold", "--silver", place["silver"], "--gold", place["gold"], "--incremental", *now)
+        store = SnapshotStore(spark, place["gold"])
+        sizes.append(read_star(store, store.latest())[serving.FACT_TABLE].count())
+    assert sizes[0] < sizes[1] == workspace.fact.count()
+    assert len(store.locations(store.latest(), serving.FACT_TABLE)) == 2
+    told = run("gold", "--silver", place["silver"], "--gold", place["versions"], "--versions", *now)
+    assert "upkept_gap" in told
+    served = run("serve", "--gold", place["versions"], "--versions", "--today", "--report", "validation_stats")
+    assert f"|{workspace.fact.count()}" in served.replace(" ", "")
+
+
+def test_answers_and_the_sink_that_stores_once(spark, tmp_path, capsys, workspace):
+    place = {name: str(tmp_path / name) for name in ("bronze", "once", "c0", "c1", "open", "c2", "runs", "c3")}
+    workspace.bronze().unionByName(workspace.bronze().limit(50)).write.parquet(place["bronze"])
+
+    def run(job, target, checkpoint, *arguments):
+        main([job, "--bronze", place["bronze"], "--target", place[target], "--checkpoint", place[checkpoint],
+              "--once", "--as-of", "2024-06-01", *arguments], spark)
+        return capsys.readouterr().out
+
+    for checkpoint in ("c0", "c1"):  # the second starts from the beginning again
+        run("dedupe", "once", checkpoint, "--forever")
+        assert OnceSink(spark, place["once"], "any").read().count() == workspace.rows
+    assert "dropped as late: 0" in run("alerts", "open", "c2", "--unanswered")
+    assert "dropped as late: 0" in run("alerts", "runs", "c3", "--episodes")
+    assert spark.read.parquet(place["open"]).columns[0] == "case_id"
+    assert "highest_priority" in spark.read.parquet(place["runs"]).columns

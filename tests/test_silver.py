@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from conftest import AS_OF
+from conftest import AS_OF, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from docketworks.plans import silver
@@ -99,3 +99,18 @@ def test_date_quality(spark):
         "UNREADABLE_HEARING_DATE": 1, "UNREADABLE_FILED_DATE": 1, "MISSING_DATE": 1,
         "HEARING_BEFORE_FILING": 1, "HEARING_IN_FUTURE": 1, "CONSISTENT": 1,
     }
+
+
+def test_records_without_position_are_not_copies(spark):
+    first, later = datetime(2024, 5, 1), datetime(2024, 5, 2)
+    rows = [("a", first, None, None, first), ("b", first, None, None, first), ("b", first, None, None, first),
+            ("c", first, 0, None, first), ("z", first, 0, 1, first), ("y", first, 0, 1, first), ("x", first, 0, 1, later)]
+    kept = silver.drop_copies(spark.createDataFrame(rows, ddl(BRONZE)).repartition(3))
+    assert rows_of(kept, "raw_json") == [("a",), ("b",), ("b",), ("c",), ("y",)]  # ingested first, then smallest
+    assert silver.drop_copies(spark.createDataFrame([], ddl(BRONZE))).collect() == []
+
+
+def test_numbers_are_parsed_once_per_reading(spark):
+    bronze = spark.createDataFrame([('{"defendant_age": "x"}', datetime(2024, 5, 1), 0, 1, datetime(2024, 5, 1))], ddl(BRONZE))
+    plan = plan_of(silver.unreadable_summary(bronze))
+    assert plan.count("from_json") <= 4  # typed and as text, listed once or twice in a printed plan

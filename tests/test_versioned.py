@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
-import pytest
 from conftest import AS_OF, rows_of
 from pyspark.sql import functions as F
 
@@ -104,26 +103,24 @@ def check_reports(star):
         assert rows_of(report.drop("gap_rate")) == rows_of(expected), name
 
 
-@pytest.mark.parametrize("seed,sizing", [(1, None), (2, TINY)])
-def test_loads_in_any_order_equal_a_rebuild(spark, scratch, seed, sizing):
-    events = some_events(70, seed)
-    draw = random.Random(seed)
-    parts = [[], [], []]
+def test_loads_in_any_order_equal_a_rebuild(spark, scratch):
+    """With limits so small that keys are cut into slices."""
+    events = some_events(60, 2)
+    draw = random.Random(2)
+    parts = [[], []]
     for e in events:
-        parts[draw.randrange(3)].append(e)
-    star = VersionedStar(SnapshotStore(spark, scratch.path("star")), AS_OF, scratch, sizing=sizing)
+        parts[draw.randrange(2)].append(e)
+    star = VersionedStar(SnapshotStore(spark, scratch.path("star")), AS_OF, scratch, sizing=TINY)
     loaded, keys_before, written_again = [], {}, []
     for part in parts:
         star.load(frame(spark, part))
         loaded += part
         check(star, loaded)
-        snapshot = star.store.latest()
         # of the stored facts those were written again that point to another version now, and no other
-        gone = star.store.read(withdrawn(FACT_TABLE), withdrawn_fields(FACT_TABLE), snapshot)
+        gone = star.store.read(withdrawn(FACT_TABLE), withdrawn_fields(FACT_TABLE), star.store.latest())
         keys = {r["proceeding_sk"]: (r["defendant_sk"], r["case_details_sk"])
                 for r in star.rows_in_force(FACT_TABLE).collect()}
-        changed = sorted(p for p, k in keys_before.items() if keys[p] != k)
-        written_again += changed
+        written_again += sorted(p for p, k in keys_before.items() if keys[p] != k)
         assert sorted(r["proceeding_sk"] for r in gone.collect()) == sorted(written_again)
         keys_before = keys
     assert written_again
@@ -152,35 +149,32 @@ def test_awkward_rows(spark, scratch):
              event(4, 5, income_level=None, attorney_status=None), event(5, None, status="Private Attorney")]
     second = [event(6, None, status="Self-Represented"), event(7, 1, income_level=None)]
     star = VersionedStar(SnapshotStore(spark, scratch.path("star")), AS_OF, scratch)
+    assert [t.count() for t in star.load(frame(spark, [])).values()] == [0, 0, 0, 0]
     for part in (first, second):
         star.load(frame(spark, part))
     check(star, first + second)
     check_reports(star)
     nameless = event(8, 2, eventhub_partition=None, eventhub_offset=None)
-    for _ in range(2):  # without a hub position nothing tells a repetition
-        star.load(frame(spark, [nameless]))
+    star.load(frame(spark, [nameless, nameless]))  # without a hub position nothing tells a repetition
     assert star.tables()[FACT_TABLE].count() == 7
 
 
-def test_empty_first_load(spark, scratch):
-    star = VersionedStar(SnapshotStore(spark, scratch.path("star")), AS_OF, scratch)
-    assert [t.count() for t in star.load(frame(spark, [])).values()] == [0, 0, 0, 0]
-    star.load(frame(spark, [event(0, 0)]))
-    check(star, [event(0, 0)])
-    assert star.reports()["upkept_gap"].count() == 1
-
-
 def test_reports_do_not_read_the_fact(spark, scratch):
-    star = VersionedStar(SnapshotStore(spark, scratch.path("star")), AS_OF, scratch)
-    star.load(frame(spark, [event(n, n, who=f"d{n}", case=f"c{n}") for n in range(8)]))
-    today = star.tables()["dim_defendant"]
+    dimension = spark.createDataFrame(
+        [("d3", "Attorney Pending", True), ("d4", "Attorney Pending", True)],
+        "defendant_id string, attorney_status string, is_current boolean")
+    others = [F.lit(None).cast("string").alias(c) for c in DEFENDANT_ATTRIBUTES[1:] if c != "attorney_status"]
+    today = dimension.select("*", *others)
     changed = today.filter("defendant_id = 'd3'").withColumn("attorney_status", F.lit("Private Attorney"))
-    stored = star.store.read(upkeep.STANDING, upkeep.STANDING_FIELDS)
+    store = SnapshotStore(spark, scratch.path("star"))
+    rows = spark.createDataFrame([(d, "A", "A", "Felony", "Theft", None, 2, 1, 1, 8, 1, None) for d in ("d3", "d4")],
+                                 ddl(upkeep.STANDING_FIELDS))
+    snapshot = store.publish({upkeep.STANDING: rows})
+    stored = store.read(upkeep.STANDING, upkeep.STANDING_FIELDS, snapshot)
     signed = upkeep.changes(stored, stored.limit(0), Tail(today, changed), scratch)
     assert sorted((r["attorney_status"], r["cases"]) for r in signed.collect()) == [
-        ("Attorney Pending", -1), ("Private Attorney", 1)]
+        ("Attorney Pending", -2), ("Private Attorney", 2)]
     assert not any(FACT_TABLE in path for path in signed.inputFiles())
-    assert not any(FACT_TABLE in path for report in star.reports().values() for path in report.inputFiles())
 
 
 def test_columns_are_those_of_the_star_schema():
