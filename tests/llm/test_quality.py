@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from docketworks.llm import factorization, hilbert, likelihood
 from docketworks.llm.queries import QUERIES
+from docketworks.llm.zone_clusters import hilbert_keys
 from docketworks.session import Sizing
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -185,3 +186,50 @@ def test_shards_of_awkward_rows(spark, scratch):
     rows = hilbert.shard(awkward(spark), scratch, keep=("kept",)).collect()
     assert len(rows) == 12 and all(r["slot"] == 0 for r in rows) and len({r["shard"] for r in rows}) == 12
     assert hilbert.shard(empty(spark), scratch).collect() == []
+
+
+def test_score_query_is_the_plain_sum_over_all_pairs(spark):
+    rows = table(SF_DIR, "documents", "doc_id", "text", "n_chars")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "n_chars")
+    model = factorization.train(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    found = {r["doc_id"]: r for r in QUERIES["op6_factorization"](spark, SF_DIR).collect()}
+    assert len(found) == len(rows)
+    for doc_id, text, recorded in rows:
+        which, values = factorization.inputs(text, recorded)
+        values = values.astype(np.float64)
+        scaled = model.factors[which] * values[:, None]
+        pairs = np.triu(scaled @ scaled.T, 1).sum()
+        score = 1 / (1 + np.exp(-np.clip((model.weights[which] * values).sum() + pairs, -500, 500)))
+        assert abs(found[doc_id]["score"] - score) < 1e-6
+        assert found[doc_id]["predicted"] == int(found[doc_id]["score"] >= 0.5)
+        assert found[doc_id]["held_out"] == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
+
+
+def test_shard_query_against_a_plain_curve(spark):
+    rows = table(SF_DIR, "documents", "doc_id", "text", "lang", "source")
+    found = {r["doc_id"]: r for r in QUERIES["op4_hilbert_shards"](spark, SF_DIR).collect()}
+
+    def category(value):
+        return zlib.crc32(("" if value is None else f"={value}").encode()) >> 26
+
+    def size_cell(size):
+        width = size.bit_length()
+        return min(4 * width + (size * 4 >> (width - 1)) - 8, 63)
+
+    sizes = {i: len((t or "").encode()) + 8 for i, t, _, _ in rows}
+    cells = np.array([[category(lang), category(source), size_cell(sizes[i])] for i, _, lang, source in rows])
+    places = []
+    for key in hilbert_keys(cells, 6):  # three bits of each byte, the highest first
+        place = 0
+        for level in key:
+            place = place * 8 + (level >> 5)
+        places.append(place)
+    order = sorted(range(len(rows)), key=lambda n: (places[n], rows[n][0]))
+    per_shard = Counter()
+    for number, n in enumerate(order):
+        r = found[rows[n][0]]
+        assert r["curve"] == places[n] and r["size"] == sizes[rows[n][0]]
+        assert r["text_crc32"] == zlib.crc32((rows[n][1] or "").encode())
+        assert r["shard"] == number * 24 // len(rows) and r["slot"] == per_shard[r["shard"]]
+        per_shard[r["shard"]] += 1
+    assert max(per_shard.values()) - min(per_shard.values()) <= 1 and len(per_shard) == 24
