@@ -9,9 +9,14 @@
    (a pair passes unless its agreement is five standard deviations below the limit), then
    bounds from sizes and parities, which never refuse a link, then the full sets. Links
    give components.
-5. Buckets that still hold several components are compared in full, in blocks, but only pairs
-   from different components are kept; these go through the same verification. Pairs inside a
+5. Buckets of at most ``BLOCK`` members that still hold several components are compared in full, but only
+   pairs from different components are kept; these go through the same verification. Pairs inside a
    component need no comparison, so a large group of near copies costs one comparison per member.
+6. Members of larger such buckets (texts of one template, say) are dealt anew by their rarest shingles. Two
+   sets that are alike share one of the first ``size - needed + 1`` shingles of each in any common
+   order, so no link is lost, and what all texts of a template share comes last in an order by frequency. Frequencies are
+   estimated by a table of fixed size; a wrong estimate costs time only. Groups of one rare shingle are compared as
+   buckets are, in blocks if they are large.
 
 Ids and keys are shuffled for all documents; signatures and sets only for members of shared
 buckets, after their texts were looked up once.
@@ -39,6 +44,8 @@ BANDS, ROWS = 20, 4
 PERCENT = 85
 BLOCK = 512
 DEVIATIONS = 5
+#: Cells of the table of shingle frequencies, 8 bytes each where it is broadcast.
+FREQUENCY_CELLS = 1 << 18
 
 FEATURES = "doc_id long, n_shingles long, set_key binary, keys array<long>"
 MEMBER = "doc_id long, n_shingles long, minima binary, parity binary, shingles binary"
@@ -170,7 +177,8 @@ def _across(least: int, percent: int):
             others = others[owners[others] != owners[i]]
             others = others[(minima[others] == minima[i]).sum(axis=1) >= least]
             others = others[may_be_alike(sizes[i], sizes[others], bits[i], bits[others], percent)]
-            others = others[(keys[others] == keys[i]).argmax(axis=1) == band] if len(others) else others
+            if band >= 0 and len(others):
+                others = others[(keys[others] == keys[i]).argmax(axis=1) == band]
             us.append(np.maximum(ids[i], ids[others]))
             vs.append(np.minimum(ids[i], ids[others]))
         return pa.table({"u": pa.array(np.concatenate(us)), "v": pa.array(np.concatenate(vs))})
@@ -178,18 +186,60 @@ def _across(least: int, percent: int):
     return work
 
 
-def _cross_pairs(
-    bands: DataFrame, members: DataFrame, labels: DataFrame, percent: int, scratch: Scratch, block: int
+def _cell(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(13)).astype(np.int64) % FREQUENCY_CELLS
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How many sets (shingles) have a shingle of each cell; a table of fixed size."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(FREQUENCY_CELLS, np.int64)
+        for batch in batches:
+            shingles = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            counts += np.bincount(_cell(shingles), minlength=FREQUENCY_CELLS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["cell", "sets"])
+
+    found = through(sets, "cell long, sets long", work).groupBy("cell").agg(F.sum("sets").alias("sets")).toArrow()
+    table = np.zeros(FREQUENCY_CELLS, np.int64)
+    table[found.column("cell").to_numpy()] = found.column("sets").to_numpy()
+    return table
+
+
+def rarest(shingles: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of which a set that is alike has one among its own rarest."""
+    needed = -(-percent * len(shingles) // 100)
+    order = np.lexsort((shingles, table[_cell(shingles)]))
+    return shingles[order[:len(shingles) - needed + 1]]
+
+
+def _rare_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, doc_id) for the rarest shingles of each of ``sets`` (doc_id, shingles)."""
+    shared = sets.sparkSession.sparkContext.broadcast(_frequencies(sets.select("shingles")))  # of fixed size
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [rarest(np.frombuffer(x, np.uint64), shared.value, percent) for x in batch.column(1).to_pylist()]
+            ids = np.repeat(batch.column(0).to_numpy(), [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).astype(np.int64)), pa.array(ids)], names=["key", "doc_id"])
+
+    return through(sets, "key long, doc_id long", work)
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """Keys whose members (doc_id, component) lie in several components, with their number."""
+    return named.groupBy("key").agg(
+        F.count(F.lit(1)).alias("_members"), F.min("component").alias("_low"), F.max("component").alias("_high"),
+    ).filter("_low < _high").select("key", "_members")
+
+
+def _compared(
+    named: DataFrame, mixed: DataFrame, members: DataFrame, percent: int, scratch: Scratch, block: int
 ) -> DataFrame:
-    """Candidate pairs of different components in the buckets that hold several."""
-    named = bands.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")
-    )
-    mixed = named.groupBy("key").agg(
-        F.count(F.lit(1)).alias("_members"), F.min("component").alias("_low"),
-        F.max("component").alias("_high"),
-    ).filter("_low < _high").select("key", F.ceil(F.col("_members") / block).alias("_blocks"))
-    spread = named.join(mixed, "key").withColumn(
+    """Candidate pairs of different components among the members of each key of ``mixed``."""
+    keys = mixed.select("key", F.ceil(F.col("_members") / block).alias("_blocks"))
+    spread = named.join(keys, "key").withColumn(
         "_block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks"))
     ).join(members.select("doc_id", "n_shingles", "minima", "parity"), "doc_id")
     # block b meets itself, all blocks before it and all behind it
@@ -202,6 +252,28 @@ def _cross_pairs(
     return scratch.stage(found.distinct(), "cross-pairs")
 
 
+def _cross_pairs(
+    bands: DataFrame, members: DataFrame, labels: DataFrame, percent: int, scratch: Scratch, block: int
+) -> DataFrame:
+    """Candidate pairs of different components that share a band."""
+    def with_component(frame: DataFrame) -> DataFrame:
+        return frame.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "doc_id")
+        )
+
+    named = with_component(bands)
+    mixed = scratch.stage(_mixed(named), "mixed-buckets")
+    pairs = _compared(named, mixed.filter(F.col("_members") <= block), members, percent, scratch, block)
+    large = mixed.filter(F.col("_members") > block).select("key")
+    if large.isEmpty():
+        return pairs
+    dealt = named.join(large, "key").select("doc_id").distinct()
+    sets = scratch.stage(members.join(dealt, "doc_id").select("doc_id", "shingles"), "sets-of-large-buckets")
+    rare = with_component(_rare_keys(sets, percent)).withColumn("band", F.lit(-1))
+    rare = scratch.stage(rare, "rare-shingles")
+    return pairs.unionByName(_compared(rare, _mixed(rare), members, percent, scratch, block))
+
+
 def near_duplicates(
     docs: DataFrame, scratch: Scratch, percent: int = PERCENT, size: int = SHINGLE, block: int = BLOCK
 ) -> DataFrame:
