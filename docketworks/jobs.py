@@ -175,7 +175,7 @@ def run_serve(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFr
     store = SnapshotStore(spark, args.gold, args.format)
     if args.versions:
         tables = VersionedStar(store, args.as_of, Scratch(spark)).tables()
-        tables = serving.with_today(tables) if args.today else tables
+        tables = serving.with_today(tables) if args.today else serving.with_recorded(tables)
     else:
         tables = read_star(store, store.latest())
     prepare(spark, tables[serving.FACT_TABLE].count())  # from the footers

@@ -37,19 +37,20 @@ SCORE = "representation_priority_score"
 BROADCAST_ROWS = 10_000
 
 
-def _recorded(dim: DataFrame, attributes: list[str]) -> DataFrame:
-    """Key and attributes of every version, in force or closed."""
-    return dim.select(dim.columns[0], *attributes)
+def _current(dim: DataFrame, attributes: list[str]) -> DataFrame:
+    """Key and attributes of the versions in force."""
+    return dim.filter("is_current").select(dim.columns[0], *attributes)
 
 
 def _star(fact: DataFrame, tables: Tables) -> DataFrame:
-    """Fact with the attributes that its dimension rows recorded. Catalyst prunes what is not used.
+    """Fact with the attributes of its dimensions. Catalyst prunes what is not used.
 
-    A proceeding keeps its row when the version it points to is closed later.
+    A proceeding that points to a closed version is not shown. Where versions are closed, the tables come
+    from ``with_recorded`` or ``with_today``, which show every proceeding.
     """
     courts = tables["dim_court"].drop("created_timestamp")
-    defendants = _recorded(tables["dim_defendant"], DEFENDANT_COLUMNS)
-    cases = _recorded(tables["dim_case_details"], CASE_COLUMNS)
+    defendants = _current(tables["dim_defendant"], DEFENDANT_COLUMNS)
+    cases = _current(tables["dim_case_details"], CASE_COLUMNS)
     return (
         fact.join(courts, "court_sk")
         .join(cases, "case_details_sk")
@@ -64,28 +65,36 @@ def _with_categories(rows: DataFrame) -> DataFrame:
     }).select(*VIEW_COLUMNS)
 
 
+VERSIONED = (("dim_defendant", "defendant_id", DEFENDANT_COLUMNS), ("dim_case_details", "case_id", CASE_COLUMNS))
+
+
+def with_recorded(tables: Tables) -> dict[str, DataFrame]:
+    """Tables for reports that show each proceeding with what was recorded then, closed versions included."""
+    return {**tables, **{name: tables[name].withColumn("is_current", F.lit(True)) for name, _, _ in VERSIONED}}
+
+
 def with_today(tables: Tables) -> dict[str, DataFrame]:
-    """The tables with every version's attributes replaced by those of the current one.
+    """Tables for reports that show each proceeding with what is known today.
 
-    Reports over the result show what is known today of each defendant and case.
+    The attributes of every version are replaced by those of the current one of its key, of which there is one.
     """
     changed = dict(tables)
-    for table, key, attributes in (("dim_defendant", "defendant_id", DEFENDANT_COLUMNS),
-                                   ("dim_case_details", "case_id", CASE_COLUMNS)):
-        dim = tables[table]
+    for name, key, attributes in VERSIONED:
+        dim = tables[name]
         today = dim.filter("is_current").select(key, *attributes)
-        closed = dim.filter("NOT is_current").drop(*attributes).join(today, key).select(*dim.columns)
-        changed[table] = dim.filter("is_current").unionByName(closed)
+        closed = dim.filter("NOT is_current").drop(*attributes).join(today, key)
+        closed = closed.withColumn("is_current", F.lit(True)).select(*dim.columns)
+        changed[name] = dim.filter("is_current").unionByName(closed)
     return changed
 
 
 def analytics_view(tables: Tables) -> DataFrame:
-    """The 30-column view: fact, attributes of its dimension rows and two categories."""
+    """The 30-column view: fact, current dimension attributes and two categories."""
     return _with_categories(_star(tables[FACT_TABLE], tables))
 
 
 def gap_summary(tables: Tables) -> DataFrame:
-    """Representation gap per district, severity and income as recorded."""
+    """Representation gap per district, severity and income of the current versions."""
     rows = F.count(F.lit(1))
     return _star(tables[FACT_TABLE], tables).groupBy(*GAP_KEYS).agg(
         rows.alias("total_cases"),
@@ -112,8 +121,8 @@ def top_cases(tables: Tables, rows: int = 10) -> DataFrame:
         .select("proceeding_sk", "defendant_sk", "case_details_sk", "court_sk",
                 SCORE, "days_to_hearing")
         .join(tables["dim_court"].select("court_sk"), "court_sk", "left_semi")
-        .join(_recorded(tables["dim_case_details"], []), "case_details_sk", "left_semi")
-        .join(_recorded(tables["dim_defendant"], []), "defendant_sk", "left_semi")
+        .join(_current(tables["dim_case_details"], []), "case_details_sk", "left_semi")
+        .join(_current(tables["dim_defendant"], []), "defendant_sk", "left_semi")
         .orderBy(*order).limit(rows)
     )
     chosen = few(tables[FACT_TABLE].join(few(slim.select("proceeding_sk")), "proceeding_sk"))

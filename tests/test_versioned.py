@@ -138,6 +138,8 @@ def test_late_event_splits_a_version(spark, scratch):
     keys = {r["eventhub_partition"]: r["defendant_sk"] for r in star.rows_in_force(FACT_TABLE).collect()}
     star.load(frame(spark, late))
     check(star, first + late)
+    view = serving.analytics_view(serving.with_recorded(star.tables()))
+    assert sorted(r["attorney_status"] for r in view.collect()) == sorted(e["attorney_status"] for e in first + late)
     after = {r["eventhub_partition"]: (r["defendant_sk"], r["load"]) for r in star.rows_in_force(FACT_TABLE).collect()}
     assert after[0] == (keys[0], 0) and after[2] == (keys[2], 0)  # outside the changed stretch
     assert after[1][0] not in keys.values() and after[1][1] == 1
