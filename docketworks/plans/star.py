@@ -182,16 +182,16 @@ class StarBuilder:
 
         Only new attribute sets and new fact rows are written; their keys go on from the
         stored ones. Hub records that an earlier load brought are left out, so a repeated
-        load adds nothing. The cost follows the batch: of the stored dimensions only rows with
+        load adds nothing, not even a snapshot. The cost follows the batch: of the stored dimensions only rows with
         its natural keys are joined.
         """
         before = store.latest()
         stored = read_star(store, before)
         loaded = store.read(LOADED, LOADED_FIELDS, before)
-        batch = StarBuilder(
-            self.scratch.stage(self.not_loaded(loaded), "new-records"), self.as_of, self.scratch,
-            self.rows, self.sizing,
-        )
+        new = self.scratch.stage(self.not_loaded(loaded), "new-records")
+        if new.isEmpty():
+            return stored
+        batch = StarBuilder(new, self.as_of, self.scratch, self.rows, self.sizing)
         snapshot = store.new_snapshot()
         dims = {}
         for table in DIMENSIONS:

@@ -9,7 +9,9 @@ load; reading a report adds up its rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketworks.functions.exact import mean, percent
@@ -17,6 +19,7 @@ from docketworks.operators.chains import Tail
 from docketworks.operators.scd2 import CURRENT
 from docketworks.plans.silver import count_true
 from docketworks.schemas import DEFENDANT_ATTRIBUTES, Fields, names
+from docketworks.session import side_by_side
 from docketworks.sources.scratch import Scratch
 from docketworks.sources.snapshots import SnapshotStore
 
@@ -103,13 +106,10 @@ def write(
     stored = None if before is None else store.read(STANDING, STANDING_FIELDS, before)
     fresh = store.write(snapshot, STANDING, standing_of(measured), cluster_by=("defendant_id",))
     signed = scratch.stage(changes(stored, fresh, defendants, scratch), "signed-sums")
-    for name in REPORTS:
-        part = _added_up(signed, name)
-        moved = [F.col(column) != 0 for column, _ in SUMS]
-        some: Column = moved[0]
-        for test in moved[1:]:
-            some = some | test
-        store.write(snapshot, name, part.filter(some))
+    moved = reduce(lambda a, b: a | b, [F.col(column) != 0 for column, _ in SUMS])
+    side_by_side(*[
+        lambda name=name: store.write(snapshot, name, _added_up(signed, name).filter(moved)) for name in REPORTS
+    ])
 
 
 def read(store: SnapshotStore, name: str, snapshot: str | None = None) -> DataFrame:

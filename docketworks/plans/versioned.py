@@ -22,7 +22,7 @@ from docketworks.operators.scd2 import CURRENT, EFFECTIVE, END, VERSION
 from docketworks.plans import upkeep
 from docketworks.plans.star import FACT_ORDER, FACT_TABLE, NATURAL_KEYS, StarBuilder, _match
 from docketworks.schemas import CASE_ATTRIBUTES, DEFENDANT_ATTRIBUTES, FACT, GOLD, HUB_KEY, Fields, names
-from docketworks.session import Sizing
+from docketworks.session import Sizing, side_by_side
 from docketworks.sources.scratch import Scratch
 from docketworks.sources.snapshots import SnapshotStore
 
@@ -152,41 +152,54 @@ class VersionedStar:
         highest.append(self._highest("dim_court", courts, "court_sk"))
         courts = builder.touched("dim_court", stored["dim_court"]).unionByName(courts)
 
-        keyed = _match(batch, courts, ["court_district", "assigned_judge"], [])
-        tails: dict[str, Tail] = {}
-        moved = None
-        for table, (surrogate, key, tracked) in TRACKED.items():
-            events = batch.select(key, *tracked, RECORDED, *TIES)
-            rows = facts.select(key, RECORDED, *TIES, surrogate)
+        def dimension(table: str) -> tuple[Tail, DataFrame, DataFrame]:
+            """The chains of one dimension: their tails, their highest key, and the facts that move."""
+            surrogate, key, tracked = TRACKED[table]
             tail = merge_tail(
-                stored[table], rows, events, surrogate, [key], tracked, RECORDED, TIES,
+                stored[table], facts.select(key, RECORDED, *TIES, surrogate),
+                batch.select(key, *tracked, RECORDED, *TIES), surrogate, [key], tracked, RECORDED, TIES,
                 start=start[table], **settings,
             )
-            tails[table] = tail
-            highest.append(self._replace_versions(snapshot, table, tail, load))
+            top = self._replace_versions(snapshot, table, tail, load)
+            stretches = self.scratch.stage(intervals(tail, surrogate, [key], TIES, **settings), "stretches")
+            return tail, top, moved_rows(facts, stretches, [key], RECORDED, TIES, **settings)
+
+        done = side_by_side(*[lambda table=table: dimension(table) for table in TRACKED])
+        tails = {table: tail for table, (tail, _, _) in zip(TRACKED, done)}
+        highest += [top for _, top, _ in done]
+
+        keyed, moved = _match(batch, courts, ["court_district", "assigned_judge"], []), None
+        for (surrogate, key, _), (tail, _, found) in zip(TRACKED.values(), done):
             # the tail has every version that is in force at an event of the batch
             keyed = versions_of(keyed, tail.after, surrogate, [key], RECORDED, TIES, **settings)
-            stretches = self.scratch.stage(intervals(tail, surrogate, [key], TIES, **settings), "stretches")
-            found = moved_rows(facts, stretches, [key], RECORDED, TIES, **settings)
             moved = self._with_keys(moved, found, surrogate, facts.columns)
-        keyed = self.scratch.stage(keyed, "keyed")
-        measured = builder.measured(keyed)
-        carried = dict.fromkeys([*names(FACT)[1:], RECORDED, *TIES, *FACT_ORDER])
-        numbered = add_dense_key(
-            measured.select(*carried), "proceeding_sk", FACT_ORDER, self.scratch,
-            rows=self.rows if self.rows is not None else batch.count(), start=start[FACT_TABLE], sizing=self.sizing,
+        keyed, moved = side_by_side(
+            lambda: self.scratch.stage(keyed, "keyed"), lambda: self.scratch.stage(moved, "moved")
         )
-        moved = self.scratch.stage(moved, "moved")
-        again = moved.withColumn(LOAD, load).select(*names(STORED[FACT_TABLE]))
-        added = numbered.withColumn(LOAD, load).select(*names(STORED[FACT_TABLE]))
-        # by position, so that later loads skip files by time and by offset
-        written = self.store.write(
-            snapshot, FACT_TABLE, added.unionByName(again), cluster_by=(RECORDED, HUB_KEY[1], "proceeding_sk")
+        measured = builder.measured(keyed)
+
+        def write_facts() -> None:
+            carried = dict.fromkeys([*names(FACT)[1:], RECORDED, *TIES, *FACT_ORDER])
+            numbered = add_dense_key(
+                measured.select(*carried), "proceeding_sk", FACT_ORDER, self.scratch,
+                rows=self.rows if self.rows is not None else batch.count(), start=start[FACT_TABLE],
+                sizing=self.sizing,
+            )
+            again, added = (
+                rows.withColumn(LOAD, load).select(*names(STORED[FACT_TABLE])) for rows in (moved, numbered)
+            )
+            # by position, so that later loads skip files by time and by offset
+            written = self.store.write(
+                snapshot, FACT_TABLE, added.unionByName(again), cluster_by=(RECORDED, HUB_KEY[1], "proceeding_sk")
+            )
+            tops = [*highest, self._highest(FACT_TABLE, written, "proceeding_sk")]
+            self.store.write(snapshot, HIGHEST, reduce(DataFrame.unionByName, tops))
+
+        side_by_side(
+            write_facts,
+            lambda: self.store.write(snapshot, withdrawn(FACT_TABLE), moved.select("proceeding_sk", LOAD)),
+            lambda: upkeep.write(self.store, snapshot, before, measured, tails["dim_defendant"], self.scratch),
         )
-        highest.append(self._highest(FACT_TABLE, written, "proceeding_sk"))
-        self.store.write(snapshot, withdrawn(FACT_TABLE), moved.select("proceeding_sk", LOAD))
-        self.store.write(snapshot, HIGHEST, reduce(DataFrame.unionByName, highest))
-        upkeep.write(self.store, snapshot, before, measured, tails["dim_defendant"], self.scratch)
 
     @staticmethod
     def _highest(table: str, written: DataFrame, key: str) -> DataFrame:

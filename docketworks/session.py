@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
+
+Result = TypeVar("Result")
 
 # Settings every job relies on; all of them can be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -61,6 +67,14 @@ def prepare(spark: SparkSession, rows: int = 0, sizing: Sizing | None = None) ->
     return spark
 
 
+def side_by_side(*works: Callable[[], Result]) -> list[Result]:
+    """Results of independent jobs that run at the same time; the first failure is raised."""
+    session = SparkSession.getActiveSession()
+    wrap = inheritable_thread_target(session) if session else lambda work: work
+    with ThreadPoolExecutor(len(works)) as pool:
+        return [done.result() for done in [pool.submit(wrap(work)) for work in works]]
+
+
 def spread(frame: DataFrame) -> DataFrame:
     """Use all cores on a scan that has fewer splits than the cluster has cores.
 
