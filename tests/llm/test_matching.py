@@ -145,49 +145,6 @@ def test_no_link_of_a_large_group_is_lost(spark, scratch, block):
     assert {r["doc_id"]: r["component_id"] for r in found} == {d: owner.get(d, d) for d in sets}
 
 
-def template(rng, count, common=135, own=45):
-    """Texts that share most of their words in one place, and every third of them a near copy of the one before."""
-    base = [f"t{i}" for i in range(common)]
-    texts = []
-    for i in range(count):
-        if i % 3 == 2:
-            texts.append(texts[-1].replace(" t7 ", " t7x "))
-        else:
-            texts.append(" ".join(base + [f"u{rng.randrange(10**7)}" for _ in range(own)]))
-    return texts
-
-
-def test_texts_of_one_template_are_compared_by_their_rare_shingles(spark, scratch, monkeypatch):
-    docs = list(enumerate(template(random.Random(6), 120)))
-    compared = []
-    usual = minhash._compared
-
-    def watched(named, mixed, *others):
-        compared.append(named.join(mixed.select("key"), "key").count())
-        return usual(named, mixed, *others)
-
-    monkeypatch.setattr(minhash, "_compared", watched)
-    found = minhash.near_duplicates(
-        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), scratch, block=10).collect()
-    sets = dict(plain_sets(docs))
-    owner = plain_components(sets)
-    assert {r["doc_id"]: r["component_id"] for r in found} == {d: owner.get(d, d) for d in sets}
-    assert any(not r["kept"] for r in found)
-    assert len(compared) == 2 and compared[1] < 4 * len(docs)  # hardly a rare shingle is shared by strangers
-
-
-def test_alike_sets_share_a_rare_shingle():
-    rng = np.random.default_rng(8)
-    table = rng.integers(0, 50, minhash.FREQUENCY_CELLS)
-    for _ in range(300):
-        size = int(rng.integers(1, 60))
-        one = np.unique(rng.integers(0, 1 << 60, size).astype(np.uint64))
-        other = np.unique(np.concatenate([one[int(rng.integers(0, 3)):], rng.integers(0, 1 << 60, 3).astype(np.uint64)]))
-        same = len(np.intersect1d(one, other))
-        if 100 * same >= 85 * (len(one) + len(other) - same):
-            assert len(np.intersect1d(minhash.rarest(one, table, 85), minhash.rarest(other, table, 85)))
-
-
 def test_near_duplicates_of_awkward_rows(spark, scratch):
     rows = minhash.near_duplicates(awkward(spark), scratch).collect()
     assert len(rows) == 12
