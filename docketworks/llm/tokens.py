@@ -25,7 +25,7 @@ import regex
 
 KEPT_CHUNKS = 600_000
 KEPT_CHARS = 16_000_000
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 
 # Fixed values of the files of kind "word": the pattern that finds words, and the steps before it
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
