@@ -48,13 +48,17 @@ def dependency_errors(
 KINDS = ("null", "boolean", "integer", "number", "text", "object", "array")
 
 
-def _kind_bit(value):
-    """The bit of a variant's type. Types of a field add up by or, in any order."""
-    kind = F.schema_of_variant(value)
+def _kind(value):
+    """Spark's name of a variant's type without its details: OBJECT, DECIMAL; VOID or null of a null."""
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
+
+
+def _kind_bit(kind):
+    """The bit of a type. Types of a field add up by or, in any order."""
     name = (
-        F.when(value.isNull() | F.is_variant_null(value), "null").when(kind == "BOOLEAN", "boolean")
-        .when(kind == "BIGINT", "integer").when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "number")
-        .when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").otherwise("text")
+        F.when(kind.isNull() | (kind == "VOID"), "null").when(kind == "BOOLEAN", "boolean")
+        .when(kind == "BIGINT", "integer").when(kind.isin("DECIMAL", "DOUBLE", "FLOAT"), "number")
+        .when(kind == "OBJECT", "object").when(kind == "ARRAY", "array").otherwise("text")
     )
     bits = F.create_map(*[F.lit(x) for i, kind in enumerate(KINDS) for x in (kind, 1 << i)])
     return bits[name].cast("int")
@@ -66,15 +70,19 @@ def schema_drift(bronze: DataFrame) -> DataFrame:
     Null agrees with every type, an integer is a number. Documents that are no object have no fields. One
     aggregate of bits: days can be added up in any order and again by months.
     """
-    document = F.try_parse_json("raw_json").alias("document")
+    # the document is parsed inside a generator, so that no filter parses it again
+    document = F.explode(F.array(F.try_parse_json("raw_json"))).alias("document")
     documents = bronze.select(F.to_date("eventhub_timestamp").alias("day"), document).filter(
         F.col("document").isNotNull() & F.schema_of_variant("document").startswith("OBJECT")
     )
     each = bronze.sparkSession.tvf.variant_explode(F.col("document").outer())
     fields = documents.lateralJoin(each).select("day", F.col("key").alias("field"), "value")
-    typed = fields.select("day", "field", _kind_bit(F.col("value")).alias("_bit"))
+    # equal types are counted first, so the bits are looked up once per day, field and type
+    typed = fields.groupBy("day", "field", _kind(F.col("value")).alias("_kind")).agg(F.count(F.lit(1)).alias("_rows"))
+    typed = typed.withColumn("_bit", _kind_bit(F.col("_kind")))
     found = typed.groupBy("day", "field").agg(
-        F.bit_or("_bit").alias("_bits"), F.count(F.lit(1)).alias("records"), F.count_if(F.col("_bit") == 1).alias("nulls"),
+        F.bit_or("_bit").alias("_bits"), F.sum("_rows").alias("records"),
+        F.coalesce(F.sum(F.when(F.col("_bit") == 1, F.col("_rows"))), F.lit(0)).alias("nulls"),
     )
     present = [F.when(F.col("_bits").bitwiseAND(F.lit(1 << i)) != 0, F.lit(kind)) for i, kind in enumerate(KINDS)]
     lasting = F.col("_bits").bitwiseAND(F.lit(~1 & 0x7F))
