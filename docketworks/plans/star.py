@@ -33,6 +33,7 @@ NATURAL_KEYS = {
 # the hub records behind the fact rows, kept beside the four tables
 LOADED = "loaded_records"
 LOADED_FIELDS = (("eventhub_partition", "int"), ("eventhub_offset", "bigint"))
+SURROGATES = tuple(GOLD[table][0][0] for table in DIMENSIONS)
 FACT_ORDER = ("case_id", "defendant_id", "record_timestamp", *HUB_KEY)
 
 
@@ -153,14 +154,15 @@ class StarBuilder:
     def fact(self, dims: Mapping[str, DataFrame], start: int = 0) -> DataFrame:
         """The 20-column fact, numbered by case, defendant, time and hub position."""
         columns = names(FACT)
-        carried = [*columns[1:], *(c for c in FACT_ORDER if c not in columns)]
-        rows = self.measured(self.keyed_rows(dims)).select(*carried)
+        carried = dict.fromkeys([*(c for c in columns if c in self.silver.columns), *FACT_ORDER])
+        # measures follow from the row alone, so they are not sent and stored to be numbered
+        rows = self.keyed_rows(dims).select(*carried, *SURROGATES)
         bound = self.silver.count() if self.rows is None else self.rows
         numbered = add_dense_key(
             rows, columns[0], FACT_ORDER, self.scratch, rows=bound, start=start,
             sizing=self.sizing,
         )
-        return numbered.select(*columns)
+        return self.measured(numbered).select(*columns)
 
     # -- publication -----------------------------------------------------------
 

@@ -21,6 +21,12 @@ RUNTIME_SETTINGS = {
     # a hot join key is split over several tasks, also where an aggregate follows
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # sizes count stored bytes, which are about a tenth of those in memory: a task sorts some 200 MB, and a
+    # broadcast table does not fill the memory of every executor (9.6 MB of cases took 520 MB per task)
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
+    "spark.sql.parquet.compression.codec": "zstd",
     # streaming state on local disk with changes in the checkpoint, not on the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
