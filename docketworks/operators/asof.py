@@ -24,13 +24,14 @@ def as_of_join(
     scratch: Scratch,
     bound: int | None = None,
     sizing: Sizing | None = None,
+    key_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` with the ``carried`` columns of the version in force at ``row_time``.
 
     Both sides are laid on one time line per key and the last version is carried
     forward. No row is ever paired with more than one version, so a key with
     many rows and many versions stays linear. ``version_order`` and
-    ``row_order`` make the order total; ``bound`` limits the rows of both sides.
+    ``row_order`` make the order total; ``bound`` limits the rows of both sides, ``key_rows`` those of one key.
     """
     ties = [f"_tie_v{i}" for i in range(len(version_order))]
     ties += [f"_tie_r{i}" for i in range(len(row_order))]
@@ -48,6 +49,6 @@ def as_of_join(
         **{f"_tie_r{i}": F.col(c) for i, c in enumerate(row_order)},
     })
     line = seekers.unionByName(marks, allowMissingColumns=True)
-    sequence = arrange(line, keys, ["_time", "_kind", *ties], scratch, bound, sizing)
+    sequence = arrange(line, keys, ["_time", "_kind", *ties], scratch, bound, sizing, key_rows)
     found = sequence.carry_forward({"_in_force": "_version"}).frame.filter("_kind = 1")
     return found.select(*rows.columns, *[F.col("_in_force").getField(c).alias(c) for c in carried])

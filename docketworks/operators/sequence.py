@@ -231,12 +231,14 @@ def arrange(
     scratch: Scratch,
     rows: int | None = None,
     sizing: Sizing | None = None,
+    key_rows: int | None = None,
 ) -> Sequenced:
     """Arrange ``frame`` per key.
 
     ``order`` must be total within a key. ``rows`` is an upper bound of the row
-    count where the caller knows one; it is counted otherwise. When the whole
-    frame fits one task no key can be hot and nothing else is measured.
+    count where the caller knows one, ``key_rows`` one of the rows of any key. When
+    the whole frame or every key fits one task no key can be hot and nothing is
+    measured; else the frame is stored, so that what leads to it runs once.
     """
     sizing = sizing or Sizing()
     keys, order = tuple(keys), tuple(order)
@@ -244,9 +246,10 @@ def arrange(
     def sequenced(*parts: Part) -> Sequenced:
         return Sequenced(parts, keys, order, scratch)
 
-    if rows is None:
-        rows = frame.count()
-    if rows <= sizing.single_task_rows:
+    if min(n for n in (rows, key_rows, sizing.single_task_rows + 1) if n is not None) <= sizing.single_task_rows:
+        return sequenced(Part(frame, sliced=False))
+    frame = scratch.stage(frame, "unmeasured")
+    if frame.count() <= sizing.single_task_rows:  # from the footers
         return sequenced(Part(frame, sliced=False))
 
     counted = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
