@@ -50,6 +50,7 @@ def merge_tail(
     start: int,
     bound: int | None = None,
     sizing: Sizing | None = None,
+    key_rows: int | None = None,
 ) -> Tail:
     """Tails of the chains that ``batch`` (keys, tracked, time, ties) touches.
 
@@ -57,7 +58,7 @@ def merge_tail(
     time, ties, surrogate), each pointing to its version; they stand for the events. A version keeps its
     surrogate key wherever its opening event ends up; new ones are numbered on from
     ``start``. Events are never taken back, so two versions never become one. ``time`` and ``keys`` must not be
-    null; equal events count once. The result of any order of batches is the history of all events.
+    null; equal events count once. ``key_rows`` limits the rows of one key on any time line. The result of any order of batches is the history of all events.
     """
     extra = [t for t in ties if t not in tracked]
     event = [*keys, *tracked, time, *extra]
@@ -83,7 +84,7 @@ def merge_tail(
     line = log.unionByName(batch.select(*event)).distinct().unionByName(marks, allowMissingColumns=True)
 
     # a mark follows the event that it repeats, so it lies in the run of its version
-    placed = arrange(line, keys, [time, *ties, surrogate], scratch, bound, sizing).previous(
+    placed = arrange(line, keys, [time, *ties, surrogate], scratch, bound, sizing, key_rows).previous(
         {f"_was_{c}": c for c in tracked}, present="_seen"
     )
     differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in tracked])
@@ -120,7 +121,7 @@ def position(time: str, ties: Sequence[str]) -> Column:
 
 def intervals(
     tail: Tail, surrogate: str, keys: Sequence[str], ties: Sequence[str], scratch: Scratch,
-    bound: int | None = None, sizing: Sizing | None = None,
+    bound: int | None = None, sizing: Sizing | None = None, key_rows: int | None = None,
 ) -> DataFrame:
     """The touched chains as stretches: keys, ``begins`` (a position), ``was`` and ``now`` (surrogate keys).
 
@@ -132,13 +133,13 @@ def intervals(
 
     both = edges(tail.before, "_was").unionByName(edges(tail.after, "_now"), allowMissingColumns=True)
     edge = both.groupBy(*keys, "begins").agg(F.max("_was").alias("_was"), F.max("_now").alias("_now"))
-    line = arrange(edge, keys, ["begins"], scratch, bound, sizing).carry_forward({"was": "_was", "now": "_now"})
+    line = arrange(edge, keys, ["begins"], scratch, bound, sizing, key_rows).carry_forward({"was": "_was", "now": "_now"})
     return line.frame.select(*keys, "begins", "was", "now")
 
 
 def moved_rows(
     rows: DataFrame, stretches: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
-    scratch: Scratch, bound: int | None = None, sizing: Sizing | None = None,
+    scratch: Scratch, bound: int | None = None, sizing: Sizing | None = None, key_rows: int | None = None,
 ) -> DataFrame:
     """The ``rows`` inside stretches that changed, with ``was`` and ``now``; no other row is returned.
 
@@ -157,18 +158,18 @@ def moved_rows(
         marked, _same(near, marked, keys, "_key_") & (near[time] >= marked["_since"]), "left_semi"
     ).withColumn("_at", position(time, ties))
     found = as_of_join(
-        near, stretches, keys, "_at", "begins", [], [], ["was", "now"], scratch, bound, sizing
+        near, stretches, keys, "_at", "begins", [], [], ["was", "now"], scratch, bound, sizing, key_rows
     )
     return found.filter(F.col("was").isNotNull() & (F.col("was") != F.col("now"))).drop("_at")
 
 
 def versions_of(
     rows: DataFrame, chain: DataFrame, surrogate: str, keys: Sequence[str], time: str, ties: Sequence[str],
-    scratch: Scratch, bound: int | None = None, sizing: Sizing | None = None,
+    scratch: Scratch, bound: int | None = None, sizing: Sizing | None = None, key_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` with the surrogate key of the version in force at their position."""
     marks = chain.withColumn("_at", position(EFFECTIVE, ties))
     return as_of_join(
         rows.withColumn("_at", position(time, ties)), marks, keys, "_at", "_at", [], [], [surrogate],
-        scratch, bound, sizing,
+        scratch, bound, sizing, key_rows,
     ).drop("_at")

@@ -42,10 +42,17 @@ STORED: dict[str, Fields] = {
     FACT_TABLE: (*FACT, (RECORDED, "timestamp"), *TIE_FIELDS, (LOAD, "int")),
 }
 ROW_KEYS = {table: GOLD[table][0][0] for table in (*TRACKED, FACT_TABLE)}
+#: Rows of a key on a time line, at most, for each of its proceedings: itself and a version before and after.
+_LINES = 3
 HIGHEST = "highest_keys"
 HIGHEST_FIELDS: Fields = (("table_name", "string"), ("highest", "bigint"))
 
 
+def _key_rows_of(table: str) -> str:
+    """Under this name ``highest_keys`` has a bound of the proceedings of one key."""
+    return f"{table}_key_rows"
+
+
 def withdrawn(table: str) -> str:
     return f"{table}_withdrawn"
 
@@ -145,6 +152,12 @@ class VersionedStar:
     ) -> None:
         bound = None if self.rows is None else 3 * self.rows
         settings = {"scratch": self.scratch, "bound": bound, "sizing": self.sizing}
+        # a store of loads that did not count the rows of its keys goes without
+        counts = before is None or all(_key_rows_of(table) in start for table in TRACKED)
+        key_rows = {
+            table: self._key_rows(batch, table, start.get(_key_rows_of(table), 0)) for table in TRACKED if counts
+        }
+        counted = {key: _LINES * key_rows[table] if counts else None for table, (_, key, _) in TRACKED.items()}
         load, facts, highest = F.lit(number), stored[FACT_TABLE], []
 
         builder = StarBuilder(batch, self.as_of, self.scratch, self.rows, self.sizing)
@@ -158,11 +171,11 @@ class VersionedStar:
             tail = merge_tail(
                 stored[table], facts.select(key, RECORDED, *TIES, surrogate),
                 batch.select(key, *tracked, RECORDED, *TIES), surrogate, [key], tracked, RECORDED, TIES,
-                start=start[table], **settings,
+                start=start[table], key_rows=counted[key], **settings,
             )
             top = self._replace_versions(snapshot, table, tail, load)
-            stretches = self.scratch.stage(intervals(tail, surrogate, [key], TIES, **settings), "stretches")
-            return tail, top, moved_rows(facts, stretches, [key], RECORDED, TIES, **settings)
+            stretches = self.scratch.stage(intervals(tail, surrogate, [key], TIES, key_rows=counted[key], **settings), "stretches")
+            return tail, top, moved_rows(facts, stretches, [key], RECORDED, TIES, key_rows=counted[key], **settings)
 
         done = side_by_side(*[lambda table=table: dimension(table) for table in TRACKED])
         tails = {table: tail for table, (tail, _, _) in zip(TRACKED, done)}
@@ -171,7 +184,9 @@ class VersionedStar:
         keyed, moved = _match(batch, courts, ["court_district", "assigned_judge"], []), None
         for (surrogate, key, _), (tail, _, found) in zip(TRACKED.values(), done):
             # the tail has every version that is in force at an event of the batch
-            keyed = versions_of(keyed, tail.after, surrogate, [key], RECORDED, TIES, **settings)
+            keyed = versions_of(
+                keyed, tail.after, surrogate, [key], RECORDED, TIES, key_rows=counted[key], **settings
+            )
             moved = self._with_keys(moved, found, surrogate, facts.columns)
         keyed, moved = side_by_side(
             lambda: self.scratch.stage(keyed, "keyed"), lambda: self.scratch.stage(moved, "moved")
@@ -192,7 +207,10 @@ class VersionedStar:
             written = self.store.write(
                 snapshot, FACT_TABLE, added.unionByName(again), cluster_by=(RECORDED, HUB_KEY[1], "proceeding_sk")
             )
-            tops = [*highest, self._highest(FACT_TABLE, written, "proceeding_sk")]
+            tops = [*highest, self._highest(FACT_TABLE, written, "proceeding_sk"), self.store.spark.createDataFrame(
+                [(_key_rows_of(table), most) for table, most in key_rows.items()],
+                ", ".join(f"{n} {t}" for n, t in HIGHEST_FIELDS),
+            )]
             self.store.write(snapshot, HIGHEST, reduce(DataFrame.unionByName, tops))
 
         side_by_side(
@@ -201,6 +219,12 @@ class VersionedStar:
             lambda: upkeep.write(self.store, snapshot, before, measured, tails["dim_defendant"], self.scratch),
         )
 
+    @staticmethod
+    def _key_rows(batch: DataFrame, table: str, before: int) -> int:
+        """A bound of the proceedings of any one key: the largest number of each load, added up."""
+        counted = batch.groupBy(TRACKED[table][1]).agg(F.count(F.lit(1)).alias("_rows"))
+        return before + (counted.agg(F.max("_rows")).first()[0] or 0)
+
     @staticmethod
     def _highest(table: str, written: DataFrame, key: str) -> DataFrame:
         return written.agg(F.max(key).alias("highest")).filter("highest IS NOT NULL").select(
