@@ -61,19 +61,23 @@ class StarBuilder:
 
     # -- dimensions ----------------------------------------------------------
 
-    def dimension(self, table: str, stored: DataFrame | None = None) -> DataFrame:
+    def dimension(
+        self, table: str, stored: DataFrame | None = None, near: DataFrame | None = None
+    ) -> DataFrame:
         """Distinct attribute sets with a key; versioned tables start at version 1.
 
         With the ``stored`` dimension only the sets that it lacks are returned,
-        numbered on from its largest key. A large silver table says little about
-        the number of distinct sets, so there they are counted.
+        numbered on from its largest key; ``near`` are its ``touched`` rows where they
+        are at hand. A large silver table says little about the number of distinct
+        sets, so there they are counted.
         """
         columns = names(GOLD[table])
         key, attributes = columns[0], DIMENSIONS[table]
         sets = self.silver.select(*attributes).distinct()
         start = 0
         if stored is not None:
-            known = self.touched(table, stored).select(F.struct(*attributes).alias("_known"))
+            near = self.touched(table, stored) if near is None else near
+            known = near.select(F.struct(*attributes).alias("_known"))
             sets = sets.join(known, F.struct(*attributes) == known["_known"], "left_anti")
             start = stored.agg(F.max(key)).first()[0] or 0
         small = self.rows is not None and self.rows <= self.sizing.numbering_rows
@@ -103,13 +107,8 @@ class StarBuilder:
         return stored.join(mentioned, reduce(lambda a, b: a & b, same), "left_semi")
 
     def not_loaded(self, loaded: DataFrame) -> DataFrame:
-        """Silver rows whose hub record is not among ``loaded``; files beyond their range are skipped."""
-        partition, offset = HUB_KEY
-        low, high = self.silver.agg(F.min(offset), F.max(offset)).first()
-        if low is None:
-            return self.silver
-        near = loaded.filter(F.col(offset).between(low, high))
-        return self.silver.join(near, [partition, offset], "left_anti").select(*self.silver.columns)
+        """Silver rows whose hub record is not among ``loaded``."""
+        return not_among(self.silver, loaded, self.scratch)
 
     # -- fact ----------------------------------------------------------------
 
@@ -197,8 +196,9 @@ class StarBuilder:
         snapshot = store.new_snapshot()
         dims = {}
         for table in DIMENSIONS:
-            added = store.write(snapshot, table, batch.dimension(table, stored[table]))
-            dims[table] = batch.touched(table, stored[table]).unionByName(added)
+            near = self.scratch.stage(batch.touched(table, stored[table]), f"touched-{table}")
+            added = store.write(snapshot, table, batch.dimension(table, stored[table], near))
+            dims[table] = near.unionByName(added)
         start = stored[FACT_TABLE].agg(F.max("proceeding_sk")).first()[0] or 0
         batch._write_fact(store, snapshot, dims, start, cluster_fact)
         store.write(snapshot, LOADED, batch.silver.select(*HUB_KEY))
@@ -214,6 +214,24 @@ def read_star(store: SnapshotStore, snapshot: str) -> dict[str, DataFrame]:
     return {table: store.read(table, fields, snapshot) for table, fields in GOLD.items()}
 
 
+def not_among(rows: DataFrame, loaded: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` whose hub position is not among ``loaded``; files beyond their range are skipped.
+
+    Positions alone are compared first: where none or all of them were loaded, as in a new or a repeated
+    delivery, no whole row is sent anywhere.
+    """
+    _, offset = HUB_KEY
+    low, high, total = rows.agg(F.min(offset), F.max(offset), F.count(F.lit(1))).first()
+    if low is None:
+        return rows
+    near = loaded.filter(F.col(offset).between(low, high)).select(*HUB_KEY)
+    again = scratch.stage(rows.select(*HUB_KEY).join(near, list(HUB_KEY), "left_semi"), "loaded-again")
+    found = again.count()  # from the footers
+    if found in (0, total):
+        return rows if found == 0 else rows.limit(0)
+    return rows.join(again, list(HUB_KEY), "left_anti").select(*rows.columns)
+
+
 def _match(
     rows: DataFrame, dim: DataFrame, natural: Sequence[str], attributes: Sequence[str]
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from test_versioned import event, frame
 
 from docketworks.operators.sequence import arrange
 from docketworks.plans import conformity
-from docketworks.plans.star import DIMENSIONS, StarBuilder
+from docketworks.plans.star import DIMENSIONS, StarBuilder, not_among
 from docketworks.plans.versioned import VersionedStar
 from docketworks.schemas import BRONZE, ddl
 from docketworks.session import Sizing, prepare
@@ -80,3 +80,17 @@ def test_a_table_of_some_megabytes_is_not_broadcast(spark, scratch):
     finally:
         prepare(spark)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
+def test_records_of_a_new_or_repeated_delivery_are_compared_by_position_alone(spark, scratch):
+    rows = spark.range(40).select(
+        (F.col("id") % 4).cast("int").alias("eventhub_partition"), F.expr("id div 4").alias("eventhub_offset"),
+        F.col("id").cast("string").alias("wide"))
+    nameless = spark.createDataFrame([(None, 3, "none"), (None, None, "none")], rows.schema)
+    labels, positions = Labels(scratch), ["eventhub_partition", "eventhub_offset"]
+    for loaded, expected in ((rows.filter("eventhub_offset < 2"), 32), (rows.limit(0), 40), (rows, 0)):
+        left = not_among(rows, loaded, labels)
+        assert left.count() == expected and left.columns == rows.columns
+        assert labels.stored["loaded-again"] == positions
+    assert "Join" not in plan_of(not_among(rows, rows.limit(0), labels))
+    assert not_among(rows.unionByName(nameless), rows, labels).count() == 2  # without a position they stay
