@@ -48,7 +48,10 @@ def as_of_join(
         "_kind": F.lit(1),
         **{f"_tie_r{i}": F.col(c) for i, c in enumerate(row_order)},
     })
+    if row_time not in (*keys, *carried):
+        seekers = seekers.drop(row_time)  # it goes along as the time and comes back under its name
     line = seekers.unionByName(marks, allowMissingColumns=True)
     sequence = arrange(line, keys, ["_time", "_kind", *ties], scratch, bound, sizing, key_rows)
     found = sequence.carry_forward({"_in_force": "_version"}).frame.filter("_kind = 1")
-    return found.select(*rows.columns, *[F.col("_in_force").getField(c).alias(c) for c in carried])
+    own = [F.col("_time").alias(c) if c == row_time else F.col(c) for c in rows.columns]
+    return found.select(*own, *[F.col("_in_force").getField(c).alias(c) for c in carried])

@@ -80,10 +80,13 @@ def merge_tail(
     later = rows.filter(F.col(time) >= earliest)
     later = touched(later, later[time] >= marked["_from"]).select(*keys, time, *extra, surrogate)
     log = later.join(before.select(surrogate, *tracked), surrogate).select(*event)
-    marks = before.select(*keys, *tracked, F.col(EFFECTIVE).alias(time), *extra, surrogate)
-    line = log.unionByName(batch.select(*event)).distinct().unionByName(marks, allowMissingColumns=True)
+    marks = before.select(
+        *keys, *tracked, F.col(EFFECTIVE).alias(time), *extra, surrogate, F.col(VERSION).alias("_version")
+    )
+    line = log.unionByName(batch.select(*event)).unionByName(marks, allowMissingColumns=True)
 
-    # a mark follows the event that it repeats, so it lies in the run of its version
+    # equal events are neighbours, so only the first can open a version; a mark follows the event that it
+    # repeats, so it lies in the run of its version
     placed = arrange(line, keys, [time, *ties, surrogate], scratch, bound, sizing, key_rows).previous(
         {f"_was_{c}": c for c in tracked}, present="_seen"
     )
@@ -91,16 +94,9 @@ def merge_tail(
     placed = placed.with_columns({"_opens": ~F.col("_seen") | differs}).position("_place")
     placed = placed.with_columns({"_mark": F.when(F.col("_opens"), F.col("_place"))})
     placed = placed.carry_forward({"_run": "_mark"}).stored("tail-placed")
-    owners = _prefixed(
-        placed.frame.filter(F.col(surrogate).isNotNull()), keys, "_own_", "_run", surrogate
-    ).groupBy(*[f"_own_{k}" for k in keys], F.col("_run").alias("_own_run")).agg(F.min(surrogate).alias("_owner"))
-    base = before.groupBy(*keys).agg(F.min(VERSION).alias("_base"))
-    base = _prefixed(base, keys, "_base_", "_base")
-    versions = placed.where("_opens").position("_nth").following({END: time}, present="_followed").frame.drop(surrogate)
-    built = versions.join(
-        owners, _same(versions, owners, keys, "_own_") & (versions["_run"] == owners["_own_run"]), "left"
-    )
-    built = built.join(base, _same(versions, base, keys, "_base_"), "left").select(
+    versions = placed.openers("_opens", "_run", {"_owner": surrogate}, {"_base": "_version"})
+    versions = versions.position("_nth").following({END: time}, present="_followed").frame.drop(surrogate)
+    built = versions.select(
         F.col("_owner").alias(surrogate), *keys, *tracked, F.col(time).alias(EFFECTIVE), END,
         (~F.col("_followed")).alias(CURRENT),
         (F.coalesce("_base", F.lit(1)) + F.col("_nth") - 1).cast("int").alias(VERSION), *extra,
@@ -132,9 +128,10 @@ def intervals(
         return chain.select(*keys, position(EFFECTIVE, ties).alias("begins"), F.col(surrogate).alias(name))
 
     both = edges(tail.before, "_was").unionByName(edges(tail.after, "_now"), allowMissingColumns=True)
-    edge = both.groupBy(*keys, "begins").agg(F.max("_was").alias("_was"), F.max("_now").alias("_now"))
-    line = arrange(edge, keys, ["begins"], scratch, bound, sizing, key_rows).carry_forward({"was": "_was", "now": "_now"})
-    return line.frame.select(*keys, "begins", "was", "now")
+    line = arrange(both, keys, ["begins", "_was", "_now"], scratch, bound, sizing, key_rows)
+    line = line.carry_forward({"was": "_was", "now": "_now"}).following({"_next": "begins"}, present="_more")
+    # of the edges at one position the last knows both chains
+    return line.where("NOT _more OR _next <> begins").frame.select(*keys, "begins", "was", "now")
 
 
 def moved_rows(
@@ -143,7 +140,8 @@ def moved_rows(
 ) -> DataFrame:
     """The ``rows`` inside stretches that changed, with ``was`` and ``now``; no other row is returned.
 
-    Only rows of the changed keys from their first change on take part in the ordered step.
+    Only rows of the changed keys from their first change on take part in the ordered step. ``rows`` should have
+    few columns beside ``keys``, ``time`` and ``ties``.
     """
     changed = stretches.filter(~F.col("was").eqNullSafe(F.col("now")) & F.col("was").isNotNull())
     since = scratch.stage(

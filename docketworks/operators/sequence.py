@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -169,6 +170,33 @@ class Sequenced:
 
         return self._over(total)
 
+    def openers(self, opens: str, run: str, in_run: Mapping[str, str], in_key: Mapping[str, str]) -> Sequenced:
+        """Only the rows that open a run, with the smallest values of some columns in their run and in their key.
+
+        ``run`` must not be null. Ordinary keys need no other shuffle; of hot keys the values are reduced per
+        slice and run first.
+        """
+        wanted = ((run, in_run), (None, in_key))
+
+        def pick(part: Part) -> DataFrame:
+            if not part.sliced:
+                return part.frame.withColumns({
+                    out: F.min(source).over(Window.partitionBy(*self.keys, *([by] if by else [])))
+                    for by, columns in wanted for out, source in columns.items()
+                }).filter(opens)
+            found = part.frame.filter(opens)
+            for by, columns in wanted:
+                some = reduce(lambda a, b: a | b, [F.col(source).isNotNull() for source in columns.values()])
+                group = [*self.keys, *([by] if by else [])]
+                least = part.frame.filter(some).groupBy(*[F.col(c).alias(f"_of_{c}") for c in group]).agg(
+                    *[F.min(source).alias(out) for out, source in columns.items()]
+                )
+                same = _same(found, least, [(c, f"_of_{c}") for c in group])
+                found = found.join(least, same, "left").drop(*[f"_of_{c}" for c in group])
+            return found
+
+        return self._over(pick)
+
     # -- inner steps ---------------------------------------------------------
 
     def _window(self, part: Part):

@@ -20,7 +20,7 @@ from docketworks.operators.chains import Tail, intervals, merge_tail, moved_rows
 from docketworks.operators.dense_keys import add_dense_key
 from docketworks.operators.scd2 import CURRENT, EFFECTIVE, END, VERSION
 from docketworks.plans import upkeep
-from docketworks.plans.star import FACT_ORDER, FACT_TABLE, NATURAL_KEYS, StarBuilder, _match
+from docketworks.plans.star import FACT_ORDER, FACT_TABLE, NATURAL_KEYS, StarBuilder, _match, not_among
 from docketworks.schemas import CASE_ATTRIBUTES, DEFENDANT_ATTRIBUTES, FACT, GOLD, HUB_KEY, Fields, names
 from docketworks.session import Sizing, side_by_side
 from docketworks.sources.scratch import Scratch
@@ -114,13 +114,8 @@ class VersionedStar:
         })
 
     def _not_loaded(self, batch: DataFrame, before: str) -> DataFrame:
-        """Rows whose hub position no stored proceeding has; files beyond their range are skipped."""
-        partition, offset = HUB_KEY
-        low, high = batch.agg(F.min(offset), F.max(offset)).first()
-        if low is None:
-            return batch
-        near = self.store.read(FACT_TABLE, STORED[FACT_TABLE], before).filter(F.col(offset).between(low, high))
-        return batch.join(near.select(partition, offset), [partition, offset], "left_anti").select(*batch.columns)
+        """Rows whose hub position no stored proceeding has."""
+        return not_among(batch, self.store.read(FACT_TABLE, STORED[FACT_TABLE], before), self.scratch)
 
     def _first(self, silver: DataFrame) -> str:
         batch = self.scratch.stage(self._prepared(silver), "first-load")
@@ -175,21 +170,25 @@ class VersionedStar:
             )
             top = self._replace_versions(snapshot, table, tail, load)
             stretches = self.scratch.stage(intervals(tail, surrogate, [key], TIES, key_rows=counted[key], **settings), "stretches")
-            return tail, top, moved_rows(facts, stretches, [key], RECORDED, TIES, key_rows=counted[key], **settings)
+            places = facts.select("proceeding_sk", key, RECORDED, *TIES)
+            found = moved_rows(places, stretches, [key], RECORDED, TIES, key_rows=counted[key], **settings)
+            return tail, top, found.select("proceeding_sk", RECORDED, F.col("now").alias(f"_{surrogate}"))
 
         done = side_by_side(*[lambda table=table: dimension(table) for table in TRACKED])
         tails = {table: tail for table, (tail, _, _) in zip(TRACKED, done)}
         highest += [top for _, top, _ in done]
 
-        keyed, moved = _match(batch, courts, ["court_district", "assigned_judge"], []), None
-        for (surrogate, key, _), (tail, _, found) in zip(TRACKED.values(), done):
+        keyed = _match(batch, courts, ["court_district", "assigned_judge"], [])
+        used = {*names(FACT), *FACT_ORDER, RECORDED, *TIES, *names(upkeep.KNOWN)}
+        keyed = keyed.select(*[c for c in keyed.columns if c in used])
+        for (surrogate, key, _), (tail, _, _) in zip(TRACKED.values(), done):
             # the tail has every version that is in force at an event of the batch
             keyed = versions_of(
                 keyed, tail.after, surrogate, [key], RECORDED, TIES, key_rows=counted[key], **settings
             )
-            moved = self._with_keys(moved, found, surrogate, facts.columns)
         keyed, moved = side_by_side(
-            lambda: self.scratch.stage(keyed, "keyed"), lambda: self.scratch.stage(moved, "moved")
+            lambda: self.scratch.stage(keyed, "keyed"),
+            lambda: self.scratch.stage(self._moved(facts, [found for _, _, found in done]), "moved"),
         )
         measured = builder.measured(keyed)
 
@@ -235,28 +234,40 @@ class VersionedStar:
         """Write the versions that are new or changed and withdraw what they replace."""
         surrogate, key, tracked = TRACKED[table]
         told = [surrogate, key, *tracked, EFFECTIVE, END, CURRENT, VERSION, *TIES]
-        old, new = (
-            frame.select(surrogate, F.struct(*told).alias("_row")) for frame in (tail.before, tail.after)
+        # the key and the tracked values of a version never change
+        place = [EFFECTIVE, END, CURRENT, VERSION, *TIES]
+        old = tail.before.select(surrogate, F.struct(*place).alias("_old"), "created_timestamp", LOAD)
+        new = tail.after.select(surrogate, F.struct(*told).alias("_new"))
+        now = F.when(F.col("_new").isNotNull(), F.struct(*[F.col(f"_new.{c}").alias(c) for c in place]))
+        changed = self.scratch.stage(
+            old.join(new, surrogate, "full_outer").filter(~F.col("_old").eqNullSafe(now)).select(
+                surrogate, "_new", "created_timestamp", F.col(LOAD).alias("_was_loaded")
+            ), "changed-versions"
         )
-        same = old.withColumnRenamed(surrogate, "_sk").withColumnRenamed("_row", "_old")
-        kept = new.join(same, (new[surrogate] == same["_sk"]) & (new["_row"] == same["_old"]), "left_semi")
-        kept = self.scratch.stage(kept.select(surrogate), "unchanged-versions")
-        gone = tail.before.join(kept, surrogate, "left_anti")
-        created = gone.select(surrogate, "created_timestamp")
-        fresh = tail.after.join(kept, surrogate, "left_anti").join(created, surrogate, "left").withColumns({
+        fresh = changed.filter("_new IS NOT NULL").select("_new.*", "created_timestamp").withColumns({
             "created_timestamp": F.coalesce("created_timestamp", self.now), LOAD: load,
         })
         written = self.store.write(snapshot, table, fresh.select(*names(STORED[table])))
-        self.store.write(snapshot, withdrawn(table), gone.select(surrogate, LOAD))
+        gone = changed.filter("_was_loaded IS NOT NULL")
+        self.store.write(snapshot, withdrawn(table), gone.select(surrogate, F.col("_was_loaded").alias(LOAD)))
         return self._highest(table, written, surrogate)
 
-    @staticmethod
-    def _with_keys(moved: DataFrame | None, found: DataFrame, surrogate: str, columns: Sequence[str]) -> DataFrame:
-        """Facts that get another key from this dimension, the other, or both."""
-        if moved is None:
-            return found.withColumn(surrogate, F.col("now")).select(*columns)
-        change = found.select(F.col("proceeding_sk").alias("_moved"), F.col("now").alias("_now"))
-        both = moved.join(change, moved["proceeding_sk"] == change["_moved"], "left")
-        both = both.withColumn(surrogate, F.coalesce("_now", surrogate)).select(*columns)
-        only = found.join(moved.select("proceeding_sk"), "proceeding_sk", "left_anti")
-        return both.unionByName(only.withColumn(surrogate, F.col("now")).select(*columns))
+    def _moved(self, facts: DataFrame, found: Sequence[DataFrame]) -> DataFrame:
+        """Facts that get another key from one dimension, the other, or both.
+
+        ``found`` has row key, time and new key per dimension; whole rows are fetched once.
+        """
+        surrogates = [surrogate for surrogate, _, _ in TRACKED.values()]
+        either = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+        change = self.scratch.stage(
+            either.groupBy("proceeding_sk").agg(
+                F.min(RECORDED).alias("_at"), *[F.max(f"_{s}").alias(f"_{s}") for s in surrogates]
+            ), "moved-keys"
+        )
+        low, high = change.agg(F.min("_at").cast("string"), F.max("_at").cast("string")).first()
+        if low is None:
+            return facts.limit(0)
+        near = facts.filter(F.col(RECORDED).between(*[F.lit(t).cast("timestamp") for t in (low, high)]))
+        return near.join(change, "proceeding_sk").withColumns(
+            {s: F.coalesce(f"_{s}", s) for s in surrogates}
+        ).select(*facts.columns)

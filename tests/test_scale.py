@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from conftest import AS_OF, plan_of, rows_of
 from pyspark.sql import functions as F
-from test_versioned import event, frame
+from test_versioned import FACT_TABLE, START, event, frame
 
+from docketworks.operators.chains import Tail, intervals
+from docketworks.operators.scd2 import EFFECTIVE
 from docketworks.operators.sequence import arrange
 from docketworks.plans import conformity
 from docketworks.plans.star import DIMENSIONS, StarBuilder, not_among
-from docketworks.plans.versioned import VersionedStar
+from docketworks.plans.versioned import STORED, VersionedStar
 from docketworks.schemas import BRONZE, ddl
 from docketworks.session import Sizing, prepare
 from docketworks.sources.snapshots import SnapshotStore
@@ -82,6 +86,59 @@ def test_a_table_of_some_megabytes_is_not_broadcast(spark, scratch):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
 
 
+def shuffles(rows) -> int:
+    """Shuffles of the plan of ``rows``, whatever adaptive execution makes of them."""
+    spark = rows.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return plan_of(rows.select("*")).count("Exchange hashpartitioning")
+    finally:
+        prepare(spark)
+
+
+def test_owners_and_first_versions_of_ordinary_keys_need_no_shuffle_of_their_own(spark, scratch):
+    rows = spark.range(60).select(
+        (F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.expr("id div 6").alias("run"),
+        F.expr("CASE WHEN id % 6 > 2 THEN id END").alias("sk"), (F.col("id") + 100).alias("v"),
+        F.expr("id % 6 < 3").alias("opens"))
+    found = []
+    for sizing in (Sizing(), Sizing(single_task_rows=5, rows_per_partition=7)):
+        picked = arrange(rows, ["k"], ["t"], scratch, sizing=sizing).position("n").openers(
+            "opens", "run", {"owner": "sk"}, {"base": "v"})
+        assert [p.sliced for p in picked.parts] in ([False], [False, True])
+        found.append(rows_of(picked.frame, "k", "t", "owner", "base"))
+        if len(picked.parts) == 1:
+            assert shuffles(picked.frame) == 1
+    assert found[0] == found[1] == [(n % 3, n, n + 3, n % 3 + 100) for n in sorted(
+        (n for n in range(60) if n % 6 < 3), key=lambda n: (n % 3, n))]
+
+
+def test_changed_stretches_need_one_shuffle(spark, scratch):
+    """Edges of both chains at one position are one stretch, with keys in slices as well."""
+    fields = f"d string, {EFFECTIVE} timestamp, tie int, sk bigint"
+    def chain(*rows):
+        return spark.createDataFrame([(d, START + timedelta(hours=h), tie, sk) for d, h, tie, sk in rows], fields)
+    tail = Tail(chain(("a", 1, 0, 1), ("a", 5, 0, 2), ("b", 1, None, 3)),
+                chain(("a", 0, 0, 9), ("a", 1, 0, 1), ("a", 5, 0, 8), ("b", 1, None, 3)))
+    expected = [("a", 0, None, 9), ("a", 1, 1, 1), ("a", 5, 2, 8), ("b", 1, 3, 3)]
+    for sizing in (Sizing(), Sizing(single_task_rows=2, rows_per_partition=3)):
+        found = intervals(tail, "sk", ["d"], ["tie"], scratch, sizing=sizing)
+        assert [(r.d, (r.begins.time - START).seconds // 3600, r.was, r.now) for r in found.orderBy(
+            "d", "begins").collect()] == expected
+    assert shuffles(intervals(tail, "sk", ["d"], ["tie"], scratch)) == 1
+
+
+def test_moved_facts_are_found_by_their_keys_and_fetched_once(spark, scratch):
+    labels = Labels(scratch)
+    star = VersionedStar(SnapshotStore(spark, scratch.path("moved")), AS_OF, labels, 100)
+    star.load(frame(spark, [event(n, 2 * n, who="d1") for n in range(8)]))
+    star.load(frame(spark, [event(9, 5, who="d1", status="Private Attorney")]))
+    assert set(labels.stored["moved-keys"]) == {"proceeding_sk", "_at", "_defendant_sk", "_case_details_sk"}
+    assert labels.stored["moved"] == star.store.read(FACT_TABLE, STORED[FACT_TABLE]).columns
+    assert {"defendant_gender", "assigned_judge", "hearing_type"}.isdisjoint(labels.stored["keyed"])
+    assert star.rows_in_force(FACT_TABLE).filter("load = 1").count() == 1 + 5  # those from hour 6 on moved
+
+
 def test_records_of_a_new_or_repeated_delivery_are_compared_by_position_alone(spark, scratch):
     rows = spark.range(40).select(
         (F.col("id") % 4).cast("int").alias("eventhub_partition"), F.expr("id div 4").alias("eventhub_offset"),
