@@ -23,7 +23,7 @@ from docketworks.plans import upkeep
 from docketworks.plans.star import FACT_ORDER, FACT_TABLE, NATURAL_KEYS, StarBuilder, _match, not_among
 from docketworks.schemas import CASE_ATTRIBUTES, DEFENDANT_ATTRIBUTES, FACT, GOLD, HUB_KEY, Fields, names
 from docketworks.session import Sizing, side_by_side
-from docketworks.sources.scratch import Scratch
+from docketworks.sources.scratch import Passing, Scratch, passing
 from docketworks.sources.snapshots import SnapshotStore
 
 RECORDED, TIE, LOAD = "recorded_at", "event_tie", "load"
@@ -99,10 +99,8 @@ class VersionedStar:
         hub position count once; rows without one cannot be told from others and count each.
         """
         before = self.store.newest()
-        if before is None:
-            snapshot = self._first(silver)
-        else:
-            snapshot = self._add(silver, before)
+        with passing(self.scratch) as scratch:
+            snapshot = self._first(silver, scratch) if before is None else self._add(silver, before, scratch)
         return self.tables(snapshot)
 
     def _prepared(self, silver: DataFrame) -> DataFrame:
@@ -113,23 +111,23 @@ class VersionedStar:
             TIE: F.xxhash64(*compared),
         })
 
-    def _not_loaded(self, batch: DataFrame, before: str) -> DataFrame:
+    def _not_loaded(self, batch: DataFrame, before: str, scratch: Passing) -> DataFrame:
         """Rows whose hub position no stored proceeding has."""
-        return not_among(batch, self.store.read(FACT_TABLE, STORED[FACT_TABLE], before), self.scratch)
+        return not_among(batch, self.store.read(FACT_TABLE, STORED[FACT_TABLE], before), scratch)
 
-    def _first(self, silver: DataFrame) -> str:
-        batch = self.scratch.stage(self._prepared(silver), "first-load")
+    def _first(self, silver: DataFrame, scratch: Passing) -> str:
+        batch = scratch.stage(self._prepared(silver), "first-load")
         snapshot = self.store.new_snapshot()
         nothing = {
             table: self.store.spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in fields))
             for table, fields in STORED.items()
         }
-        self._write(snapshot, batch, nothing, {table: 0 for table in GOLD}, 0, None)
+        self._write(snapshot, batch, nothing, {table: 0 for table in GOLD}, 0, None, scratch)
         self.store.commit(snapshot)
         return snapshot
 
-    def _add(self, silver: DataFrame, before: str) -> str:
-        batch = self.scratch.stage(self._not_loaded(self._prepared(silver), before), "next-load")
+    def _add(self, silver: DataFrame, before: str, scratch: Passing) -> str:
+        batch = scratch.stage(self._not_loaded(self._prepared(silver), before, scratch), "next-load")
         if batch.isEmpty():
             return before
         stored = {table: self.rows_in_force(table, before) for table in STORED}
@@ -137,16 +135,16 @@ class VersionedStar:
         start = {**{table: 0 for table in GOLD}, **{r[0]: r[1] for r in highest.collect()}}  # a row per table
         snapshot = self.store.new_snapshot()
         number = len(self.store.locations(before, FACT_TABLE))
-        self._write(snapshot, batch, stored, start, number, before)
+        self._write(snapshot, batch, stored, start, number, before, scratch)
         self.store.commit(snapshot, added_to=before)
         return snapshot
 
     def _write(
         self, snapshot: str, batch: DataFrame, stored: dict[str, DataFrame], start: dict[str, int], number: int,
-        before: str | None,
+        before: str | None, scratch: Passing,
     ) -> None:
         bound = None if self.rows is None else 3 * self.rows
-        settings = {"scratch": self.scratch, "bound": bound, "sizing": self.sizing}
+        settings = {"scratch": scratch, "bound": bound, "sizing": self.sizing}
         # a store of loads that did not count the rows of its keys goes without
         counts = before is None or all(_key_rows_of(table) in start for table in TRACKED)
         key_rows = {
@@ -155,7 +153,7 @@ class VersionedStar:
         counted = {key: _LINES * key_rows[table] if counts else None for table, (_, key, _) in TRACKED.items()}
         load, facts, highest = F.lit(number), stored[FACT_TABLE], []
 
-        builder = StarBuilder(batch, self.as_of, self.scratch, self.rows, self.sizing)
+        builder = StarBuilder(batch, self.as_of, scratch, self.rows, self.sizing)
         courts = self.store.write(snapshot, "dim_court", builder.dimension("dim_court", stored["dim_court"]))
         highest.append(self._highest("dim_court", courts, "court_sk"))
         courts = builder.touched("dim_court", stored["dim_court"]).unionByName(courts)
@@ -168,8 +166,8 @@ class VersionedStar:
                 batch.select(key, *tracked, RECORDED, *TIES), surrogate, [key], tracked, RECORDED, TIES,
                 start=start[table], key_rows=counted[key], **settings,
             )
-            top = self._replace_versions(snapshot, table, tail, load)
-            stretches = self.scratch.stage(intervals(tail, surrogate, [key], TIES, key_rows=counted[key], **settings), "stretches")
+            top = self._replace_versions(snapshot, table, tail, load, scratch)
+            stretches = scratch.stage(intervals(tail, surrogate, [key], TIES, key_rows=counted[key], **settings), "stretches")
             places = facts.select("proceeding_sk", key, RECORDED, *TIES)
             found = moved_rows(places, stretches, [key], RECORDED, TIES, key_rows=counted[key], **settings)
             return tail, top, found.select("proceeding_sk", RECORDED, F.col("now").alias(f"_{surrogate}"))
@@ -187,15 +185,15 @@ class VersionedStar:
                 keyed, tail.after, surrogate, [key], RECORDED, TIES, key_rows=counted[key], **settings
             )
         keyed, moved = side_by_side(
-            lambda: self.scratch.stage(keyed, "keyed"),
-            lambda: self.scratch.stage(self._moved(facts, [found for _, _, found in done]), "moved"),
+            lambda: scratch.stage(keyed, "keyed"),
+            lambda: scratch.stage(self._moved(facts, [found for _, _, found in done], scratch), "moved"),
         )
         measured = builder.measured(keyed)
 
         def write_facts() -> None:
             carried = dict.fromkeys([*names(FACT)[1:], RECORDED, *TIES, *FACT_ORDER])
             numbered = add_dense_key(
-                measured.select(*carried), "proceeding_sk", FACT_ORDER, self.scratch,
+                measured.select(*carried), "proceeding_sk", FACT_ORDER, scratch,
                 rows=self.rows if self.rows is not None else batch.count(), start=start[FACT_TABLE],
                 sizing=self.sizing,
             )
@@ -215,7 +213,7 @@ class VersionedStar:
         side_by_side(
             write_facts,
             lambda: self.store.write(snapshot, withdrawn(FACT_TABLE), moved.select("proceeding_sk", LOAD)),
-            lambda: upkeep.write(self.store, snapshot, before, measured, tails["dim_defendant"], self.scratch),
+            lambda: upkeep.write(self.store, snapshot, before, measured, tails["dim_defendant"], scratch),
         )
 
     @staticmethod
@@ -230,7 +228,7 @@ class VersionedStar:
             F.lit(table).alias("table_name"), "highest"
         )
 
-    def _replace_versions(self, snapshot: str, table: str, tail: Tail, load) -> DataFrame:
+    def _replace_versions(self, snapshot: str, table: str, tail: Tail, load, scratch: Passing) -> DataFrame:
         """Write the versions that are new or changed and withdraw what they replace."""
         surrogate, key, tracked = TRACKED[table]
         told = [surrogate, key, *tracked, EFFECTIVE, END, CURRENT, VERSION, *TIES]
@@ -239,7 +237,7 @@ class VersionedStar:
         old = tail.before.select(surrogate, F.struct(*place).alias("_old"), "created_timestamp", LOAD)
         new = tail.after.select(surrogate, F.struct(*told).alias("_new"))
         now = F.when(F.col("_new").isNotNull(), F.struct(*[F.col(f"_new.{c}").alias(c) for c in place]))
-        changed = self.scratch.stage(
+        changed = scratch.stage(
             old.join(new, surrogate, "full_outer").filter(~F.col("_old").eqNullSafe(now)).select(
                 surrogate, "_new", "created_timestamp", F.col(LOAD).alias("_was_loaded")
             ), "changed-versions"
@@ -252,14 +250,14 @@ class VersionedStar:
         self.store.write(snapshot, withdrawn(table), gone.select(surrogate, F.col("_was_loaded").alias(LOAD)))
         return self._highest(table, written, surrogate)
 
-    def _moved(self, facts: DataFrame, found: Sequence[DataFrame]) -> DataFrame:
+    def _moved(self, facts: DataFrame, found: Sequence[DataFrame], scratch: Passing) -> DataFrame:
         """Facts that get another key from one dimension, the other, or both.
 
         ``found`` has row key, time and new key per dimension; whole rows are fetched once.
         """
         surrogates = [surrogate for surrogate, _, _ in TRACKED.values()]
         either = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
-        change = self.scratch.stage(
+        change = scratch.stage(
             either.groupBy("proceeding_sk").agg(
                 F.min(RECORDED).alias("_at"), *[F.max(f"_{s}").alias(f"_{s}") for s in surrogates]
             ), "moved-keys"

@@ -27,6 +27,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.autoBroadcastJoinThreshold": "1m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # the shuffle files of an action go when it ends, not when the driver happens to collect its plan
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # streaming state on local disk with changes in the checkpoint, not on the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

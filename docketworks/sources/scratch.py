@@ -10,7 +10,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import count
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +58,40 @@ class Scratch:
 
     def close(self) -> None:
         """Delete the folder. Frames read from it are unusable afterwards."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.base)
-        config = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(config).delete(folder, True)
+        _delete(self.spark, self.base)
+
+
+class Passing:
+    """Stages into ``scratch`` for one step and remembers where."""
+
+    def __init__(self, scratch: Scratch):
+        self.spark, self.path = scratch.spark, scratch.path
+        self._scratch, self._folders = scratch, set()
+
+    def stage(self, frame: DataFrame, label: str) -> DataFrame:
+        found = self._scratch.stage(frame, label)
+        self._folders.update(unquote(file).rpartition("/")[0] for file in found.inputFiles()[:1])
+        return found
+
+    def close(self) -> None:
+        for folder in self._folders:
+            _delete(self.spark, folder)
+
+
+@contextmanager
+def passing(scratch: Scratch) -> Iterator[Passing]:
+    """A scratch whose tables are deleted when the step that stages them is done.
+
+    What the step returns must not read them; the tables that ``scratch`` holds already stay.
+    """
+    step = Passing(scratch)
+    try:
+        yield step
+    finally:
+        step.close()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
