@@ -2,7 +2,8 @@
 
 A chain is the versions of one key in order of their position: the time of the event that opened a version and
 tie columns that make the order total. A batch in any order only touches the end of a chain from
-its earliest event on, so only that tail is read and built anew.
+its earliest event on, so only that tail is read and built anew. Versions, stored rows and new rows lie on one
+time line, so that the versions before and after are known of each row without another one.
 """
 
 from __future__ import annotations
@@ -14,33 +15,38 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketworks.operators.asof import as_of_join
 from docketworks.operators.dense_keys import add_dense_key
 from docketworks.operators.scd2 import CURRENT, EFFECTIVE, END, VERSION
 from docketworks.operators.sequence import arrange
 from docketworks.session import Sizing
 from docketworks.sources.scratch import Scratch
 
+#: What a row of a time line is. At one position a stored version comes before the rows that point to it.
+_KIND = "_kind"
+_VERSION, _STORED_ROW, _NEW_ROW = 0, 1, 2
+#: The keys of a batch of so many rows are sent to every task that reads stored rows.
+_FEW = 10_000
+
 
 class Tail(NamedTuple):
-    """The tails of the touched chains before and after a batch."""
+    """The tails of the touched chains before and after a batch.
+
+    ``after`` has the stored columns of a version that was there before as ``_stored``, and tells by ``_changed`` which
+    versions are new or differ from it. ``line`` has the rows between the versions, and ``created`` the new
+    versions with the row that opens each.
+    """
 
     before: DataFrame
     after: DataFrame
-
-
-def _same(frame: DataFrame, other: DataFrame, keys: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [frame[k].eqNullSafe(other[f"{prefix}{k}"]) for k in keys])
-
-
-def _prefixed(frame: DataFrame, keys: Sequence[str], prefix: str, *more) -> DataFrame:
-    return frame.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], *more)
+    line: DataFrame | None = None
+    created: DataFrame | None = None
 
 
 def merge_tail(
     stored: DataFrame,
     rows: DataFrame,
     batch: DataFrame,
+    row: str,
     surrogate: str,
     keys: Sequence[str],
     tracked: Sequence[str],
@@ -51,63 +57,107 @@ def merge_tail(
     bound: int | None = None,
     sizing: Sizing | None = None,
     key_rows: int | None = None,
+    load: str | None = None,
 ) -> Tail:
-    """Tails of the chains that ``batch`` (keys, tracked, time, ties) touches.
+    """Tails of the chains that ``batch`` (row, keys, tracked, time, ties) touches.
 
-    ``stored`` holds all versions with their tie columns, ``rows`` the rows merged so far (keys,
-    time, ties, surrogate), each pointing to its version; they stand for the events. A version keeps its
-    surrogate key wherever its opening event ends up; new ones are numbered on from
+    ``stored`` holds all versions with their tie columns, ``rows`` the rows merged so far (row, keys,
+    time, ties, surrogate), each pointing to its version; they stand for the events. ``row`` numbers the rows of both. A
+    version keeps its surrogate key wherever its opening event ends up; new ones are numbered on from
     ``start``. Events are never taken back, so two versions never become one. ``time`` and ``keys`` must not be
-    null; equal events count once. ``key_rows`` limits the rows of one key on any time line. The result of any order of batches is the history of all events.
+    null; equal events count once. ``key_rows`` limits the rows of one key on the time line. Where ``rows`` have a
+    ``load``, a row may be there several times with one surrogate per load, and the latest counts. The result of any
+    order of batches is the history of all events.
     """
     extra = [t for t in ties if t not in tracked]
-    event = [*keys, *tracked, time, *extra]
-    begins = scratch.stage(
-        batch.groupBy(*keys).agg(F.min(time).alias("_from")), "tail-begins"
-    )
-    first = begins.agg(F.min("_from").cast("string")).first()[0]
+    told = [c for c in stored.columns if c not in {surrogate, EFFECTIVE, *keys, *tracked, *extra}]
+    count, first = batch.agg(F.count(F.lit(1)), F.min(time).cast("string")).first()
     earliest = F.lit(first).cast("timestamp")
-    marked = _prefixed(begins, keys, "_key_", "_from")
-
-    def touched(frame: DataFrame, when: Column) -> DataFrame:
-        return frame.join(marked, _same(frame, marked, keys, "_key_") & when, "left_semi")
-
     # closed versions that ended before any event of the batch are skipped by their files' statistics
     recent = stored.filter(F.col(END).isNull() | (F.col(END) >= earliest))
-    before = scratch.stage(
-        touched(recent, recent[END].isNull() | (recent[END] >= marked["_from"])), "tail-before"
-    )
     later = rows.filter(F.col(time) >= earliest)
-    later = touched(later, later[time] >= marked["_from"]).select(*keys, time, *extra, surrogate)
-    log = later.join(before.select(surrogate, *tracked), surrogate).select(*event)
-    marks = before.select(
-        *keys, *tracked, F.col(EFFECTIVE).alias(time), *extra, surrogate, F.col(VERSION).alias("_version")
+    if count <= _FEW:
+        mentioned = F.broadcast(scratch.stage(batch.select(*keys).distinct(), "touched-keys"))
+        recent, later = (frame.join(mentioned, [*keys], "left_semi") for frame in (recent, later))
+
+    def kind(value: int) -> Column:
+        return F.lit(value).alias(_KIND)
+
+    is_version, is_stored = F.col(_KIND) == _VERSION, F.col(_KIND) == _STORED_ROW
+    line = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        recent.select(
+            *keys, *tracked, F.col(EFFECTIVE).alias(time), *extra, kind(_VERSION), F.col(surrogate).alias("_was"),
+            F.struct(surrogate, *told).alias("_version"),
+        ),
+        later.select(
+            row, *keys, time, *extra, kind(_STORED_ROW), F.col(surrogate).alias("_was"),
+            F.col(load).alias("_load") if load else F.lit(0).alias("_load"),
+        ),
+        batch.select(row, *keys, *tracked, time, *extra, kind(_NEW_ROW)),
+    ])
+    order = [time, *extra, _KIND, row, "_load", "_was"]
+    line = arrange(line, keys, order, scratch, bound, sizing, key_rows)
+
+    # only keys of the batch, from its first event of each on
+    line = line.with_columns({"_begins": F.when(F.col(_KIND) == _NEW_ROW, F.col(time))}).smallest({"_from": "_begins"})
+    ended = F.col(f"_version.{END}")
+    line = line.where(F.when(is_version, ended.isNull() | (ended >= F.col("_from"))).otherwise(
+        F.col(time) >= F.col("_from")) & F.col("_from").isNotNull()).stored("tail-touched")
+    # of the states of a row, which are neighbours, the last is in force
+    line = line.following({"_next_row": row}).where(
+        ~(is_stored & F.col(row).eqNullSafe(F.col("_next_row")))).stored("tail-in-force")
+    # a stored row has the values of the version that it lies in
+    line = line.with_columns({
+        "_mine": F.when(is_version, F.struct(*tracked)), "_nth": F.when(is_version, F.col(f"_version.{VERSION}")),
+    }).carry_forward({"_known": "_mine"})
+    line = line.with_columns({
+        c: F.when(is_stored, F.col("_known").getField(c)).otherwise(F.col(c)) for c in tracked
+    }).smallest({"_base": "_nth"}).stored("tail-known")
+
+    # equal events are neighbours, so only the first can open a version; a stored version comes before its events
+    # and lies in the run of the version that it becomes
+    line = line.previous({f"_was_{c}": c for c in tracked}, present="_seen")
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in tracked])
+    line = line.with_columns({"_opens": ~F.col("_seen") | differs}).stored("tail-opened")
+    line = line.with_columns({"_one": F.col("_opens").cast("long")}).running_total({"_run": "_one"})
+    line = line.following({"_next": time, "_next_opens": "_opens"}).with_columns({
+        "_until": F.when(F.col("_next_opens"), F.col("_next")), "_back": -F.col(row),
+    }).stored("tail-runs")
+    line = line.smallest(
+        {"_owner": "_version", "_first_row": row, "_last_back": "_back", END: "_until"}, within="_run"
     )
-    line = log.unionByName(batch.select(*event)).unionByName(marks, allowMissingColumns=True)
 
-    # equal events are neighbours, so only the first can open a version; a mark follows the event that it
-    # repeats, so it lies in the run of its version
-    placed = arrange(line, keys, [time, *ties, surrogate], scratch, bound, sizing, key_rows).previous(
-        {f"_was_{c}": c for c in tracked}, present="_seen"
+    opens = F.col("_opens")
+    shown = [*keys, *tracked, *extra]
+    placed = scratch.stage(line.frame.select(
+        row, _KIND, time, "_was", "_opens", "_first_row", F.col(f"_owner.{surrogate}").alias("_now"), "_version",
+        (F.col("_first_row") + F.col("_last_back") != 0).alias("_several"),
+        F.when(opens, F.col("_owner")).alias("_stored"), F.when(opens, F.col(END)).alias(END),
+        F.when(opens, F.coalesce("_base", F.lit(1)) + F.col("_run") - 1).cast("int").alias(VERSION),
+        *[F.when(opens | is_version, F.col(c)).alias(c) for c in shown],
+    ), "tail-placed")
+    before = placed.filter(is_version).select(
+        F.col("_was").alias(surrogate), *shown, F.col(time).alias(EFFECTIVE), *[f"_version.{c}" for c in told]
     )
-    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in tracked])
-    placed = placed.with_columns({"_opens": ~F.col("_seen") | differs}).position("_place")
-    placed = placed.with_columns({"_mark": F.when(F.col("_opens"), F.col("_place"))})
-    placed = placed.carry_forward({"_run": "_mark"}).stored("tail-placed")
-    versions = placed.openers("_opens", "_run", {"_owner": surrogate}, {"_base": "_version"})
-    versions = versions.position("_nth").following({END: time}, present="_followed").frame.drop(surrogate)
-    built = versions.select(
-        F.col("_owner").alias(surrogate), *keys, *tracked, F.col(time).alias(EFFECTIVE), END,
-        (~F.col("_followed")).alias(CURRENT),
-        (F.coalesce("_base", F.lit(1)) + F.col("_nth") - 1).cast("int").alias(VERSION), *extra,
+    built = placed.filter(opens).select(
+        F.col("_now").alias(surrogate), *keys, *tracked, F.col(time).alias(EFFECTIVE), END,
+        F.col(END).isNull().alias(CURRENT), VERSION, *extra, "_stored", row, _KIND, "_was", "_first_row",
+        "_several",
     )
-    built = scratch.stage(built, "tail-built")
     created = add_dense_key(
-        built.filter(F.col(surrogate).isNull()).drop(surrogate), surrogate, [*keys, VERSION], scratch,
-        rows=bound, start=start, sizing=sizing,
-    ).select(*built.columns)
-    after = built.filter(F.col(surrogate).isNotNull()).unionByName(created)
-    return Tail(before, scratch.stage(after, "tail-after"))
+        built.filter(F.col(surrogate).isNull()).drop(surrogate, "_stored"), surrogate, [*keys, VERSION], scratch,
+        rows=bound, start=start, sizing=sizing, keep=True,
+    )
+    about = [row, _KIND, "_was", "_first_row", "_several"]
+    # a version that still opens itself begins where it began
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_stored.{c}")) for c in (END, CURRENT, VERSION)])
+    after = built.filter(F.col(surrogate).isNotNull()).withColumn("_changed", ~(is_version & same)).drop(*about)
+    after = after.unionByName(created.withColumn("_changed", F.lit(True)).drop(*about), allowMissingColumns=True)
+    of_rows = placed.filter(~is_version).select(row, _KIND, time, "_was", "_now", "_opens", "_first_row")
+    return Tail(before, after, of_rows, created.select(
+        row, _KIND, F.col(EFFECTIVE).alias(time), "_was", F.col(surrogate).alias("_now"), "_first_row",
+        "_several",
+    ))
 
 
 def position(time: str, ties: Sequence[str]) -> Column:
@@ -122,8 +172,19 @@ def intervals(
     """The touched chains as stretches: keys, ``begins`` (a position), ``was`` and ``now`` (surrogate keys).
 
     Each stretch lasts until the next one of its key begins. The chains differ where ``was`` and
-    ``now`` do; ``was`` is null before the first stored version.
+    ``now`` do; ``was`` is null before the first stored version. A tail that has its rows gives instead each row with
+    the stretch that it lies in: row, time, ``was`` and ``now``; ``was`` is null of the rows of the batch.
     """
+    if tail.line is not None:
+        known, fresh = (tail.line.filter(F.col("_now").isNull() == new) for new in (False, True))
+        told = [c for c in tail.line.columns if c not in ("_now", "_opens", "_first_row")]
+        # a row that opens a new version is at hand there; the others of its run look it up
+        runs = tail.created.filter("_several").select("_first_row", "_now")
+        others = fresh.filter("NOT _opens").drop("_now").join(runs, "_first_row")
+        return reduce(DataFrame.unionByName, [
+            found.select(*told, "_now") for found in (known, tail.created, others)
+        ]).withColumnsRenamed({"_was": "was", "_now": "now"})
+
     def edges(chain: DataFrame, name: str) -> DataFrame:
         return chain.select(*keys, position(EFFECTIVE, ties).alias("begins"), F.col(surrogate).alias(name))
 
@@ -134,40 +195,11 @@ def intervals(
     return line.where("NOT _more OR _next <> begins").frame.select(*keys, "begins", "was", "now")
 
 
-def moved_rows(
-    rows: DataFrame, stretches: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str],
-    scratch: Scratch, bound: int | None = None, sizing: Sizing | None = None, key_rows: int | None = None,
-) -> DataFrame:
-    """The ``rows`` inside stretches that changed, with ``was`` and ``now``; no other row is returned.
-
-    Only rows of the changed keys from their first change on take part in the ordered step. ``rows`` should have
-    few columns beside ``keys``, ``time`` and ``ties``.
-    """
-    changed = stretches.filter(~F.col("was").eqNullSafe(F.col("now")) & F.col("was").isNotNull())
-    since = scratch.stage(
-        changed.groupBy(*keys).agg(F.min("begins.time").alias("_since")), "changed-keys"
-    )
-    first = since.agg(F.min("_since").cast("string")).first()[0]
-    if first is None:
-        return rows.limit(0).withColumns({"was": F.lit(None).cast("long"), "now": F.lit(None).cast("long")})
-    marked = _prefixed(since, keys, "_key_", "_since")
-    near = rows.filter(F.col(time) >= F.lit(first).cast("timestamp"))
-    near = near.join(
-        marked, _same(near, marked, keys, "_key_") & (near[time] >= marked["_since"]), "left_semi"
-    ).withColumn("_at", position(time, ties))
-    found = as_of_join(
-        near, stretches, keys, "_at", "begins", [], [], ["was", "now"], scratch, bound, sizing, key_rows
-    )
-    return found.filter(F.col("was").isNotNull() & (F.col("was") != F.col("now"))).drop("_at")
+def moved_rows(stretches: DataFrame) -> DataFrame:
+    """The stored rows inside stretches that changed, with ``was`` and ``now``; no other row is returned."""
+    return stretches.filter((F.col(_KIND) == _STORED_ROW) & (F.col("was") != F.col("now"))).drop(_KIND)
 
 
-def versions_of(
-    rows: DataFrame, chain: DataFrame, surrogate: str, keys: Sequence[str], time: str, ties: Sequence[str],
-    scratch: Scratch, bound: int | None = None, sizing: Sizing | None = None, key_rows: int | None = None,
-) -> DataFrame:
-    """``rows`` with the surrogate key of the version in force at their position."""
-    marks = chain.withColumn("_at", position(EFFECTIVE, ties))
-    return as_of_join(
-        rows.withColumn("_at", position(time, ties)), marks, keys, "_at", "_at", [], [], [surrogate],
-        scratch, bound, sizing, key_rows,
-    ).drop("_at")
+def versions_of(stretches: DataFrame, row: str, surrogate: str) -> DataFrame:
+    """The rows of the batch with the surrogate key of the version in force at their position."""
+    return stretches.filter(F.col(_KIND) == _NEW_ROW).select(row, F.col("now").alias(surrogate))

@@ -20,13 +20,15 @@ def add_dense_key(
     rows: int | None = None,
     start: int = 0,
     sizing: Sizing | None = None,
+    keep: bool = False,
 ) -> DataFrame:
     """Number the rows by ``order`` (total, nulls first), counting on from ``start``.
 
     A frame that fits one task is numbered by a plain window. A larger one is
     cut into ordered slices; its number is the place in the slice plus the rows
     of all earlier slices. ``rows`` is an upper bound that should be near the
-    true count; without one the frame is stored and counted.
+    true count; without one the frame is stored and counted. ``keep`` stores a small frame too, for callers
+    that read the result more than once.
     """
     sizing = sizing or Sizing()
     if rows is None:
@@ -34,7 +36,8 @@ def add_dense_key(
         rows = frame.count()
     if rows <= sizing.numbering_rows:
         number = F.row_number().over(Window.orderBy(*order))
-        return frame.withColumn(name, number.cast("long") + start)
+        numbered = frame.withColumn(name, number.cast("long") + start)
+        return scratch.stage(numbered, f"numbered-{name}") if keep else numbered
 
     cut = slice_by_order(
         frame, order, sizing.numbering_slices(rows), scratch, f"sliced-{name}"

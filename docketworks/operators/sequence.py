@@ -170,32 +170,40 @@ class Sequenced:
 
         return self._over(total)
 
-    def openers(self, opens: str, run: str, in_run: Mapping[str, str], in_key: Mapping[str, str]) -> Sequenced:
-        """Only the rows that open a run, with the smallest values of some columns in their run and in their key.
-
-        ``run`` must not be null. Ordinary keys need no other shuffle; of hot keys the values are reduced per
-        slice and run first.
+    def smallest(
+        self, columns: Mapping[str, str], within: str | None = None, only: str | None = None
+    ) -> Sequenced:
+        """The smallest value of some columns in the key of each row, or in its run.
+
+        ``within`` names a column that tells the runs of a key and must not be null; with ``only`` just the rows it
+        tells are returned. Ordinary keys need no other shuffle; of hot keys the values are reduced per slice
+        and run first.
         """
-        wanted = ((run, in_run), (None, in_key))
+        group = [*self.keys, *([within] if within else [])]
 
-        def pick(part: Part) -> DataFrame:
+        def least(part: Part) -> DataFrame:
             if not part.sliced:
-                return part.frame.withColumns({
-                    out: F.min(source).over(Window.partitionBy(*self.keys, *([by] if by else [])))
-                    for by, columns in wanted for out, source in columns.items()
-                }).filter(opens)
-            found = part.frame.filter(opens)
-            for by, columns in wanted:
-                some = reduce(lambda a, b: a | b, [F.col(source).isNotNull() for source in columns.values()])
-                group = [*self.keys, *([by] if by else [])]
-                least = part.frame.filter(some).groupBy(*[F.col(c).alias(f"_of_{c}") for c in group]).agg(
-                    *[F.min(source).alias(out) for out, source in columns.items()]
+                # the rows of a key keep the order that other steps ask for
+                whole = Window.partitionBy(*group) if within else self._window(part).rowsBetween(
+                    Window.unboundedPreceding, Window.unboundedFollowing
                 )
-                same = _same(found, least, [(c, f"_of_{c}") for c in group])
-                found = found.join(least, same, "left").drop(*[f"_of_{c}" for c in group])
-            return found
+                found = part.frame.withColumns({
+                    out: F.min(source).over(whole) for out, source in columns.items()
+                })
+                return found.filter(only) if only else found
+            some = reduce(lambda a, b: a | b, [F.col(source).isNotNull() for source in columns.values()])
+            reduced = part.frame.filter(some).groupBy(*[F.col(c).alias(f"_of_{c}") for c in group]).agg(
+                *[F.min(source).alias(out) for out, source in columns.items()]
+            )
+            found = part.frame.filter(only) if only else part.frame
+            same = _same(found, reduced, [(c, f"_of_{c}") for c in group])
+            return found.join(reduced, same, "left").drop(*[f"_of_{c}" for c in group])
 
-        return self._over(pick)
+        return self._over(least)
+
+    def openers(self, opens: str, run: str, in_run: Mapping[str, str], in_key: Mapping[str, str]) -> Sequenced:
+        """Only the rows that open a run, with the smallest values of some columns in their run and in their key."""
+        return self.smallest(in_key).smallest(in_run, within=run, only=opens)
 
     # -- inner steps ---------------------------------------------------------
 

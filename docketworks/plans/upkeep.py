@@ -104,7 +104,7 @@ def write(
 ) -> None:
     """The part of a load in the standing sums and in every report."""
     stored = None if before is None else store.read(STANDING, STANDING_FIELDS, before)
-    fresh = store.write(snapshot, STANDING, standing_of(measured), cluster_by=("defendant_id",))
+    fresh = store.write(snapshot, STANDING, standing_of(measured))
     signed = scratch.stage(changes(stored, fresh, defendants, scratch), "signed-sums")
     moved = reduce(lambda a, b: a | b, [F.col(column) != 0 for column, _ in SUMS])
     side_by_side(*[

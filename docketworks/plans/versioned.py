@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 from docketworks.functions import rules
 from docketworks.operators.chains import Tail, intervals, merge_tail, moved_rows, versions_of
 from docketworks.operators.dense_keys import add_dense_key
-from docketworks.operators.scd2 import CURRENT, EFFECTIVE, END, VERSION
 from docketworks.plans import upkeep
 from docketworks.plans.star import FACT_ORDER, FACT_TABLE, NATURAL_KEYS, StarBuilder, _match, not_among
-from docketworks.schemas import CASE_ATTRIBUTES, DEFENDANT_ATTRIBUTES, FACT, GOLD, HUB_KEY, Fields, names
+from docketworks.schemas import CASE_ATTRIBUTES, DEFENDANT_ATTRIBUTES, FACT, GOLD, HUB_KEY, Fields, ddl, names
 from docketworks.session import Sizing, side_by_side
 from docketworks.sources.scratch import Passing, Scratch, passing
 from docketworks.sources.snapshots import SnapshotStore
@@ -106,10 +105,12 @@ class VersionedStar:
     def _prepared(self, silver: DataFrame) -> DataFrame:
         keys = [k for natural in NATURAL_KEYS.values() for k in natural]
         compared = [*keys, *DEFENDANT_ATTRIBUTES[1:], *CASE_ATTRIBUTES[1:]]
-        return silver.dropna(subset=keys).withColumns({
+        rows = silver.dropna(subset=keys).withColumns({
             RECORDED: F.coalesce("record_timestamp", F.lit(EARLIEST).cast("timestamp")),
             TIE: F.xxhash64(*compared),
         })
+        used = {*names(FACT), *FACT_ORDER, *names(upkeep.KNOWN), *compared, RECORDED, TIE}
+        return rows.select(*[c for c in rows.columns if c in used])
 
     def _not_loaded(self, batch: DataFrame, before: str, scratch: Passing) -> DataFrame:
         """Rows whose hub position no stored proceeding has."""
@@ -119,7 +120,8 @@ class VersionedStar:
         batch = scratch.stage(self._prepared(silver), "first-load")
         snapshot = self.store.new_snapshot()
         nothing = {
-            table: self.store.spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in fields))
+            # as the optimizer knows that there is nothing, nothing is planned for it
+            table: self.store.spark.createDataFrame([], ddl(fields)).limit(0)
             for table, fields in STORED.items()
         }
         self._write(snapshot, batch, nothing, {table: 0 for table in GOLD}, 0, None, scratch)
@@ -130,7 +132,9 @@ class VersionedStar:
         batch = scratch.stage(self._not_loaded(self._prepared(silver), before, scratch), "next-load")
         if batch.isEmpty():
             return before
-        stored = {table: self.rows_in_force(table, before) for table in STORED}
+        stored = {table: self.rows_in_force(table, before) for table in STORED if table != FACT_TABLE}
+        # withdrawn proceedings too, as they are told by what replaced them where they are met
+        stored[FACT_TABLE] = self.store.read(FACT_TABLE, STORED[FACT_TABLE], before)
         highest = self.store.read(HIGHEST, HIGHEST_FIELDS, before).groupBy("table_name").agg(F.max("highest"))
         start = {**{table: 0 for table in GOLD}, **{r[0]: r[1] for r in highest.collect()}}  # a row per table
         snapshot = self.store.new_snapshot()
@@ -157,48 +161,43 @@ class VersionedStar:
         courts = self.store.write(snapshot, "dim_court", builder.dimension("dim_court", stored["dim_court"]))
         highest.append(self._highest("dim_court", courts, "court_sk"))
         courts = builder.touched("dim_court", stored["dim_court"]).unionByName(courts)
+        # the row key tells the rows of the batch apart from here on
+        numbered = add_dense_key(
+            _match(batch, courts, ["court_district", "assigned_judge"], []), "proceeding_sk", FACT_ORDER, scratch,
+            rows=self.rows if self.rows is not None else batch.count(), start=start[FACT_TABLE],
+            sizing=self.sizing, keep=True,
+        )
 
         def dimension(table: str) -> tuple[Tail, DataFrame, DataFrame]:
-            """The chains of one dimension: their tails, their highest key, and the facts that move."""
+            """The chains of one dimension, their highest key, and the stretch that each row lies in."""
             surrogate, key, tracked = TRACKED[table]
+            place = ["proceeding_sk", key, RECORDED, *TIES]
             tail = merge_tail(
-                stored[table], facts.select(key, RECORDED, *TIES, surrogate),
-                batch.select(key, *tracked, RECORDED, *TIES), surrogate, [key], tracked, RECORDED, TIES,
-                start=start[table], key_rows=counted[key], **settings,
+                stored[table], facts.select(*place, surrogate, LOAD), numbered.select(*place, *tracked), "proceeding_sk",
+                surrogate, [key], tracked, RECORDED, TIES, start=start[table], key_rows=counted[key],
+                load=LOAD, **settings,
             )
-            top = self._replace_versions(snapshot, table, tail, load, scratch)
-            stretches = scratch.stage(intervals(tail, surrogate, [key], TIES, key_rows=counted[key], **settings), "stretches")
-            places = facts.select("proceeding_sk", key, RECORDED, *TIES)
-            found = moved_rows(places, stretches, [key], RECORDED, TIES, key_rows=counted[key], **settings)
-            return tail, top, found.select("proceeding_sk", RECORDED, F.col("now").alias(f"_{surrogate}"))
+            top = self._replace_versions(snapshot, table, tail, load)
+            return tail, top, intervals(tail, surrogate, [key], TIES, key_rows=counted[key], **settings)
 
         done = side_by_side(*[lambda table=table: dimension(table) for table in TRACKED])
         tails = {table: tail for table, (tail, _, _) in zip(TRACKED, done)}
         highest += [top for _, top, _ in done]
 
-        keyed = _match(batch, courts, ["court_district", "assigned_judge"], [])
         used = {*names(FACT), *FACT_ORDER, RECORDED, *TIES, *names(upkeep.KNOWN)}
-        keyed = keyed.select(*[c for c in keyed.columns if c in used])
-        for (surrogate, key, _), (tail, _, _) in zip(TRACKED.values(), done):
-            # the tail has every version that is in force at an event of the batch
-            keyed = versions_of(
-                keyed, tail.after, surrogate, [key], RECORDED, TIES, key_rows=counted[key], **settings
-            )
+        keyed, found = numbered.select(*[c for c in numbered.columns if c in used]), []
+        for (surrogate, _, _), (_, _, stretches) in zip(TRACKED.values(), done):
+            keyed = keyed.join(versions_of(stretches, "proceeding_sk", surrogate), "proceeding_sk")
+            found.append(moved_rows(stretches).select("proceeding_sk", RECORDED, F.col("now").alias(f"_{surrogate}")))
         keyed, moved = side_by_side(
             lambda: scratch.stage(keyed, "keyed"),
-            lambda: scratch.stage(self._moved(facts, [found for _, _, found in done], scratch), "moved"),
+            lambda: scratch.stage(self._moved(facts, found, before, scratch), "moved"),
         )
         measured = builder.measured(keyed)
 
         def write_facts() -> None:
-            carried = dict.fromkeys([*names(FACT)[1:], RECORDED, *TIES, *FACT_ORDER])
-            numbered = add_dense_key(
-                measured.select(*carried), "proceeding_sk", FACT_ORDER, scratch,
-                rows=self.rows if self.rows is not None else batch.count(), start=start[FACT_TABLE],
-                sizing=self.sizing,
-            )
             again, added = (
-                rows.withColumn(LOAD, load).select(*names(STORED[FACT_TABLE])) for rows in (moved, numbered)
+                rows.withColumn(LOAD, load).select(*names(STORED[FACT_TABLE])) for rows in (moved, measured)
             )
             # by position, so that later loads skip files by time and by offset
             written = self.store.write(
@@ -219,7 +218,8 @@ class VersionedStar:
     @staticmethod
     def _key_rows(batch: DataFrame, table: str, before: int) -> int:
         """A bound of the proceedings of any one key: the largest number of each load, added up."""
-        counted = batch.groupBy(TRACKED[table][1]).agg(F.count(F.lit(1)).alias("_rows"))
+        # keys that share a hash only raise the bound
+        counted = batch.groupBy(F.xxhash64(TRACKED[table][1])).agg(F.count(F.lit(1)).alias("_rows"))
         return before + (counted.agg(F.max("_rows")).first()[0] or 0)
 
     @staticmethod
@@ -228,29 +228,22 @@ class VersionedStar:
             F.lit(table).alias("table_name"), "highest"
         )
 
-    def _replace_versions(self, snapshot: str, table: str, tail: Tail, load, scratch: Passing) -> DataFrame:
+    def _replace_versions(self, snapshot: str, table: str, tail: Tail, load) -> DataFrame:
         """Write the versions that are new or changed and withdraw what they replace."""
-        surrogate, key, tracked = TRACKED[table]
-        told = [surrogate, key, *tracked, EFFECTIVE, END, CURRENT, VERSION, *TIES]
+        surrogate = TRACKED[table][0]
         # the key and the tracked values of a version never change
-        place = [EFFECTIVE, END, CURRENT, VERSION, *TIES]
-        old = tail.before.select(surrogate, F.struct(*place).alias("_old"), "created_timestamp", LOAD)
-        new = tail.after.select(surrogate, F.struct(*told).alias("_new"))
-        now = F.when(F.col("_new").isNotNull(), F.struct(*[F.col(f"_new.{c}").alias(c) for c in place]))
-        changed = scratch.stage(
-            old.join(new, surrogate, "full_outer").filter(~F.col("_old").eqNullSafe(now)).select(
-                surrogate, "_new", "created_timestamp", F.col(LOAD).alias("_was_loaded")
-            ), "changed-versions"
-        )
-        fresh = changed.filter("_new IS NOT NULL").select("_new.*", "created_timestamp").withColumns({
-            "created_timestamp": F.coalesce("created_timestamp", self.now), LOAD: load,
+        changed = tail.after.filter("_changed")
+        fresh = changed.withColumns({
+            "created_timestamp": F.coalesce("_stored.created_timestamp", self.now), LOAD: load,
         })
         written = self.store.write(snapshot, table, fresh.select(*names(STORED[table])))
-        gone = changed.filter("_was_loaded IS NOT NULL")
-        self.store.write(snapshot, withdrawn(table), gone.select(surrogate, F.col("_was_loaded").alias(LOAD)))
+        gone = changed.filter("_stored IS NOT NULL")
+        self.store.write(snapshot, withdrawn(table), gone.select(surrogate, F.col(f"_stored.{LOAD}").alias(LOAD)))
         return self._highest(table, written, surrogate)
 
-    def _moved(self, facts: DataFrame, found: Sequence[DataFrame], scratch: Passing) -> DataFrame:
+    def _moved(
+        self, facts: DataFrame, found: Sequence[DataFrame], before: str | None, scratch: Passing
+    ) -> DataFrame:
         """Facts that get another key from one dimension, the other, or both.
 
         ``found`` has row key, time and new key per dimension; whole rows are fetched once.
@@ -266,6 +259,8 @@ class VersionedStar:
         if low is None:
             return facts.limit(0)
         near = facts.filter(F.col(RECORDED).between(*[F.lit(t).cast("timestamp") for t in (low, high)]))
-        return near.join(change, "proceeding_sk").withColumns(
+        gone = self.store.read(withdrawn(FACT_TABLE), withdrawn_fields(FACT_TABLE), before)
+        hit = near.join(change, "proceeding_sk").join(gone, ["proceeding_sk", LOAD], "left_anti")
+        return hit.withColumns(
             {s: F.coalesce(f"_{s}", s) for s in surrogates}
         ).select(*facts.columns)
